@@ -115,14 +115,12 @@ def monthly_growth(tables: Tables) -> DataFrame:
     spine = tables["dim_date"].select(month).distinct()
     totals = per_attribute(tables, {"dim_date": [month]}, ["total_transaction_value"])
     in_order = Window.orderBy(month)
-    value, previous = F.col("total_transaction_value"), F.col("previous_month_transaction_value")
+    value = F.coalesce(F.col("total_transaction_value").cast("double"), F.lit(0.0))
+    previous = F.col("previous_month_transaction_value").cast("double")
     return (
         spine.join(totals, month, "left")
         .withColumn("previous_month_transaction_value", F.lag("total_transaction_value").over(in_order))
-        .withColumn(
-            "month_over_month_transaction_growth",
-            blank_divide(F.coalesce(value, F.lit(0)) - previous, previous),
-        )
+        .withColumn("month_over_month_transaction_growth", blank_divide(value - previous, previous))
     )
 
 

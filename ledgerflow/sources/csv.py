@@ -59,7 +59,7 @@ def export_cast(frame: DataFrame) -> DataFrame:
 
 
 def save_csv(frame: DataFrame, path: str) -> None:
-    frame.write.mode("overwrite").option("header", True).csv(path)
+    frame.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def export_tables(tables: Mapping[str, DataFrame], folder: str) -> list[str]:

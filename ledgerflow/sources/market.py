@@ -19,7 +19,7 @@ SETTINGS = Settings(
     start_date=date(1995, 6, 1),
     end_date=date(2001, 6, 30),
     high_value_transaction=100000,
-    minimum_valid_rows=50000,
+    negative_balance_warning=-40000,
     detected_timestamp="2024-01-01T00:00:00+00:00",
 )
 
@@ -62,9 +62,9 @@ SELECT o_custkey AS number, o_orderpriority AS priority,
   CASE WHEN count(*) >= 6 THEN 'CUST-GONE' ELSE concat('cust', o_custkey) END AS customer_id,
   CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'checking' WHEN '2' THEN 'SAVINGS'
        WHEN '3' THEN 'credit_card' WHEN '4' THEN 'money-market' ELSE 'brokerage' END AS account_type,
-  date_format(date_add(cast(min(o_orderdate) AS date), 30), 'MMM dd, yyyy') AS open_date,
+  date_format(date_add(cast(min(o_orderdate) AS date), 7), 'MMM dd, yyyy') AS open_date,
   CASE count(*) WHEN 1 THEN 'closed' WHEN 2 THEN 'dormant' ELSE 'ACTIVE' END AS account_status,
-  CASE count(*) WHEN 1 THEN cast(date_add(cast(max(o_orderdate) AS date), 60) AS string) ELSE '' END AS close_date,
+  CASE count(*) WHEN 1 THEN cast(date_add(cast(max(o_orderdate) AS date), 90) AS string) ELSE '' END AS close_date,
   concat('$', format_number(sum(cast(o_totalprice AS decimal(18,2))), 2)) AS current_balance,
   CASE WHEN o_orderpriority = '3-MEDIUM' THEN '(5,000.00)' ELSE '' END AS credit_limit,
   concat('br', o_custkey % 30) AS branch_id,
