@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow.plans.pipeline import Warehouse
 from ledgerflow.plans.rollup import plain_numbers
+from ledgerflow.session import apply_settings
 from ledgerflow.sources.csv import RAW_FILES
 from ledgerflow.sources.market import SETTINGS, RawMarket
 from ledgerflow.sources.staging import Staging
@@ -44,6 +45,7 @@ def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """The warehouse over the given tables; its tables are shared by the queries of a session."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _warehouses:
+        apply_settings(spark)
         staging = Staging(spark)
         _warehouses[key] = Warehouse(_RawTables(RawMarket(spark, folder, staging)), SETTINGS, staging)
     return _warehouses[key]

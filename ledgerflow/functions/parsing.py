@@ -5,58 +5,54 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.text import WHITESPACE_RUN
+from ledgerflow.functions.text import strip
 from ledgerflow.functions.vocabulary import TRUE_SPELLINGS
 
 MONEY = "decimal(18,2)"
-PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 SLASH_DATE = r"^(\d{1,2})/(\d{1,2})/(\d{4})(.*)$"
 MONTH_NAME_DATE = r"^([A-Za-z]{3,9} \d{1,2}, \d{4})(.*)$"
 
 
-def _strip(value: Column) -> Column:
-    return F.trim(F.regexp_replace(value, WHITESPACE_RUN, " "))
-
-
 def parse_currency(value: Column) -> Column:
     """Amounts such as ``$1,234.50``, ``12 USD`` or ``(25.00)`` (negative)."""
-    bare = _strip(F.regexp_replace(_strip(value), r"\$|,|USD", ""))
-    signed = F.trim(F.regexp_replace(bare, r"^\((.*)\)$", "-$1"))
-    return F.when(signed.rlike(PLAIN_NUMBER), signed.try_cast(MONEY))
+    bare = strip(F.replace(F.translate(value, "$,", ""), F.lit("USD"), F.lit("")))
+    bracketed = bare.startswith("(") & bare.endswith(")")
+    inner = F.concat(F.lit("-"), F.substring(bare, F.lit(2), F.length(bare) - 2))
+    return F.when(bracketed, inner).otherwise(bare).try_cast(MONEY)
 
 
 def parse_plain_amount(value: Column) -> Column:
     """Amounts with nothing but ``$`` and ``,`` removed, as the raw-total check reads them."""
-    bare = _strip(F.translate(value, "$,", ""))
-    return F.when(bare.rlike(PLAIN_NUMBER), bare.try_cast(MONEY))
+    return strip(F.translate(value, "$,", "")).try_cast(MONEY)
 
 
-def _readings(value: Column) -> list[Column]:
-    """The text as it stands, then ISO spellings of month-first, day-first and month-name dates.
+def _parse(value: Column, kind: str) -> Column:
+    """ISO text, or month-first, day-first and month-name dates rewritten to ISO text.
 
-    Rewriting to ISO text keeps the session time zone out of the result."""
-    text = _strip(value)
-    named = F.regexp_extract(text, MONTH_NAME_DATE, 1)
-    named_day = F.coalesce(F.try_to_date(named, "MMM d, yyyy"), F.try_to_date(named, "MMMM d, yyyy"))
-    return [
-        text,
-        F.regexp_replace(text, SLASH_DATE, "$3-$1-$2$4"),
-        F.regexp_replace(text, SLASH_DATE, "$3-$2-$1$4"),
-        F.concat(named_day.cast("string"), F.regexp_extract(text, MONTH_NAME_DATE, 2)),
-    ]
+    Casting ISO text keeps the session time zone out of the result. The patterns are only tried on
+    texts that have a slash or start with a letter."""
+    text = strip(value)
+    slashed = F.coalesce(
+        F.regexp_replace(text, SLASH_DATE, "$3-$1-$2$4").try_cast(kind),
+        F.regexp_replace(text, SLASH_DATE, "$3-$2-$1$4").try_cast(kind),
+    )
+    name = F.regexp_extract(text, MONTH_NAME_DATE, 1)
+    day = F.coalesce(F.try_to_date(name, "MMM d, yyyy"), F.try_to_date(name, "MMMM d, yyyy"))
+    named = F.concat(day.cast("string"), F.regexp_extract(text, MONTH_NAME_DATE, 2)).try_cast(kind)
+    return F.coalesce(text.try_cast(kind), F.when(text.contains("/"), slashed).when(text >= "A", named))
 
 
 def parse_date(value: Column) -> Column:
-    return F.coalesce(*[reading.try_cast("date") for reading in _readings(value)])
+    return _parse(value, "date")
 
 
 def parse_timestamp(value: Column) -> Column:
-    return F.coalesce(*[reading.try_cast("timestamp_ntz") for reading in _readings(value)])
+    return _parse(value, "timestamp_ntz")
 
 
 def parse_bool(value: Column) -> Column:
-    return F.coalesce(F.lower(_strip(value)).isin(*TRUE_SPELLINGS), F.lit(False))
+    return F.coalesce(F.lower(strip(value)).isin(*TRUE_SPELLINGS), F.lit(False))
 
 
 def parse_integer(value: Column) -> Column:
-    return _strip(value).try_cast("int")
+    return strip(value).try_cast("int")

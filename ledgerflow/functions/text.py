@@ -10,19 +10,42 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions import vocabulary as words
 
-WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
-WORD_OR_GAP = r"\p{L}+|[^\p{L}]+"
+# Every character that counts as white space.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+ASCII_SPACES = r"\t-\r\x1c-\x20"
+OTHER_SPACES = r"\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LETTER_AFTER_OTHER = r"(?<=\P{L})(?=\p{L})"
+WORD_MARK = "\x01 "
+
+
+def single_spaced(value: Column, others: str = "") -> Column:
+    """Runs of white space (and of the given characters) as one space, none at the ends.
+
+    Text of one byte per character gets the pattern without the rarer spaces, which is faster."""
+    plain = F.regexp_replace(value, f"[{ASCII_SPACES}{others}]+", " ")
+    full = F.regexp_replace(value, f"[{ASCII_SPACES}{OTHER_SPACES}{others}]+", " ")
+    return F.trim(F.when(F.octet_length(value) == F.length(value), plain).otherwise(full))
 
 
 def clean_text(value: Column) -> Column:
     """Single spaces, no outer blanks; a blank text becomes null."""
-    return F.nullif(F.trim(F.regexp_replace(value, WHITESPACE_RUN, " ")), F.lit(""))
+    return F.nullif(single_spaced(value), F.lit(""))
+
+
+def strip(value: Column) -> Column:
+    """Text without outer white space, by character set rather than by pattern."""
+    return F.btrim(value, F.lit(WHITESPACE))
 
 
 def title_clean(value: Column) -> Column:
-    """Cleaned text with a capital after every non-letter (``initcap`` only looks at spaces)."""
-    runs = F.regexp_extract_all(F.lower(clean_text(value)), F.lit(WORD_OR_GAP), F.lit(0))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    """Cleaned text with a capital after every non-letter.
+
+    ``initcap`` only looks at spaces, so it gets a marked space before each such letter."""
+    marked = F.regexp_replace(F.lower(clean_text(value)), LETTER_AFTER_OTHER, WORD_MARK)
+    return F.replace(F.initcap(marked), F.lit(WORD_MARK), F.lit(""))
 
 
 def upper_clean(value: Column) -> Column:
@@ -31,12 +54,15 @@ def upper_clean(value: Column) -> Column:
 
 
 def literal_map(entries: Mapping[str, str]) -> Column:
-    return F.create_map(*[F.lit(item) for pair in entries.items() for item in pair])
+    cells = ", ".join("'" + item.replace("'", "\\'") + "'" for pair in entries.items() for item in pair)
+    return F.expr(f"map({cells})")
 
 
 def canonical(value: Column, spellings: Mapping[str, str]) -> Column:
-    """Canonical name of a known spelling, else the cleaned text in title case."""
-    spelling = clean_text(F.translate(F.lower(clean_text(value)), "_-", "  "))
+    """Canonical name of a known spelling, else the cleaned text in title case.
+
+    Underscores and hyphens count as spaces in a spelling."""
+    spelling = single_spaced(F.lower(value), "_-")
     return F.coalesce(F.element_at(literal_map(spellings), spelling), title_clean(value))
 
 

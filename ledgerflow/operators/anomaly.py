@@ -95,10 +95,14 @@ def is_early_international() -> Column:
     return _certain(F.col("is_international") & (moment <= F.col("last_unusual")))
 
 
-def with_customer_history(transactions: DataFrame, spending: DataFrame, international: DataFrame) -> DataFrame:
+def customer_history(transactions: DataFrame) -> DataFrame:
+    """One row per customer with all that the customer rules compare a transaction with."""
+    return customer_spending(transactions).join(early_international(transactions), "customer_id", "left")
+
+
+def with_customer_history(transactions: DataFrame, history: DataFrame) -> DataFrame:
     """Flags that compare a row with its customer's totals. One join serves both: the totals have
     one row per customer, and the skew join splits the transactions of a heavy one."""
-    history = spending.join(international, "customer_id", "left")
     over_limit = _certain(F.col("transaction_amount").cast("double") > spending_limit())
     flagged = transactions.join(history, "customer_id", "left").withColumns(
         {"spending_deviation": over_limit, "unusual_international_activity": is_early_international()}
@@ -173,19 +177,21 @@ def with_previous_row_flags(
     return flagged.where(~F.col("carried")).select(*transactions.columns, *flags)
 
 
-def with_repeated_declines(transactions: DataFrame) -> DataFrame:
-    """Declined rows of a customer and day with at least three declines.
-
-    Counts are combined before the shuffle, and only the busy days are joined back."""
-    declined = F.col("transaction_status") == "Declined"
-    busy = (
-        transactions.where(declined)
+def busy_decline_days(transactions: DataFrame) -> DataFrame:
+    """Customers and days with at least three declines; counts are combined before the shuffle."""
+    return (
+        transactions.where(F.col("transaction_status") == "Declined")
         .groupBy("customer_id", "transaction_date")
         .agg(F.count("transaction_id").alias("declines"))
         .where(F.col("declines") >= DECLINES_PER_DAY)
     )
+
+
+def with_repeated_declines(transactions: DataFrame, busy_days: DataFrame | None = None) -> DataFrame:
+    """Flags the declined rows of busy days, which are few next to the transactions."""
+    busy = busy_decline_days(transactions) if busy_days is None else busy_days
     flagged = transactions.join(busy, ["customer_id", "transaction_date"], "left")
-    repeated = _certain(declined & F.col("declines").isNotNull())
+    repeated = _certain((F.col("transaction_status") == "Declined") & F.col("declines").isNotNull())
     return flagged.select(*[F.col(name) for name in transactions.columns], repeated.alias("repeated_declines"))
 
 
@@ -202,12 +208,21 @@ def review_priority(score: Column) -> Column:
     return F.when(score >= 6, "High").when(score >= 3, "Medium").when(score > 0, "Low").otherwise("None")
 
 
-def flag_transactions(transactions: DataFrame, settings: Settings) -> DataFrame:
-    """Every transaction with its eight rule flags, score, priority and fired rules."""
+def flag_transactions(
+    transactions: DataFrame,
+    settings: Settings,
+    history: DataFrame | None = None,
+    busy_days: DataFrame | None = None,
+) -> DataFrame:
+    """Every transaction with its eight rule flags, score, priority and fired rules.
+
+    ``history`` and ``busy_days`` may come as stored tables, whose size tells Spark whether the
+    transactions have to be shuffled for the joins."""
+    history = customer_history(transactions) if history is None else history
+    busy_days = busy_decline_days(transactions) if busy_days is None else busy_days
     flagged = with_previous_row_flags(transactions, settings.rapid_transaction_minutes)
-    flagged = with_customer_history(flagged, customer_spending(transactions), early_international(transactions))
-    busy_days = with_repeated_declines(flagged)
-    flagged = busy_days.withColumns(
+    flagged = with_repeated_declines(with_customer_history(flagged, history), busy_days)
+    flagged = flagged.withColumns(
         {
             "high_value_transaction": high_value(settings.high_value_transaction),
             "unusual_transaction_time": unusual_time(settings.unusual_hour_start, settings.unusual_hour_end),
@@ -224,10 +239,15 @@ def flag_transactions(transactions: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def flagged_rows(transactions: DataFrame, settings: Settings) -> DataFrame:
+def flagged_rows(
+    transactions: DataFrame,
+    settings: Settings,
+    history: DataFrame | None = None,
+    busy_days: DataFrame | None = None,
+) -> DataFrame:
     """The transactions with a score, still without ids."""
     return (
-        flag_transactions(transactions, settings)
+        flag_transactions(transactions, settings, history, busy_days)
         .where("anomaly_score > 0")
         .select(
             "source_row_number",

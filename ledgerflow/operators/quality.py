@@ -97,18 +97,26 @@ def mark_known(frame: DataFrame, column: str, keys: DataFrame, key: str, flag: s
     return marked.withColumn(flag, F.col("known_key").isNotNull()).drop("known_key")
 
 
-def mark_repeated(frame: DataFrame, column: str, flag: str) -> DataFrame:
-    """Adds a flag on every copy of a value that occurs more than once.
-
-    Counting first combines copies before the shuffle; a window would gather all of them."""
-    repeated = (
+def repeated_values(frame: DataFrame, column: str) -> DataFrame:
+    """The values that occur more than once. Counting combines copies before the shuffle; a window
+    over the value would gather all copies of a heavy one in a task."""
+    return (
         frame.where(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("repeated_value"))
         .agg(F.count("*").alias("copies"))
         .where("copies > 1")
+        .select("repeated_value")
     )
-    marked = frame.join(repeated, F.col(column) == F.col("repeated_value"), "left")
-    return marked.withColumn(flag, F.col("copies").isNotNull()).drop("repeated_value", "copies")
+
+
+def mark_repeated(frame: DataFrame, column: str, flag: str, repeated: DataFrame | None = None) -> DataFrame:
+    """Adds a flag on every copy of a value that occurs more than once.
+
+    ``repeated`` may hold the ``repeated_values`` as a stored table: its size then tells Spark
+    whether the rows have to be shuffled to find them."""
+    values = repeated_values(frame, column) if repeated is None else repeated
+    marked = frame.join(values, F.col(column) == F.col("repeated_value"), "left")
+    return marked.withColumn(flag, F.col("repeated_value").isNotNull()).drop("repeated_value")
 
 
 def required_column_issues(tables: Mapping[str, DataFrame]) -> list[tuple[str, str]]:
@@ -287,7 +295,9 @@ def check_accounts(accounts: DataFrame, customers: DataFrame, branches: DataFram
     return marked.select(*accounts.columns, failures(account_rules()).alias("issues"))
 
 
-def check_transactions(cleaned: Mapping[str, DataFrame], settings: Settings) -> DataFrame:
+def check_transactions(
+    cleaned: Mapping[str, DataFrame], settings: Settings, repeated_ids: DataFrame | None = None
+) -> DataFrame:
     """Transactions with ``issues`` and ``has_blocking_quality_issue``: all row rules in one pass.
 
     No hint forces a broadcast: lookup tables may grow with the data, so Spark picks the join by
@@ -300,7 +310,7 @@ def check_transactions(cleaned: Mapping[str, DataFrame], settings: Settings) ->
         "close_date",
         "account_status",
     )
-    marked = mark_repeated(transactions, "transaction_id", "id_repeated")
+    marked = mark_repeated(transactions, "transaction_id", "id_repeated", repeated_ids)
     marked = marked.join(account, F.col("account_id") == F.col("held_account"), "left")
     marked = marked.withColumn("account_known", F.col("held_account").isNotNull())
     for table, column, flag in (

@@ -13,6 +13,7 @@ from ledgerflow.plans.kpis import calculate_kpis
 from ledgerflow.plans.reports import REPORTS, build_reports
 from ledgerflow.plans.rollup import Tables, one_row, plain_numbers
 from ledgerflow.plans.views import VIEWS, executive_kpis
+from ledgerflow.session import apply_settings
 from ledgerflow.settings import Settings
 from ledgerflow.sources.csv import export_tables, ingest_source_files, table_row_counts
 from ledgerflow.sources.staging import Staging
@@ -78,7 +79,10 @@ class Warehouse(Mapping[str, DataFrame]):
         return build()
 
     def _checked_transactions(self) -> DataFrame:
-        return quality.check_transactions(_Cleaned(self), self.settings)
+        return quality.check_transactions(_Cleaned(self), self.settings, self["repeated_ids"])
+
+    def _repeated_ids(self) -> DataFrame:
+        return quality.repeated_values(self["transactions"], "transaction_id")
 
     def _valid_transactions(self) -> DataFrame:
         return quality.valid_transactions(self["checked_transactions"])
@@ -111,7 +115,14 @@ class Warehouse(Mapping[str, DataFrame]):
         return facts.build_fact_data_quality_issue(self["data_quality_issues"])
 
     def _flagged_rows(self) -> DataFrame:
-        return anomaly.flagged_rows(self["valid_transactions"], self.settings)
+        valid, history, busy_days = self["valid_transactions"], self["customer_history"], self["busy_decline_days"]
+        return anomaly.flagged_rows(valid, self.settings, history, busy_days)
+
+    def _customer_history(self) -> DataFrame:
+        return anomaly.customer_history(self["valid_transactions"])
+
+    def _busy_decline_days(self) -> DataFrame:
+        return anomaly.busy_decline_days(self["valid_transactions"])
 
     def _fact_anomaly_flag(self) -> DataFrame:
         flags = anomaly.number_flags(self["flagged_rows"])
@@ -215,6 +226,7 @@ def run_summary(warehouse: Warehouse, exported_files: int = len(EXPORTED_TABLES)
 
 def open_warehouse(spark: SparkSession, raw_folder: str, settings: Settings) -> Warehouse:
     """A warehouse over raw CSV files. The raw rows are numbered at the scan."""
+    apply_settings(spark)
     staging = Staging(spark)
     raw = {name: staging.save(frame, f"raw_{name}") for name, frame in ingest_source_files(spark, raw_folder).items()}
     return Warehouse(raw, settings, staging)

@@ -75,7 +75,7 @@ GROUP BY o_custkey, o_orderpriority
 """
 
 TRANSACTIONS = f"""
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice,
+SELECT source_row_number,
   CASE WHEN l_quantity = 50 AND l_discount = 0.0 AND l_tax = 0.0 THEN '  '
        ELSE concat('txn-', l_orderkey, '-', l_linenumber, '-', l_suppkey) END AS transaction_id,
   CASE WHEN l_quantity = 47 AND l_discount = 0.02 THEN 'acc-unknown'
@@ -135,7 +135,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedpri
        ELSE concat('$', format_number(cast(l_quantity * 1000 - l_extendedprice AS decimal(18,2)), 2)) END
     AS balance_after_transaction,
   CASE WHEN l_extendedprice > 100000 THEN 'TRUE' ELSE 'False' END AS synthetic_anomaly_flag
-FROM {{lineitem}}
+FROM {{numbered_lines}}
 JOIN {{orders}} ON l_orderkey = o_orderkey
 JOIN {{part}} ON l_partkey = p_partkey
 JOIN {{supplier}} ON l_suppkey = s_suppkey
@@ -191,22 +191,23 @@ class RawMarket:
     def given(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def _query(self, text: str, *names: str) -> DataFrame:
-        return self.spark.sql(text, **{name: self.given(name) for name in names})
+    def _query(self, text: str, *names: str, **others: DataFrame) -> DataFrame:
+        return self.spark.sql(text, **{name: self.given(name) for name in names}, **others)
 
-    def _numbered(self, text: str, names: list[str], order: list[str], kind: str) -> DataFrame:
-        rows = self._query(text, *names)
-        numbered = number_by_total_order(rows, order, "source_row_number", self.staging, f"placed_{kind}")
-        return numbered.drop(*order)
+    def _number(self, rows: DataFrame, order: list[str], name: str) -> DataFrame:
+        return number_by_total_order(rows, order, "source_row_number", self.staging, f"placed_{name}")
 
     def build(self, name: str) -> DataFrame:
         if name == "transactions":
-            tables = ["lineitem", "orders", "part", "supplier", "nation"]
-            return self._numbered(TRANSACTIONS, tables, TRANSACTION_ORDER, name)
+            # Lines are numbered before their text is made: the range partitioner reads its input twice.
+            lines = self._number(self.given("lineitem"), TRANSACTION_ORDER, name)
+            return self._query(TRANSACTIONS, "orders", "part", "supplier", "nation", numbered_lines=lines)
         if name == "customers":
-            return self._numbered(CUSTOMERS, ["customer", "supplier", "nation"], ["part", "number"], name)
+            rows = self._query(CUSTOMERS, "customer", "supplier", "nation")
+            return self._number(rows, ["part", "number"], name).drop("part", "number")
         if name == "accounts":
-            return self._numbered(ACCOUNTS, ["orders"], ["number", "priority"], name)
+            rows = self._query(ACCOUNTS, "orders")
+            return self._number(rows, ["number", "priority"], name).drop("number", "priority")
         queries = {
             "merchants": (MERCHANTS, ["supplier", "nation", "region"]),
             "transaction_categories": (CATEGORIES, ["part"]),
