@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +36,6 @@ REQUIRED_COLUMNS = {
     "accounts": ("account_id", "customer_id", "account_type", "open_date", "account_status", "branch_id"),
 }
 
-ISSUE_FIELDS = ("column_name", "rule_name", "severity", "description", "original_value", "blocking", "rule_order")
 ISSUE_SCHEMA = (
     "stage int, source_row_number bigint, rule_order int, source_file string, record_identifier string, "
     "column_name string, rule_name string, severity string, description string, original_value string"
@@ -50,7 +50,7 @@ LOG_COLUMNS = (
     "original_value",
 )
 # Issues per row are few, so ranges of this many rows stay small after the explode.
-ISSUE_RANGE_BITS = 13
+ISSUE_RANGE_BITS = 15
 
 
 @dataclass(frozen=True)
@@ -65,22 +65,33 @@ class Rule:
     blocking: bool = False
 
 
+def failed_rules(rules: Sequence[Rule]) -> Column:
+    """The failed rules of a row as bits of one number, the first rule in the lowest bit.
+
+    The number is stored with the row; texts are only made for rows that go into the issue log."""
+    bits = [F.when(rule.fails, F.lit(1 << at)).otherwise(F.lit(0)) for at, rule in enumerate(rules)]
+    return reduce(Column.bitwiseOR, bits).cast("bigint")
+
+
+def _bits(rules: Sequence[Rule], blocking: bool) -> int:
+    return sum(1 << at for at, rule in enumerate(rules) if rule.blocking == blocking)
+
+
 def failures(rules: Sequence[Rule]) -> Column:
-    """The failed rules of a row as an array of structs, in rule order."""
+    """The failed rules of a checked row as an array of structs, in rule order."""
     cells = [
         F.when(
-            rule.fails,
+            F.col("failed_rules").bitwiseAND(F.lit(1 << at)) != 0,
             F.struct(
+                F.lit(at).alias("rule_order"),
                 F.lit(rule.column).alias("column_name"),
                 F.lit(rule.name).alias("rule_name"),
                 F.lit(rule.severity).alias("severity"),
                 F.lit(rule.description).alias("description"),
                 F.coalesce(F.col(rule.column).cast("string"), F.lit("")).alias("original_value"),
-                F.lit(rule.blocking).alias("blocking"),
-                F.lit(order).alias("rule_order"),
             ),
         )
-        for order, rule in enumerate(rules)
+        for at, rule in enumerate(rules)
     ]
     return F.array_compact(F.array(*cells))
 
@@ -284,21 +295,21 @@ def transaction_rules(settings: Settings) -> list[Rule]:
 
 
 def check_customers(customers: DataFrame) -> DataFrame:
-    """Customers with their failed rules in ``issues``."""
+    """Customers with their failed rules as bits of ``failed_rules``."""
     marked = mark_repeated(customers, "customer_id", "id_repeated")
-    return marked.select(*customers.columns, failures(customer_rules()).alias("issues"))
+    return marked.select(*customers.columns, failed_rules(customer_rules()).alias("failed_rules"))
 
 
 def check_accounts(accounts: DataFrame, customers: DataFrame, branches: DataFrame) -> DataFrame:
     marked = mark_known(accounts, "customer_id", customers, "customer_id", "customer_known")
     marked = mark_known(marked, "branch_id", branches, "branch_id", "branch_known")
-    return marked.select(*accounts.columns, failures(account_rules()).alias("issues"))
+    return marked.select(*accounts.columns, failed_rules(account_rules()).alias("failed_rules"))
 
 
 def check_transactions(
     cleaned: Mapping[str, DataFrame], settings: Settings, repeated_ids: DataFrame | None = None
 ) -> DataFrame:
-    """Transactions with ``issues`` and ``has_blocking_quality_issue``: all row rules in one pass.
+    """Transactions with ``failed_rules`` and ``has_blocking_quality_issue``: all row rules in one pass.
 
     No hint forces a broadcast: lookup tables may grow with the data, so Spark picks the join by
     their size, and its skew join splits a heavy id."""
@@ -321,22 +332,25 @@ def check_transactions(
         ("transaction_categories", "transaction_category", "category_known"),
     ):
         marked = mark_known(marked, column, cleaned[table], column, flag)
-    blocked = F.exists("issues", lambda issue: issue["blocking"])
-    return marked.select(*transactions.columns, failures(transaction_rules(settings)).alias("issues")).withColumn(
-        "has_blocking_quality_issue", blocked
-    )
+    rules = transaction_rules(settings)
+    blocked = F.col("failed_rules").bitwiseAND(F.lit(_bits(rules, True))) != 0
+    checked = marked.select(*transactions.columns, failed_rules(rules).alias("failed_rules"))
+    return checked.withColumn("has_blocking_quality_issue", blocked)
 
 
 def valid_transactions(checked: DataFrame) -> DataFrame:
-    return checked.where(~F.col("has_blocking_quality_issue")).drop("issues")
+    return checked.where(~F.col("has_blocking_quality_issue")).drop("failed_rules")
 
 
 def rejected_transactions(checked: DataFrame) -> DataFrame:
-    return checked.where("has_blocking_quality_issue").drop("issues")
+    return checked.where("has_blocking_quality_issue").drop("failed_rules")
 
 
-def _rows(checked: DataFrame, source: str, stage: Column, record: Column) -> DataFrame:
-    exploded = checked.select("source_row_number", record.alias("record_identifier"), F.explode("issues").alias("issue"))
+def _rows(checked: DataFrame, source: str, stage: Column, record: Column, rules: Sequence[Rule]) -> DataFrame:
+    failing = checked.where("failed_rules <> 0")
+    exploded = failing.select(
+        "source_row_number", record.alias("record_identifier"), F.explode(failures(rules)).alias("issue")
+    )
     return exploded.select(
         stage.cast("int").alias("stage"),
         "source_row_number",
@@ -348,7 +362,11 @@ def _rows(checked: DataFrame, source: str, stage: Column, record: Column) -> Dat
 
 
 def issue_rows(
-    customers: DataFrame, accounts: DataFrame, transactions: DataFrame, missing: Sequence[tuple[str, str]] = ()
+    customers: DataFrame,
+    accounts: DataFrame,
+    transactions: DataFrame,
+    settings: Settings,
+    missing: Sequence[tuple[str, str]] = (),
 ) -> DataFrame:
     """All issues of the checked tables, with the columns that put them in log order."""
     customer_stage = F.lit(1) + F.col("issue.rule_order")
@@ -359,9 +377,9 @@ def issue_rows(
         for at, (table, column) in enumerate(missing)
     ]
     parts = [
-        _rows(customers, "customers", customer_stage, F.col("customer_id")),
-        _rows(accounts, "accounts", F.lit(3), F.col("account_id")),
-        _rows(transactions, "transactions", F.lit(4), transaction_id),
+        _rows(customers, "customers", customer_stage, F.col("customer_id"), customer_rules()),
+        _rows(accounts, "accounts", F.lit(3), F.col("account_id"), account_rules()),
+        _rows(transactions, "transactions", F.lit(4), transaction_id, transaction_rules(settings)),
     ]
     log = transactions.sparkSession.createDataFrame(absent, ISSUE_SCHEMA)
     for part in parts:
@@ -393,6 +411,7 @@ def validate_datasets(cleaned: Mapping[str, DataFrame], settings: Settings) -> d
         check_customers(cleaned["customers"]),
         check_accounts(cleaned["accounts"], cleaned["customers"], cleaned["branches"]),
         checked,
+        settings,
         missing,
     )
     return {

@@ -94,7 +94,7 @@ class Warehouse(Mapping[str, DataFrame]):
         customers = quality.check_customers(self["customers"])
         accounts = quality.check_accounts(self["accounts"], self["customers"], self["branches"])
         missing = quality.required_column_issues(self.raw)
-        return quality.issue_rows(customers, accounts, self["checked_transactions"], missing)
+        return quality.issue_rows(customers, accounts, self["checked_transactions"], self.settings, missing)
 
     def _data_quality_issues(self) -> DataFrame:
         return quality.issue_log(self["issue_rows"], self.settings)
