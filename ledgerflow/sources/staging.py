@@ -15,9 +15,8 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="ledgerflow-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerflow-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 class Staging:
