@@ -36,6 +36,39 @@ REQUIRED_COLUMNS = {
     "accounts": ("account_id", "customer_id", "account_type", "open_date", "account_status", "branch_id"),
 }
 
+# Rule names in order of detection, with the description that goes into the log.
+DESCRIPTIONS = {
+    "duplicate_customer_id": "Duplicate customer record found",
+    "valid_customer_segment": "Customer segment is not in the configured segment list",
+    "account_customer_exists": "Account references a customer that does not exist",
+    "valid_account_type": "Account type is not valid",
+    "account_branch_exists": "Account references a branch that does not exist",
+    "transaction_id_present": "Transaction ID is missing",
+    "transaction_id_unique": "Transaction ID is duplicated",
+    "customer_id_exists": "Customer ID does not exist",
+    "account_id_exists": "Account ID does not exist",
+    "account_belongs_to_customer": "Account does not belong to the listed customer",
+    "transaction_after_account_open": "Transaction date is before account open date",
+    "transaction_before_account_close": "Transaction occurs after the account close date",
+    "merchant_id_exists": "Merchant ID does not exist",
+    "transaction_amount_numeric": "Transaction amount is not numeric",
+    "transaction_amount_not_zero": "Transaction amount is zero",
+    "purchase_amount_positive": "Transaction amount should be positive with debit or credit direction stored separately",
+    "transaction_date_valid": "Transaction date is not valid",
+    "transaction_date_in_reporting_range": "Transaction date is outside the configured reporting range",
+    "transaction_timestamp_valid": "Transaction timestamp is not valid",
+    "transaction_category_valid": "Transaction category is not valid",
+    "transaction_type_valid": "Transaction type is not valid",
+    "transaction_status_valid": "Transaction status is not valid",
+    "transaction_channel_valid": "Transaction channel is not valid",
+    "currency_supported": "Currency is not supported",
+    "branch_id_exists": "Branch ID does not exist",
+    "branch_required_for_channel": "Branch or ATM transactions should include a branch ID",
+    "device_id_exists": "Device ID does not exist",
+    "device_expected_for_digital_transaction": "Digital transactions usually include a device ID",
+    "balance_numeric": "Balance after transaction is not numeric",
+}
+
 ISSUE_SCHEMA = (
     "stage int, source_row_number bigint, rule_order int, source_file string, record_identifier string, "
     "column_name string, rule_name string, severity string, description string, original_value string"
@@ -60,10 +93,13 @@ class Rule:
     name: str
     column: str
     fails: Column
-    description: str
     severity: str = "Error"
     blocking: bool = False
 
+    @property
+    def description(self) -> str:
+        return DESCRIPTIONS[self.name]
+
 
 def failed_rules(rules: Sequence[Rule]) -> Column:
     """The failed rules of a row as bits of one number, the first rule in the lowest bit.
@@ -141,38 +177,19 @@ def required_column_issues(tables: Mapping[str, DataFrame]) -> list[tuple[str, s
 
 
 def customer_rules() -> list[Rule]:
-    segment = F.col("customer_segment")
+    segment_known = is_member(F.col("customer_segment"), words.CUSTOMER_SEGMENTS)
     return [
-        Rule("duplicate_customer_id", "customer_id", F.col("id_repeated"), "Duplicate customer record found", "Warning"),
-        Rule(
-            "valid_customer_segment",
-            "customer_segment",
-            ~is_member(segment, words.CUSTOMER_SEGMENTS),
-            "Customer segment is not in the configured segment list",
-        ),
+        Rule("duplicate_customer_id", "customer_id", F.col("id_repeated"), "Warning"),
+        Rule("valid_customer_segment", "customer_segment", ~segment_known),
     ]
 
 
 def account_rules() -> list[Rule]:
+    type_known = is_member(F.col("account_type"), words.names_of(words.ACCOUNT_TYPE_SPELLINGS))
     return [
-        Rule(
-            "account_customer_exists",
-            "customer_id",
-            ~F.col("customer_known"),
-            "Account references a customer that does not exist",
-        ),
-        Rule(
-            "valid_account_type",
-            "account_type",
-            ~is_member(F.col("account_type"), words.names_of(words.ACCOUNT_TYPE_SPELLINGS)),
-            "Account type is not valid",
-        ),
-        Rule(
-            "account_branch_exists",
-            "branch_id",
-            ~F.col("branch_known"),
-            "Account references a branch that does not exist",
-        ),
+        Rule("account_customer_exists", "customer_id", ~F.col("customer_known")),
+        Rule("valid_account_type", "account_type", ~type_known),
+        Rule("account_branch_exists", "branch_id", ~F.col("branch_known")),
     ]
 
 
@@ -187,110 +204,44 @@ def transaction_rules(settings: Settings) -> list[Rule]:
     owned = has_account & belongs_to_customer(col("owner_id"), col("customer_id"))
     day, amount = col("transaction_date"), col("transaction_amount")
     channel, branch, device = col("transaction_channel"), col("branch_id"), col("device_id")
+    in_range = day.between(F.lit(settings.start_date), F.lit(settings.end_date))
+
+    def blocking(name: str, column: str, fails: Column, severity: str = "Error") -> Rule:
+        return Rule(name, column, fails, severity, True)
 
-    def blocking(name: str, column: str, fails: Column, description: str, severity: str = "Error") -> Rule:
-        return Rule(name, column, fails, description, severity, True)
+    def warning(name: str, column: str, fails: Column) -> Rule:
+        return Rule(name, column, fails, "Warning")
 
     def outside(column: str, spellings: dict[str, str]) -> Column:
         return ~is_member(col(column), words.names_of(spellings))
 
+    unknown_category = ~col("category_known") | outside("transaction_category", words.CATEGORY_SPELLINGS)
+    closed_before = (col("account_status") == "Closed") & (day > col("close_date"))
     return [
-        blocking("transaction_id_present", "transaction_id", col("transaction_id").isNull(), "Transaction ID is missing", "Critical"),
-        blocking("transaction_id_unique", "transaction_id", col("id_repeated"), "Transaction ID is duplicated"),
-        blocking("customer_id_exists", "customer_id", ~col("customer_known"), "Customer ID does not exist"),
-        blocking("account_id_exists", "account_id", ~has_account, "Account ID does not exist"),
-        blocking(
-            "account_belongs_to_customer",
-            "account_id",
-            has_account & ~owned,
-            "Account does not belong to the listed customer",
-        ),
-        blocking(
-            "transaction_after_account_open",
-            "transaction_date",
-            owned & (day < col("open_date")),
-            "Transaction date is before account open date",
-        ),
-        blocking(
-            "transaction_before_account_close",
-            "transaction_date",
-            owned & (col("account_status") == "Closed") & (day > col("close_date")),
-            "Transaction occurs after the account close date",
-        ),
-        blocking("merchant_id_exists", "merchant_id", ~col("merchant_known"), "Merchant ID does not exist"),
-        blocking("transaction_amount_numeric", "transaction_amount", amount.isNull(), "Transaction amount is not numeric"),
-        blocking("transaction_amount_not_zero", "transaction_amount", amount == 0, "Transaction amount is zero"),
-        blocking(
-            "purchase_amount_positive",
-            "transaction_amount",
-            amount < 0,
-            "Transaction amount should be positive with debit or credit direction stored separately",
-        ),
-        blocking("transaction_date_valid", "transaction_date", day.isNull(), "Transaction date is not valid"),
-        blocking(
-            "transaction_date_in_reporting_range",
-            "transaction_date",
-            ~day.between(F.lit(settings.start_date), F.lit(settings.end_date)),
-            "Transaction date is outside the configured reporting range",
-        ),
-        blocking(
-            "transaction_timestamp_valid",
-            "transaction_timestamp",
-            col("transaction_timestamp").isNull(),
-            "Transaction timestamp is not valid",
-        ),
-        blocking(
-            "transaction_category_valid",
-            "transaction_category",
-            ~col("category_known") | outside("transaction_category", words.CATEGORY_SPELLINGS),
-            "Transaction category is not valid",
-        ),
-        blocking(
-            "transaction_type_valid",
-            "transaction_type",
-            outside("transaction_type", words.TRANSACTION_TYPE_SPELLINGS),
-            "Transaction type is not valid",
-        ),
-        blocking(
-            "transaction_status_valid",
-            "transaction_status",
-            outside("transaction_status", words.STATUS_SPELLINGS),
-            "Transaction status is not valid",
-        ),
-        blocking(
-            "transaction_channel_valid",
-            "transaction_channel",
-            outside("transaction_channel", words.CHANNEL_SPELLINGS),
-            "Transaction channel is not valid",
-        ),
-        blocking(
-            "currency_supported",
-            "currency",
-            ~is_member(col("currency"), settings.supported_currency),
-            "Currency is not supported",
-        ),
-        blocking("branch_id_exists", "branch_id", branch.isNotNull() & ~col("branch_known"), "Branch ID does not exist"),
-        Rule(
-            "branch_required_for_channel",
-            "branch_id",
-            is_member(channel, words.BRANCH_CHANNELS) & branch.isNull(),
-            "Branch or ATM transactions should include a branch ID",
-            "Warning",
-        ),
-        Rule("device_id_exists", "device_id", device.isNotNull() & ~col("device_known"), "Device ID does not exist", "Warning"),
-        Rule(
-            "device_expected_for_digital_transaction",
-            "device_id",
-            is_member(channel, words.DIGITAL_CHANNELS) & device.isNull(),
-            "Digital transactions usually include a device ID",
-            "Warning",
-        ),
-        blocking(
-            "balance_numeric",
-            "balance_after_transaction",
-            col("balance_after_transaction").isNull(),
-            "Balance after transaction is not numeric",
-        ),
+        blocking("transaction_id_present", "transaction_id", col("transaction_id").isNull(), "Critical"),
+        blocking("transaction_id_unique", "transaction_id", col("id_repeated")),
+        blocking("customer_id_exists", "customer_id", ~col("customer_known")),
+        blocking("account_id_exists", "account_id", ~has_account),
+        blocking("account_belongs_to_customer", "account_id", has_account & ~owned),
+        blocking("transaction_after_account_open", "transaction_date", owned & (day < col("open_date"))),
+        blocking("transaction_before_account_close", "transaction_date", owned & closed_before),
+        blocking("merchant_id_exists", "merchant_id", ~col("merchant_known")),
+        blocking("transaction_amount_numeric", "transaction_amount", amount.isNull()),
+        blocking("transaction_amount_not_zero", "transaction_amount", amount == 0),
+        blocking("purchase_amount_positive", "transaction_amount", amount < 0),
+        blocking("transaction_date_valid", "transaction_date", day.isNull()),
+        blocking("transaction_date_in_reporting_range", "transaction_date", ~in_range),
+        blocking("transaction_timestamp_valid", "transaction_timestamp", col("transaction_timestamp").isNull()),
+        blocking("transaction_category_valid", "transaction_category", unknown_category),
+        blocking("transaction_type_valid", "transaction_type", outside("transaction_type", words.TRANSACTION_TYPE_SPELLINGS)),
+        blocking("transaction_status_valid", "transaction_status", outside("transaction_status", words.STATUS_SPELLINGS)),
+        blocking("transaction_channel_valid", "transaction_channel", outside("transaction_channel", words.CHANNEL_SPELLINGS)),
+        blocking("currency_supported", "currency", ~is_member(col("currency"), settings.supported_currency)),
+        blocking("branch_id_exists", "branch_id", branch.isNotNull() & ~col("branch_known")),
+        warning("branch_required_for_channel", "branch_id", is_member(channel, words.BRANCH_CHANNELS) & branch.isNull()),
+        warning("device_id_exists", "device_id", device.isNotNull() & ~col("device_known")),
+        warning("device_expected_for_digital_transaction", "device_id", is_member(channel, words.DIGITAL_CHANNELS) & device.isNull()),
+        blocking("balance_numeric", "balance_after_transaction", col("balance_after_transaction").isNull()),
     ]
 
 

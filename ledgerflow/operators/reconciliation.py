@@ -15,14 +15,31 @@ from ledgerflow.settings import Settings
 TOLERANCE = 0.01
 
 
+# The checks in report order, with their notes.
+CHECK_NOTES = {
+    "Raw transaction count versus valid processed count": "Difference represents rejected records with blocking validation issues.",
+    "Raw transaction count versus valid plus rejected count": "Valid and rejected rows should reconcile to raw transaction rows.",
+    "Raw transaction amount versus processed transaction amount": "Difference is expected when invalid records are rejected.",
+    "Approved transaction total versus fact-table total": "Approved transaction value should match between validated data and fact table.",
+    "Transactions without valid accounts": "Count of relationship issues found during validation.",
+    "Transactions without valid customers": "Count of relationship issues found during validation.",
+    "Accounts without valid customers": "Count of relationship issues found during validation.",
+    "Customers without accounts": "Synthetic customers can exist without active accounts.",
+    "Merchant transaction totals before and after transformation": "Merchant totals should match after fact loading.",
+    "Category totals before and after transformation": "Category totals should match after fact loading.",
+    "Daily transaction totals before and after loading": "Daily row counts should match after date-key assignment.",
+    "Transaction totals versus customer monthly summaries": "Monthly summaries should roll up to the fact transaction count.",
+    "Debit value versus customer monthly summaries": "Monthly summaries should roll up to debit transaction value.",
+    "Database row counts versus exported reporting tables": "Fact table and processed export row counts should match before SQLite load.",
+}
+
+
 @dataclass(frozen=True)
 class Check:
     """One comparison; without ``status`` the difference decides."""
 
-    name: str
     source: Column
     target: Column
-    notes: str
     status: Column | None = None
 
 
@@ -30,17 +47,17 @@ def status_of(difference: Column) -> Column:
     return F.when(F.abs(difference) <= TOLERANCE, "Passed").otherwise("Warning")
 
 
-def check_row(check: Check) -> Column:
+def check_row(name: str, notes: str, check: Check) -> Column:
     source, target = check.source.cast("double"), check.target.cast("double")
     difference = source - target
     status = status_of(difference) if check.status is None else check.status
     return F.struct(
-        F.lit(check.name).alias("reconciliation_name"),
+        F.lit(name).alias("reconciliation_name"),
         source.alias("source_value"),
         target.alias("target_value"),
         F.round(difference, 4).alias("difference"),
         status.alias("status"),
-        F.lit(check.notes).alias("notes"),
+        F.lit(notes).alias("notes"),
     )
 
 
@@ -115,103 +132,31 @@ def reconciliation_inputs(
 
 
 def checks(settings: Settings) -> list[Check]:
+    """The comparisons, in the order of ``CHECK_NOTES``."""
     col, none = F.col, F.lit(0)
+    enough = F.when(col("valid_rows") > settings.minimum_valid_rows, "Passed").otherwise("Failed")
+
+    def warn_if(found: str) -> Column:
+        return F.when(col(found) > 0, "Warning").otherwise("Passed")
 
-    def warn_if(found: Column) -> Column:
-        return F.when(found > 0, "Warning").otherwise("Passed")
+    def expect_none(found: str) -> Check:
+        return Check(col(found), none, warn_if(found))
 
-    relationship = "Count of relationship issues found during validation."
     return [
-        Check(
-            "Raw transaction count versus valid processed count",
-            col("raw_rows"),
-            col("valid_rows"),
-            "Difference represents rejected records with blocking validation issues.",
-            F.when(col("valid_rows") > settings.minimum_valid_rows, "Passed").otherwise("Failed"),
-        ),
-        Check(
-            "Raw transaction count versus valid plus rejected count",
-            col("raw_rows"),
-            col("valid_rows") + col("rejected_rows"),
-            "Valid and rejected rows should reconcile to raw transaction rows.",
-        ),
-        Check(
-            "Raw transaction amount versus processed transaction amount",
-            col("raw_amount"),
-            col("valid_amount"),
-            "Difference is expected when invalid records are rejected.",
-            warn_if(col("rejected_rows")),
-        ),
-        Check(
-            "Approved transaction total versus fact-table total",
-            col("approved_amount"),
-            col("fact_approved"),
-            "Approved transaction value should match between validated data and fact table.",
-        ),
-        Check(
-            "Transactions without valid accounts",
-            col("account_id_exists"),
-            none,
-            relationship,
-            warn_if(col("account_id_exists")),
-        ),
-        Check(
-            "Transactions without valid customers",
-            col("customer_id_exists"),
-            none,
-            relationship,
-            warn_if(col("customer_id_exists")),
-        ),
-        Check(
-            "Accounts without valid customers",
-            col("account_customer_exists"),
-            none,
-            relationship,
-            warn_if(col("account_customer_exists")),
-        ),
-        Check(
-            "Customers without accounts",
-            col("customers_without_accounts"),
-            none,
-            "Synthetic customers can exist without active accounts.",
-            warn_if(col("customers_without_accounts")),
-        ),
-        Check(
-            "Merchant transaction totals before and after transformation",
-            col("merchant_amount"),
-            col("fact_amount"),
-            "Merchant totals should match after fact loading.",
-        ),
-        Check(
-            "Category totals before and after transformation",
-            col("category_amount"),
-            col("fact_amount"),
-            "Category totals should match after fact loading.",
-        ),
-        Check(
-            "Daily transaction totals before and after loading",
-            col("daily_rows"),
-            col("fact_daily_rows"),
-            "Daily row counts should match after date-key assignment.",
-        ),
-        Check(
-            "Transaction totals versus customer monthly summaries",
-            col("fact_transaction_count"),
-            col("monthly_summary_transaction_count"),
-            "Monthly summaries should roll up to the fact transaction count.",
-        ),
-        Check(
-            "Debit value versus customer monthly summaries",
-            col("fact_debit_value"),
-            col("monthly_debit_value"),
-            "Monthly summaries should roll up to debit transaction value.",
-        ),
-        Check(
-            "Database row counts versus exported reporting tables",
-            col("fact_transaction_count"),
-            col("valid_rows"),
-            "Fact table and processed export row counts should match before SQLite load.",
-        ),
+        Check(col("raw_rows"), col("valid_rows"), enough),
+        Check(col("raw_rows"), col("valid_rows") + col("rejected_rows")),
+        Check(col("raw_amount"), col("valid_amount"), warn_if("rejected_rows")),
+        Check(col("approved_amount"), col("fact_approved")),
+        expect_none("account_id_exists"),
+        expect_none("customer_id_exists"),
+        expect_none("account_customer_exists"),
+        expect_none("customers_without_accounts"),
+        Check(col("merchant_amount"), col("fact_amount")),
+        Check(col("category_amount"), col("fact_amount")),
+        Check(col("daily_rows"), col("fact_daily_rows")),
+        Check(col("fact_transaction_count"), col("monthly_summary_transaction_count")),
+        Check(col("fact_debit_value"), col("monthly_debit_value")),
+        Check(col("fact_transaction_count"), col("valid_rows")),
     ]
 
 
@@ -222,4 +167,5 @@ def build_reconciliation_report(
     settings: Settings,
 ) -> DataFrame:
     inputs = reconciliation_inputs(raw["transactions"], validated, model)
-    return inputs.select(F.inline(F.array(*[check_row(check) for check in checks(settings)])))
+    rows = [check_row(name, notes, check) for (name, notes), check in zip(CHECK_NOTES.items(), checks(settings), strict=True)]
+    return inputs.select(F.inline(F.array(*rows)))

@@ -94,6 +94,7 @@ def calculate_kpis(tables: Tables) -> DataFrame:
     """``metric_name, metric_value`` in report order."""
     col = F.col
     rows = col("rows")
+    # The metric names and their order.
     metrics = {
         "Total Transaction Count": rows,
         "Total Transaction Value": col("total_transaction_value"),

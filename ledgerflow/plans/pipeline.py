@@ -18,6 +18,7 @@ from ledgerflow.settings import Settings
 from ledgerflow.sources.csv import export_tables, ingest_source_files, table_row_counts
 from ledgerflow.sources.staging import Staging
 
+# The tables of the model.
 DIMENSIONS = (
     "dim_customer",
     "dim_account",

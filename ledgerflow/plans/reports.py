@@ -122,6 +122,7 @@ def reconciliation(tables: Tables) -> DataFrame:
     return tables["reconciliation_report"]
 
 
+# The report names and their order.
 REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
     "Executive Summary": calculate_kpis,
     "Monthly Trends": monthly_trends,

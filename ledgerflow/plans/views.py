@@ -263,6 +263,7 @@ def executive_kpis(tables: Tables) -> DataFrame:
     )
 
 
+# The view names.
 VIEWS: dict[str, Callable[[Tables], DataFrame]] = {
     "vw_transaction_overview": transaction_overview,
     "vw_daily_transaction_trends": daily_transaction_trends,
