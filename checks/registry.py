@@ -29,7 +29,7 @@ def add(name: str, query: Query, sql: str | None = None) -> None:
 
 
 class _RawTables(dict):
-    """Raw tables, stored once each when first read."""
+    """Raw tables, derived when first read; the transactions, which are read often, are stored."""
 
     def __init__(self, market: RawMarket):
         super().__init__({name: None for name in RAW_FILES})
@@ -37,7 +37,8 @@ class _RawTables(dict):
 
     def __getitem__(self, name: str) -> DataFrame:
         if super().__getitem__(name) is None:
-            self[name] = self.market.staging.save(self.market.build(name), f"raw_{name}")
+            frame = self.market.build(name)
+            self[name] = self.market.staging.save(frame, "raw_transactions") if name == "transactions" else frame
         return super().__getitem__(name)
 
 

@@ -44,10 +44,11 @@ EXPORTED_TABLES = (*DIMENSIONS, *FACTS, "reconciliation_report", "kpi_snapshot")
 class Warehouse(Mapping[str, DataFrame]):
     """The tables of one run by name. A table is computed and stored when it is first asked for.
 
-    Tables that several others read (checked transactions, dimensions, facts) are written once to
-    the shared folder; cheap selections of them stay lazy."""
+    Tables that several others read (cleaned tables, checked transactions, dimensions, facts) are
+    written once to the shared folder. Cheap selections of them stay lazy, and so do the cleaned
+    transactions: all their columns are stored again once they are checked."""
 
-    LAZY = {"valid_transactions", "rejected_transactions", "kpi_snapshot", "validation_summary"}
+    LAZY = {"transactions", "valid_transactions", "rejected_transactions", "kpi_snapshot", "validation_summary"}
 
     def __init__(self, raw: Mapping[str, DataFrame], settings: Settings, staging: Staging):
         self.raw, self.settings, self.staging = raw, settings, staging
@@ -65,7 +66,7 @@ class Warehouse(Mapping[str, DataFrame]):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._ready:
             frame = self._build(name)
-            self._ready[name] = frame if name in self.LAZY or name in self.raw else self.staging.save(frame, name)
+            self._ready[name] = frame if name in self.LAZY else self.staging.save(frame, name)
         return self._ready[name]
 
     def _build(self, name: str) -> DataFrame:
@@ -197,6 +198,7 @@ def export_reports(tables: Tables, folder: str) -> list[str]:
 
 def run_summary(warehouse: Warehouse, exported_files: int = len(EXPORTED_TABLES) + len(VIEWS)) -> DataFrame:
     """``metric, value`` (text) of the run."""
+    # The metric names and their order.
     raw = warehouse.raw
     checked = warehouse["checked_transactions"]
     category = F.col("transaction_category")
@@ -226,10 +228,14 @@ def run_summary(warehouse: Warehouse, exported_files: int = len(EXPORTED_TABLES)
 
 
 def open_warehouse(spark: SparkSession, raw_folder: str, settings: Settings) -> Warehouse:
-    """A warehouse over raw CSV files. The raw rows are numbered at the scan."""
+    """A warehouse over raw CSV files. The raw rows are numbered at the scan.
+
+    Raw transactions are read for cleaning, for repeated ids and for the raw total, so their text
+    is parsed once and stored."""
     apply_settings(spark)
     staging = Staging(spark)
-    raw = {name: staging.save(frame, f"raw_{name}") for name, frame in ingest_source_files(spark, raw_folder).items()}
+    raw = ingest_source_files(spark, raw_folder)
+    raw["transactions"] = staging.save(raw["transactions"], "raw_transactions")
     return Warehouse(raw, settings, staging)
 
 

@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.numbering import number_by_total_order
+from ledgerflow.operators.numbering import number_by_position, number_by_total_order
 from ledgerflow.settings import Settings
 from ledgerflow.sources.staging import Staging
 
@@ -194,20 +194,20 @@ class RawMarket:
     def _query(self, text: str, *names: str, **others: DataFrame) -> DataFrame:
         return self.spark.sql(text, **{name: self.given(name) for name in names}, **others)
 
-    def _number(self, rows: DataFrame, order: list[str], name: str) -> DataFrame:
-        return number_by_total_order(rows, order, "source_row_number", self.staging, f"placed_{name}")
-
     def build(self, name: str) -> DataFrame:
         if name == "transactions":
             # Lines are numbered before their text is made: the range partitioner reads its input twice.
-            lines = self._number(self.given("lineitem"), TRANSACTION_ORDER, name)
+            given = self.given("lineitem")
+            lines = number_by_total_order(given, TRANSACTION_ORDER, "source_row_number", self.staging, "placed_lines")
             return self._query(TRANSACTIONS, "orders", "part", "supplier", "nation", numbered_lines=lines)
         if name == "customers":
             rows = self._query(CUSTOMERS, "customer", "supplier", "nation")
-            return self._number(rows, ["part", "number"], name).drop("part", "number")
+            return number_by_position(rows, "source_row_number", "number", stage="part").drop("part", "number")
         if name == "accounts":
+            # One row per customer and priority: a range of customer numbers holds few rows.
             rows = self._query(ACCOUNTS, "orders")
-            return self._number(rows, ["number", "priority"], name).drop("number", "priority")
+            numbered = number_by_position(rows, "source_row_number", "number", tie_break=["priority"], bits=13)
+            return numbered.drop("number", "priority")
         queries = {
             "merchants": (MERCHANTS, ["supplier", "nation", "region"]),
             "transaction_categories": (CATEGORIES, ["part"]),

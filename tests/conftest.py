@@ -13,6 +13,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))

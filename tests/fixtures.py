@@ -5,6 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+# The columns of the cleaned tables and one valid row of each.
 SCHEMAS = {
     "customers": "source_row_number bigint, customer_id string, customer_display_name string, age_group string, city string, state string, "
     "customer_segment string, account_tenure_months int, join_date date, preferred_channel string, risk_tier string, income_band string",
