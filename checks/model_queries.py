@@ -204,7 +204,6 @@ add_star(
     lambda tables: tables["fact_data_quality_issue"].drop("detected_timestamp"),
     over_issues("SELECT CAST(issue_id[4:] AS BIGINT) AS data_quality_issue_key, * FROM issues"),
 )
-FLAG_SELECT = "f.* REPLACE (CAST(f.transaction_amount AS DOUBLE) AS transaction_amount)"
 add_star(
     "f7_fact_anomaly_flag",
     lambda tables: tables["fact_anomaly_flag"],
@@ -322,7 +321,7 @@ add(
 )
 add(
     "a11_run_anomaly_rules",
-    lambda spark, folder: anomaly.run_anomaly_rules(event_transactions(spark, folder), EVENT_SETTINGS),
+    lambda spark, folder: anomaly.run_anomaly_rules(event_transactions(spark, folder), EVENT_SETTINGS, Staging(spark)),
     over_events("SELECT * REPLACE (CAST(transaction_amount AS DOUBLE) AS transaction_amount) FROM flags"),
 )
 

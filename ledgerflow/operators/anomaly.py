@@ -11,6 +11,7 @@ from ledgerflow.functions import numbers, text
 from ledgerflow.operators.numbering import number_by_position
 from ledgerflow.operators.quantiles import exact_quantiles
 from ledgerflow.settings import Settings
+from ledgerflow.sources.staging import Staging
 
 GEOGRAPHY_HOURS = 2
 BALANCE_ISSUE_AMOUNT = 1000
@@ -268,5 +269,11 @@ def number_flags(flagged: DataFrame) -> DataFrame:
     return numbered.select(text.numbered_id("ANOM", F.col("anomaly_number")).alias("anomaly_id"), *others)
 
 
-def run_anomaly_rules(transactions: DataFrame, settings: Settings) -> DataFrame:
-    return number_flags(flagged_rows(transactions, settings))
+def run_anomaly_rules(transactions: DataFrame, settings: Settings, staging: Staging | None = None) -> DataFrame:
+    """The flag table. With ``staging`` the customer totals and the flagged rows are stored once;
+    without it the rules run once for counting the flagged rows and once for numbering them."""
+    if staging is None:
+        return number_flags(flagged_rows(transactions, settings))
+    history = staging.save(customer_history(transactions), "customer_history")
+    busy_days = staging.save(busy_decline_days(transactions), "busy_decline_days")
+    return number_flags(staging.save(flagged_rows(transactions, settings, history, busy_days), "flagged_rows"))
