@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import grammar, packing, pii, quality, secrets
+from ledgerflow.llm import fingerprint, grammar, neardup, packing, pii, quality, secrets
 from ledgerflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_personal_data": lambda spark, folder: pii.personal_data(documents(spark, folder)),
     "op3_token_grammar": lambda spark, folder: grammar.token_files(documents(spark, folder)),
+    "op6_fingerprints": lambda spark, folder: fingerprint.document_fingerprints(documents(spark, folder)),
+    "op7_near_duplicates": lambda spark, folder: neardup.near_duplicates(documents(spark, folder)),
     "op8_packing": lambda spark, folder: packing.pack_documents(documents(spark, folder)),
     "op9_quality_cascade": lambda spark, folder: quality.quality_table(documents(spark, folder)),
     "op10_secret_ownership": lambda spark, folder: secrets.secrets(documents(spark, folder)),
