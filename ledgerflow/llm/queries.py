@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import fingerprint, grammar, neardup, packing, pii, quality, secrets
+from ledgerflow.llm import fingerprint, grammar, mixing, neardup, packing, pii, quality, secrets
 from ledgerflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": lambda spark, folder: mixing.mixed(documents(spark, folder)),
     "op2_personal_data": lambda spark, folder: pii.personal_data(documents(spark, folder)),
     "op3_token_grammar": lambda spark, folder: grammar.token_files(documents(spark, folder)),
     "op6_fingerprints": lambda spark, folder: fingerprint.document_fingerprints(documents(spark, folder)),
@@ -19,4 +20,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_ownership": lambda spark, folder: secrets.secrets(documents(spark, folder)),
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_mixing": mixing.mixed_sql(),
+}
