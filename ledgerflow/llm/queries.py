@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import fingerprint, grammar, mixing, neardup, packing, pii, quality, secrets, trie
+from ledgerflow.llm import fingerprint, grammar, mixing, neardup, packing, pii, quality, repeats, secrets, trie
 from ledgerflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": lambda spark, folder: mixing.mixed(documents(spark, folder)),
     "op2_personal_data": lambda spark, folder: pii.personal_data(documents(spark, folder)),
     "op3_token_grammar": lambda spark, folder: grammar.token_files(documents(spark, folder)),
+    "op4_repeats": lambda spark, folder: repeats.without_repeats(documents(spark, folder)),
     "op5_token_counts": lambda spark, folder: trie.token_counts(documents(spark, folder)),
     "op6_fingerprints": lambda spark, folder: fingerprint.document_fingerprints(documents(spark, folder)),
     "op7_near_duplicates": lambda spark, folder: neardup.near_duplicates(documents(spark, folder)),
