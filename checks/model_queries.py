@@ -29,7 +29,7 @@ from ledgerflow.operators.numbering import (
 from ledgerflow.operators.quantiles import exact_quantiles
 from ledgerflow.operators.reconciliation import calculate_reconciliation_totals
 from ledgerflow.settings import Settings
-from ledgerflow.sources.market import event_transactions
+from checks.market import event_transactions
 from ledgerflow.sources.staging import Staging
 
 col = F.col
@@ -38,34 +38,38 @@ col = F.col
 
 
 def _required_columns(spark: SparkSession, folder: str) -> DataFrame:
-    """Required columns that the given tables lack, read under the names of raw sources."""
-    sources = {"transactions": "lineitem", "customers": "customer", "accounts": "orders"}
-    tables = {
-        name: warehouse(spark, folder).raw[name].drop("currency", "join_date", "branch_id")
-        for name in sources
-    }
-    missing = quality.required_column_issues(tables)
-    rows = [f"('{table}.csv', '{column}')" for table, column in missing]
-    counted = [tables[table].agg(F.lit(f"{table}.csv").alias("source_file"), F.count("*").alias("rows")) for table in sources]
-    sizes = counted[0].unionAll(counted[1]).unionAll(counted[2])
-    named = spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS missing(source_file, column_name)")
-    return named.join(sizes, "source_file").withColumn("severity", F.lit("Critical"))
+    """The log over raw tables that lack required columns: its entries for them, with their ids."""
+    star = warehouse(spark, folder)
+    tables = {name: star.raw[name].drop("currency", "join_date", "branch_id") for name in quality.REQUIRED_COLUMNS}
+    rows = quality.issue_rows(
+        quality.check_customers(star["customers"]),
+        quality.check_accounts(star["accounts"], star["customers"], star["branches"]),
+        star["checked_transactions"],
+        star.settings,
+        quality.required_column_issues(tables),
+    )
+    log = quality.issue_log(rows, star.settings)
+    last = log.agg(F.max("issue_id").alias("issue_id"), F.lit("last").alias("rule_name"))
+    found = log.where("rule_name = 'required_source_column'").select("issue_id", *LOG)
+    return found.unionByName(last, allowMissingColumns=True)
 
 
+LOG = ["source_file", "record_identifier", "column_name", "rule_name", "severity", "description", "original_value"]
+_MISSING = (("transactions", "currency"), ("customers", "join_date"), ("accounts", "branch_id"))
 add(
     "v01_required_source_column",
     _required_columns,
-    over_clean(
-        "SELECT source_file, column_name, rows, 'Critical' AS severity FROM ("
-        "SELECT 'transactions.csv' AS source_file, 'currency' AS column_name, (SELECT count(*) FROM t) AS rows "
-        "UNION ALL SELECT 'customers.csv', 'join_date', (SELECT count(*) FROM customers) "
-        "UNION ALL SELECT 'accounts.csv', 'branch_id', (SELECT count(*) FROM accounts))"
+    over_issues(
+        " UNION ALL ".join(
+            f"SELECT 'DQI' || lpad('{at}', 7, '0') AS issue_id, '{table}.csv' AS source_file, 'DATASET' AS record_identifier, "
+            f"'{column}' AS column_name, 'required_source_column' AS rule_name, 'Critical' AS severity, "
+            f"'Missing required column {column}' AS description, '' AS original_value"
+            for at, (table, column) in enumerate(_MISSING, 1)
+        )
+        + " UNION ALL SELECT 'DQI' || lpad(CAST(count(*) + 3 AS VARCHAR), 7, '0'), NULL, NULL, NULL, 'last', NULL, NULL, NULL FROM issues"
     ),
 )
 
-LOG = ["source_file", "record_identifier", "column_name", "rule_name", "severity", "description", "original_value"]
-
-
 def _add_rule(order: int, name: str) -> None:
     add_star(
         f"v{order + 2:02d}_{name}",
@@ -121,9 +125,10 @@ add_given(
     "d00_number_by_position",
     "orders",
     lambda orders: number_by_position(
-        orders.where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey"), "order_row", "o_orderkey", bits=10
+        # Three times the key leaves gaps between the positions.
+        orders.select(F.expr("o_orderkey * 3").alias("place"), "o_custkey"), "order_row", "place", bits=10
     ),
-    "SELECT row_number() OVER (ORDER BY o_orderkey) AS order_row, o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F'",
+    "SELECT row_number() OVER (ORDER BY o_orderkey) AS order_row, o_orderkey * 3 AS place, o_custkey FROM orders",
 )
 add_given(
     "d01_unknown_member",
@@ -136,15 +141,17 @@ add_given(
 def _lookup(spark: SparkSession, folder: str) -> DataFrame:
     customers = spark.read.parquet(f"{folder}/customer.parquet")
     orders = spark.read.parquet(f"{folder}/orders.parquet")
-    rich = customers.where("c_acctbal >= 1000").select((col("c_custkey") + 1).alias("customer_key"), "c_custkey")
-    return lookup_key(orders.select("o_orderkey", "o_custkey"), rich, "customer_key", "o_custkey", "c_custkey")
+    known = customers.select((col("c_custkey") + 1).alias("customer_key"), "c_custkey")
+    # Part of the orders ask for keys that no customer has.
+    asked = F.expr("CASE WHEN o_orderkey % 7 = 0 THEN -o_custkey - 1 WHEN o_orderkey % 11 <> 0 THEN o_custkey END")
+    return lookup_key(orders.select("o_orderkey", asked.alias("asked")), known, "customer_key", "asked", "c_custkey")
 
 
 add(
     "d02_key_lookup",
     _lookup,
-    "SELECT o_orderkey, o_custkey, coalesce(c_custkey + 1, 0) AS customer_key FROM orders "
-    "LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 1000) ON o_custkey = c_custkey",
+    "SELECT o_orderkey, asked, coalesce(c_custkey + 1, 0) AS customer_key FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 "
+    "THEN -o_custkey - 1 WHEN o_orderkey % 11 <> 0 THEN o_custkey END AS asked FROM orders) LEFT JOIN customer ON asked = c_custkey",
 )
 add_given(
     "d03_first_wins",

@@ -10,7 +10,7 @@ from ledgerflow.plans.pipeline import Warehouse
 from ledgerflow.plans.rollup import plain_numbers
 from ledgerflow.session import apply_settings
 from ledgerflow.sources.csv import RAW_FILES
-from ledgerflow.sources.market import SETTINGS, RawMarket
+from checks.market import SETTINGS, RawMarket
 from ledgerflow.sources.staging import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import scalar_queries  # noqa: F401  registers the cleaned tables
 from checks.model_queries import RECONCILIATION
 from checks.oracle_tables import over_clean, over_everything, over_flags, over_issues, over_model, ratio
-from checks.registry import add, add_star, warehouse
+from checks.registry import ORACLE, add, add_star, warehouse
 from ledgerflow.functions.text import standardize_column_names
+from ledgerflow.operators import quality
+from ledgerflow.operators.cleaning import clean_accounts, clean_customers, clean_transactions
 from ledgerflow.plans import dashboard, kpis, measures, pipeline, reports, views
+from ledgerflow.plans.views import VIEWS
 from ledgerflow.sources import csv
 from ledgerflow.sources.staging import Staging
 
@@ -193,6 +200,7 @@ add("w11_view_by_name", _view_by_name, grouped("region", f"{COUNT}, {VALUE}", "l
 
 # --- KPIs and insights --------------------------------------------------------------------------
 
+# KPI names.
 _KPIS = [
     ("Total Transaction Count", "count(*)"),
     ("Total Transaction Value", "sum(transaction_amount)"),
@@ -461,9 +469,57 @@ add_star(
     ),
 )
 
+_BY_SEGMENT = {"dim_customer": ["customer_segment"]}
+add_star(
+    "m6_m9_reviews_and_spend_by_segment",
+    lambda tables: measures.measures_by(
+        tables, _BY_SEGMENT, ["potential_anomaly_count", "high_priority_review_count", "average_monthly_spend_per_customer"]
+    ),
+    over_everything(
+        "SELECT customer_segment, potential_anomaly_count, high_priority_review_count, average_monthly_spend_per_customer FROM "
+        "(SELECT customer_segment, CAST(sum(CAST(debit_transaction_value AS DECIMAL(18,2))) AS DOUBLE) / count(*) "
+        f"AS average_monthly_spend_per_customer FROM monthly {JOIN['customer']} GROUP BY 1) LEFT JOIN "
+        "(SELECT customer_segment, count(*) AS potential_anomaly_count, count(*) FILTER (review_priority = 'High') AS high_priority_review_count "
+        "FROM (SELECT transaction_id, review_priority FROM flags) JOIN (SELECT transaction_id, customer_key FROM fact) USING (transaction_id) "
+        f"{JOIN['customer']} GROUP BY 1) USING (customer_segment)"
+    ),
+)
+add_star(
+    "m6_review_counts_by_channel_and_region",
+    lambda tables: measures.measures_by(
+        tables,
+        {"dim_channel": ["transaction_channel"], "dim_location": ["region"]},
+        ["potential_anomaly_count", "high_priority_review_count"],
+    ),
+    over_everything(
+        "SELECT transaction_channel, region, count(*) AS potential_anomaly_count, count(*) FILTER (review_priority = 'High') "
+        "AS high_priority_review_count FROM (SELECT transaction_id, review_priority FROM flags) "
+        f"JOIN (SELECT transaction_id, channel_key, location_key FROM fact) USING (transaction_id) {JOIN['channel']} {JOIN['location']} GROUP BY 1, 2"
+    ),
+)
+_PER_MONTH = (
+    "(SELECT transaction_category, month_start_date, CAST(sum(transaction_amount) AS DOUBLE) AS value "
+    f"FROM fact {JOIN['category']} {JOIN['date']} GROUP BY 1, 2)"
+)
+_MONTH_AFTER = f"(SELECT transaction_category, CAST(month_start_date + INTERVAL 1 MONTH AS DATE) AS month_start_date, value FROM {_PER_MONTH})"
+add_star(
+    "m7_m8_monthly_growth_by_category",
+    lambda tables: measures.monthly_growth(tables, {"dim_transaction_category": ["transaction_category"]}),
+    over_model(
+        "SELECT transaction_category, month_start_date, now.value AS total_transaction_value, past.value AS previous_month_transaction_value, "
+        "(coalesce(now.value, 0) - past.value) / nullif(past.value, 0) AS month_over_month_transaction_growth FROM "
+        f"(SELECT transaction_category, month_start_date FROM {_PER_MONTH} UNION SELECT transaction_category, month_start_date FROM {_MONTH_AFTER} "
+        "WHERE month_start_date IN (SELECT month_start_date FROM dim_date)) "
+        f"LEFT JOIN {_PER_MONTH} AS now USING (transaction_category, month_start_date) "
+        f"LEFT JOIN {_MONTH_AFTER} AS past USING (transaction_category, month_start_date)"
+    ),
+)
+
 # --- dashboard analyses -------------------------------------------------------------------------
 
-SEGMENTS = ["Students", "Young Professionals", "Families", "Affluent", "Machinery"]
+# The customer segments, as the matrix lists them.
+SEGMENTS = ["Students", "Young Professionals", "Families", "Affluent", "Retirees", "Small Business", "Unknown"]
+_LISTED = ", ".join(f"'{name}'" for name in SEGMENTS)
 PAIR = f"{COUNT}, {VALUE}"
 add_star(
     "b01_top_segments",
@@ -478,10 +534,11 @@ add_star(
 )
 add_star(
     "b03_category_segment_matrix",
-    lambda tables: dashboard.category_segment_matrix(tables, SEGMENTS),
+    dashboard.category_segment_matrix,
     grouped(
         "transaction_category",
-        ", ".join(f"""CAST(sum(transaction_amount) FILTER (customer_segment = '{name}') AS DOUBLE) AS "{name}" """ for name in SEGMENTS),
+        ", ".join(f"""CAST(sum(transaction_amount) FILTER (customer_segment = '{name}') AS DOUBLE) AS "{name}" """ for name in SEGMENTS)
+        + f""", CAST(sum(transaction_amount) FILTER (customer_segment NOT IN ({_LISTED})) AS DOUBLE) AS "Other" """,
         "category", "customer",
     ),
 )
@@ -573,7 +630,7 @@ add_star(
     dashboard.flags_by_rule,
     over_flags(f"SELECT label AS rule_name, CAST(value AS BIGINT) AS flags FROM ({_RULE_COUNTS})"),
 )
-for _column in ("customer_id", "transaction_category", "transaction_channel"):
+for _column in ("customer_id", "transaction_category", "transaction_channel", "review_priority"):
     add_star(
         f"b15_flags_by_{_column}",
         lambda tables, column=_column: dashboard.flags_by(tables, column),
@@ -630,7 +687,7 @@ def _ingested(spark: SparkSession, folder: str) -> DataFrame:
             F.count("*").alias("rows"),
             F.count_distinct("source_row_number").alias("row_numbers"),
             F.max("source_row_number").alias("last_row_number"),
-            F.lit(len(frame.columns)).alias("columns"),
+            F.lit(len(frame.drop(csv.MALFORMED).columns)).alias("columns"),
         )
         result = row if result is None else result.unionAll(row)
     return result
@@ -659,6 +716,58 @@ add(
 )
 
 
+for _table, _clean, _same in (
+    ("customers", clean_customers, "cl1_clean_customers"),
+    ("accounts", clean_accounts, "cl2_clean_accounts"),
+    ("transactions", clean_transactions, "cl3_clean_transactions"),
+):
+    add(
+        f"io01_ingested_{_table}",
+        lambda spark, folder, table=_table, clean=_clean: clean(_csv_round_trip(spark, folder)[table].drop(csv.MALFORMED)).drop(
+            "source_row_number"
+        ),
+        f"SELECT * EXCLUDE (source_row_number) FROM ({ORACLE[_same]})",
+    )
+
+
+def _malformed(spark: SparkSession, folder: str) -> DataFrame:
+    """Part lines written as text, some with a field too many or too few, and their issues."""
+    path = Staging(spark).path("customers.csv")
+    lines = spark.read.parquet(f"{folder}/part.parquet").selectExpr(
+        "concat_ws(',', p_partkey, p_name, p_size, CASE WHEN p_size % 10 = 3 THEN 'EXTRA' END) AS line",
+        "CASE WHEN p_size % 10 = 4 THEN concat(p_partkey, ',', p_name) END AS short",
+    )
+    # One file in one order: the header comes first.
+    header = spark.sql("SELECT 'Part Key,Name,Size' AS value")
+    header.unionAll(lines.selectExpr("coalesce(short, line) AS value")).coalesce(1).write.text(path)
+    found = Staging(spark).save(csv.read_numbered_csv(spark, path), "numbered")
+    issues = quality.malformed_line_issues({"customers": found})[0]
+    return issues.select("record_identifier", "rule_name", "severity", F.col("original_value").alias("line"))
+
+
+add(
+    "io01_malformed_lines",
+    _malformed,
+    "SELECT CAST(p_partkey AS VARCHAR) AS record_identifier, 'source_line_fields' AS rule_name, 'Error' AS severity, CASE WHEN p_size % 10 = 3 THEN p_partkey || ',' || p_name || ',' || p_size || ',EXTRA' "
+    "ELSE p_partkey || ',' || p_name END AS line FROM part WHERE p_size % 10 IN (3, 4)",
+)
+
+
+def _broken_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Part names with line breaks and quotes, written and read with the parameter for them."""
+    path = Staging(spark).path("broken.csv")
+    parts = spark.read.parquet(f"{folder}/part.parquet")
+    csv.save_csv(parts.selectExpr("p_partkey", "concat(p_name, '\n\"', p_brand, '\"') AS note"), path)
+    return csv.read_numbered_csv(spark, path, multi_line=True).drop("source_row_number")
+
+
+add(
+    "io01_quoted_line_breaks",
+    _broken_lines,
+    "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name || chr(10) || '\"' || p_brand || '\"' AS note, NULL AS malformed_line FROM part",
+)
+
+
 def _read_back(spark: SparkSession, folder: str) -> DataFrame:
     """Text columns of lines written to CSV and read back."""
     path = Staging(spark).path("lines.csv")
@@ -686,22 +795,25 @@ add(
 )
 
 
-def _saved_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """A star table replaced in the catalog and read back by name."""
+def _saved_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Star tables replaced in a fresh catalog database and read back by name."""
     star = warehouse(spark, folder)
     staging = Staging(spark)
-    database = "ledgerflow_saved"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{staging.path('catalog')}'")
-    csv.save_tables({"dim_account": star["dim_account"], "dim_branch": star["dim_branch"]}, database)
-    saved = spark.table(f"{database}.dim_account")
-    return saved.select("account_key", "account_id", "account_type", "current_balance")
+    database = f"ledgerflow_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{staging.path('catalog')}'")
+    names = ("dim_account", "dim_branch")
+    csv.save_tables({name: star[name] for name in names}, database)
+    return {name: spark.table(f"{database}.{name}") for name in names}
 
 
 add(
     "io05_table_sink",
-    _saved_tables,
-    over_model(f"SELECT account_key, account_id, account_type, {dbl('current_balance', 'current_balance')} FROM dim_account"),
+    lambda spark, folder: _saved_tables(spark, folder)["dim_account"],
+    over_model(
+        "SELECT * REPLACE (CAST(current_balance AS DOUBLE) AS current_balance, CAST(credit_limit AS DOUBLE) AS credit_limit) FROM dim_account"
+    ),
 )
+add("io05_table_sink_branches", lambda spark, folder: _saved_tables(spark, folder)["dim_branch"], over_model("SELECT * FROM dim_branch"))
 add_star(
     "io06_export_cast",
     lambda tables: csv.export_cast(
@@ -763,6 +875,40 @@ _VIEW_SIZES = {
     "vw_executive_kpis": "(SELECT 1)",
 }
 add("io07_export_reporting_tables", _exported, over_everything(_counts({**_COUNTED, **_VIEW_SIZES})))
+
+
+def _written(spark: SparkSession, folder: str, name: str, frame: DataFrame) -> DataFrame:
+    """A table exported as CSV, read back and cast to its own types: every cell is compared."""
+    (path,) = csv.export_tables({name: frame}, Staging(spark).path("cells"))
+    found = csv.read_csv(spark, path)
+    return found.select(*[F.col(f"`{part.name}`").cast(part.dataType).alias(part.name) for part in frame.schema])
+
+
+for _view, _same in sorted((name, key) for name in VIEWS for key in ORACLE if re.fullmatch(rf"w\d\d_{name.removeprefix('vw_')}", key)):
+    add(
+        f"io07_cells_of_{_view}",
+        lambda spark, folder, view=_view: _written(spark, folder, view, VIEWS[view](warehouse(spark, folder))),
+        ORACLE[_same],
+    )
+
+
+def _amount_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Exported amounts as the text in the file; the large ones keep all their digits."""
+    large = warehouse(spark, folder)["fact_transaction"].select(
+        "transaction_key", "transaction_amount", (F.col("transaction_amount") + F.lit("9007199254740993.00").cast("decimal(28,2)")).alias("large")
+    )
+    (path,) = csv.export_tables({"amounts": large}, Staging(spark).path("amounts"))
+    return csv.read_csv(spark, path)
+
+
+add(
+    "io07_decimal_text",
+    _amount_texts,
+    over_model(
+        "SELECT CAST(transaction_key AS VARCHAR) AS transaction_key, CAST(CAST(transaction_amount AS DECIMAL(28,2)) AS VARCHAR) AS transaction_amount, "
+        "CAST(CAST(transaction_amount AS DECIMAL(28,2)) + CAST('9007199254740993.00' AS DECIMAL(28,2)) AS VARCHAR) AS large FROM fact"
+    ),
+)
 add_star(
     "io08_table_and_view_counts",
     lambda tables: csv.table_row_counts(pipeline.reporting_tables(tables)),
@@ -825,12 +971,23 @@ _SUMMARY = {
     "potential_anomaly_flags": "(SELECT count(*) FROM flags)",
     "data_quality_issues": "(SELECT count(*) FROM issues)",
     "powerbi_export_files": "32",
+    "excel_workbook": "'reports'",
+    "database_path": "'tables'",
     "database_table_count_checks": "17",
     "database_view_count_checks": "15",
 }
-add_star(
+def _summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary after an export; the two folders, which differ from run to run, under fixed names."""
+    star, staging = warehouse(spark, folder), Staging(spark)
+    exported = pipeline.export_reporting_tables(star, staging.path("reporting"))
+    found = pipeline.run_summary(star, exported, staging.path("reports"))
+    name = F.when(F.col("value") == staging.path("reports"), "reports").when(F.col("value") == star.staging.folder, "tables")
+    return found.select("metric", F.coalesce(name, F.col("value")).alias("value"))
+
+
+add(
     "io12_run_summary",
-    pipeline.run_summary,
+    _summary,
     over_everything(
         " UNION ALL ".join(f"SELECT '{name}' AS metric, CAST({value} AS VARCHAR) AS value" for name, value in _SUMMARY.items())
     ),

@@ -8,8 +8,8 @@ from checks.oracle_tables import CATEGORY, over_clean, ratio, region, title
 from checks.registry import add_given, add_star
 from ledgerflow.functions import numbers, parsing, text
 from ledgerflow.operators.dimensions import build_dim_date
-from ledgerflow.sources.market import CATEGORY as CATEGORY_TEXT
-from ledgerflow.sources.market import STATE as STATE_TEXT
+from checks.market import CATEGORY as CATEGORY_TEXT
+from checks.market import STATE as STATE_TEXT
 
 col, expr = F.col, F.expr
 
@@ -118,6 +118,9 @@ add_given(
     f"{LINE_SQL}, CASE l_linestatus WHEN 'O' THEN 'USD' END AS currency FROM lineitem",
 )
 _PRICE = "cast(cast(l_extendedprice AS decimal(18,2)) AS string)"
+# Amount spellings by quantity, beside those by line number: more than two places, brackets, many digits, exponents.
+_ODD_AMOUNTS = {1: "0.004", 2: "12.345", 3: "(0.001)", 4: "12345678901234567890", 5: "1e2", 6: "1e40"}
+_ODD_VALUES = {1: "0.004", 2: "12.345", 3: "-0.001", 4: "12345678901234567890", 5: "100", 6: "1e30"}
 add_given(
     "c11_parse_currency",
     "lineitem",
@@ -125,16 +128,23 @@ add_given(
         *LINE,
         parsing.parse_currency(
             expr(
-                "CASE l_linenumber WHEN 1 THEN concat('$', format_number(cast(l_extendedprice AS decimal(18,2)), 2))"
-                f" WHEN 2 THEN concat('(', {_PRICE}, ')') WHEN 3 THEN concat(' ', {_PRICE}, ' USD') WHEN 4 THEN 'n/a'"
-                f" WHEN 5 THEN '' WHEN 6 THEN concat({_PRICE}, ' usd') ELSE {_PRICE} END"
+                "CASE " + " ".join(f"WHEN l_quantity = {at} THEN '{text}'" for at, text in _ODD_AMOUNTS.items())
+                + " WHEN l_linenumber = 1 THEN concat('$', format_number(cast(l_extendedprice AS decimal(18,2)), 2))"
+                f" WHEN l_linenumber = 2 THEN concat('(', {_PRICE}, ')') WHEN l_linenumber = 3 THEN concat(' ', {_PRICE}, ' USD')"
+                f" WHEN l_linenumber = 4 THEN 'n/a' WHEN l_linenumber = 5 THEN ''"
+                f" WHEN l_linenumber = 6 THEN concat({_PRICE}, ' usd') ELSE {_PRICE} END"
             )
         ).alias("amount"),
     ),
-    f"{LINE_SQL}, CASE WHEN l_linenumber IN (1, 3, 7) THEN l_extendedprice WHEN l_linenumber = 2 THEN -l_extendedprice END AS amount "
+    f"{LINE_SQL}, CASE " + " ".join(f"WHEN l_quantity = {at} THEN {value}::DOUBLE" for at, value in _ODD_VALUES.items())
+    + " WHEN l_linenumber IN (1, 3, 7) THEN l_extendedprice WHEN l_linenumber = 2 THEN -l_extendedprice END AS amount "
     "FROM lineitem",
 )
 _DAY = "cast(l_shipdate AS date)"
+# Date spellings by quantity, beside those by line number.
+_DATE_SPELLINGS = (
+    "yyyy/MM/dd", "MM-dd-yyyy", "dd-MMM-yyyy", "dd MMM yyyy", "MMM dd yyyy", "yyyyMMdd", "MM/dd/yy", "yyyy.MM.dd", "MMMM d, yyyy"
+)
 add_given(
     "c12_parse_date",
     "lineitem",
@@ -142,17 +152,31 @@ add_given(
         *LINE,
         parsing.parse_date(
             expr(
-                f"CASE l_linenumber WHEN 1 THEN date_format({_DAY}, 'MM/dd/yyyy') WHEN 2 THEN date_format({_DAY}, 'MMM dd, yyyy')"
-                f" WHEN 3 THEN cast(l_shipdate AS string) WHEN 4 THEN 'soon'"
-                f" WHEN 5 THEN CASE WHEN day({_DAY}) > 12 THEN date_format({_DAY}, 'dd/MM/yyyy') END"
+                "CASE " + " ".join(f"WHEN l_quantity = {at} THEN date_format({_DAY}, '{p}')" for at, p in enumerate(_DATE_SPELLINGS, 1))
+                + f" WHEN l_quantity = 10 AND month({_DAY}) = 9 THEN concat('Sept ', day({_DAY}), ', ', year({_DAY}))"
+                f" WHEN l_quantity = 11 THEN date_format({_DAY}, 'dd/MM/yyyy')"
+                f" WHEN l_quantity = 12 THEN date_format({_DAY}, 'MM/dd/yyyy') || ' 2:30 PM'"
+                f" WHEN l_linenumber = 1 THEN date_format({_DAY}, 'MM/dd/yyyy')"
+                f" WHEN l_linenumber = 2 THEN date_format({_DAY}, 'MMM dd, yyyy')"
+                " WHEN l_linenumber = 3 THEN cast(l_shipdate AS string) WHEN l_linenumber = 4 THEN 'soon'"
+                f" WHEN l_linenumber = 5 THEN CASE WHEN day({_DAY}) > 12 THEN date_format({_DAY}, 'dd/MM/yyyy') END"
                 f" ELSE cast({_DAY} AS string) END"
             )
         ).alias("ship_date"),
     ),
-    f"{LINE_SQL}, CASE WHEN l_linenumber = 4 OR l_linenumber = 5 AND day(l_shipdate) <= 12 THEN NULL "
+    # A day up to 12 in front of the month is read as the month.
+    f"{LINE_SQL}, CASE WHEN l_quantity < 10 OR l_quantity = 10 AND month(l_shipdate) = 9 OR l_quantity = 12 THEN CAST(l_shipdate AS DATE) "
+    "WHEN l_quantity = 11 AND day(l_shipdate) <= 12 THEN make_date(year(l_shipdate), day(l_shipdate), month(l_shipdate)) "
+    "WHEN l_quantity = 11 THEN CAST(l_shipdate AS DATE) "
+    "WHEN l_linenumber = 4 OR l_linenumber = 5 AND day(l_shipdate) <= 12 THEN NULL "
     "ELSE CAST(l_shipdate AS DATE) END AS ship_date FROM lineitem",
 )
 _TIME = "concat(date_format({0}, '{1}'), substring(cast(ts AS string), 11, 9))"
+_HOUR = "cast(substring(cast(ts AS string), 12, 2) AS int)"
+_TWELVE = (
+    f"concat(date_format(cast(ts AS date), 'MM/dd/yyyy'), ' ', CASE WHEN {_HOUR} % 12 = 0 THEN 12 ELSE {_HOUR} % 12 END, "
+    f"substring(cast(ts AS string), 14, 3), CASE WHEN {_HOUR} < 12 THEN ' AM' ELSE ' PM' END)"
+)
 add_given(
     "c13_parse_timestamp",
     "events",
@@ -160,13 +184,16 @@ add_given(
         "event_id",
         parsing.parse_timestamp(
             expr(
-                f"CASE event_type WHEN 'view' THEN {_TIME.format('cast(ts AS date)', 'MM/dd/yyyy')}"
-                f" WHEN 'click' THEN {_TIME.format('cast(ts AS date)', 'MMM dd, yyyy')}"
-                " WHEN 'error' THEN 'late' ELSE cast(ts AS string) END"
+                f"CASE WHEN user_id % 5 = 0 THEN {_TWELVE} WHEN user_id % 5 = 1 THEN {_TIME.format('cast(ts AS date)', 'dd-MMM-yyyy')}"
+                f" WHEN user_id % 5 = 2 THEN {_TIME.format('cast(ts AS date)', 'yyyy/MM/dd')}"
+                f" WHEN event_type = 'view' THEN {_TIME.format('cast(ts AS date)', 'MM/dd/yyyy')}"
+                f" WHEN event_type = 'click' THEN {_TIME.format('cast(ts AS date)', 'MMM dd, yyyy')}"
+                " WHEN event_type = 'error' THEN 'late' ELSE cast(ts AS string) END"
             )
         ).alias("parsed_ts"),
     ),
-    "SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN date_trunc('second', ts) WHEN event_type <> 'error' THEN ts END "
+    "SELECT event_id, CASE WHEN user_id % 5 = 0 THEN date_trunc('minute', ts) WHEN user_id % 5 IN (1, 2) THEN date_trunc('second', ts) "
+    "WHEN event_type IN ('view', 'click') THEN date_trunc('second', ts) WHEN event_type <> 'error' THEN ts END "
     "AS parsed_ts FROM events",
 )
 add_given(
@@ -184,9 +211,16 @@ add_given(
     "c15_parse_integer",
     "part",
     lambda part: part.select(
-        "p_partkey", parsing.parse_integer(expr("CASE p_type WHEN 'SMALL' THEN 'few' ELSE concat(' ', p_size) END")).alias("size")
+        "p_partkey",
+        parsing.parse_integer(
+            expr(
+                "CASE WHEN p_type = 'SMALL' THEN 'few' WHEN p_size % 5 = 0 THEN concat(p_size, '.0') WHEN p_size % 5 = 1 THEN concat(p_size, 'e2')"
+                " WHEN p_size % 5 = 2 THEN concat('30000000', p_size) WHEN p_size = 3 THEN '12.5' ELSE concat(' ', p_size) END"
+            )
+        ).alias("size"),
     ),
-    "SELECT p_partkey, CASE WHEN p_type <> 'SMALL' THEN p_size END AS size FROM part",
+    "SELECT p_partkey, CASE WHEN p_type = 'SMALL' THEN NULL WHEN p_size % 5 = 1 THEN p_size * 100 "
+    "WHEN p_size % 5 = 2 THEN CAST('30000000' || p_size AS BIGINT) WHEN p_size = 3 THEN NULL ELSE p_size END AS size FROM part",
 )
 add_given(
     "c16_month_start",
@@ -350,12 +384,14 @@ add_star(
 add_given(
     "d04_dim_date",
     "orders",
-    lambda orders: orders.select(col("o_orderdate").cast("date").alias("date"))
-    .distinct()
-    .join(build_dim_date(orders.sparkSession, "1995-01-01", "2001-12-31"), "date"),
-    "SELECT CAST(o_orderdate AS DATE) AS date, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_key, "
-    "CAST(year(o_orderdate) AS INTEGER) AS year, 'Q' || quarter(o_orderdate) AS quarter, "
-    "CAST(month(o_orderdate) AS INTEGER) AS month_number, monthname(o_orderdate) AS month_name, "
-    "CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start_date, CAST(weekofyear(o_orderdate) AS INTEGER) AS week_number, "
-    "dayname(o_orderdate) AS day_of_week, isodow(o_orderdate) >= 6 AS is_weekend FROM (SELECT DISTINCT o_orderdate FROM orders)",
+    lambda orders: build_dim_date(orders.sparkSession, "1995-01-01", "2001-12-31").join(
+        orders.select(col("o_orderdate").cast("date").alias("date")).groupBy("date").agg(F.count("*").alias("orders")), "date", "left"
+    ),
+    "SELECT date, CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, "
+    "CAST(year(date) AS INTEGER) AS year, 'Q' || quarter(date) AS quarter, "
+    "CAST(month(date) AS INTEGER) AS month_number, monthname(date) AS month_name, "
+    "CAST(date_trunc('month', date) AS DATE) AS month_start_date, CAST(weekofyear(date) AS INTEGER) AS week_number, "
+    "dayname(date) AS day_of_week, isodow(date) >= 6 AS is_weekend, orders FROM "
+    "(SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS date) LEFT JOIN "
+    "(SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS orders FROM orders GROUP BY 1) USING (date)",
 )

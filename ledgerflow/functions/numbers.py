@@ -30,7 +30,10 @@ def whole_units(amount: Column) -> Column:
 
 
 def cents(amount: Column) -> Column:
-    return (amount * 100).cast("bigint")
+    """Whole cents; amounts beyond the range of a long are held at its ends."""
+    ends = F.lit((1 << 63) - 1), F.lit(1 - (1 << 63))
+    whole = F.round(amount, 2).cast("decimal(36,2)") * 100
+    return F.coalesce(whole.try_cast("bigint"), F.when(amount > 0, ends[0]).when(amount < 0, ends[1]))
 
 
 def month_start(day: Column) -> Column:

@@ -2,44 +2,133 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.text import strip
 from ledgerflow.functions.vocabulary import TRUE_SPELLINGS
 
-MONEY = "decimal(18,2)"
-SLASH_DATE = r"^(\d{1,2})/(\d{1,2})/(\d{4})(.*)$"
-MONTH_NAME_DATE = r"^([A-Za-z]{3,9} \d{1,2}, \d{4})(.*)$"
+#: Amounts as read: 30 digits before the point, 8 after it. Larger numbers are held at the limit.
+AMOUNT = "decimal(38,8)"
+AMOUNT_LIMIT = "9" * 30
+#: Amounts of the fact tables, in cents.
+MONEY = "decimal(28,2)"
+
+# The months, as English date texts name them or their first letters.
+MONTHS = (
+    "january",
+    "february",
+    "march",
+    "april",
+    "may",
+    "june",
+    "july",
+    "august",
+    "september",
+    "october",
+    "november",
+    "december",
+)
+
+YEAR_FIRST = r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})(\D.*)?$"
+COMPACT = r"^(\d{4})(\d{2})(\d{2})(\D.*)?$"
+YEAR_LAST = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})(\D.*)?$"
+SHORT_YEAR = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{2})(\D.*)?$"
+DAY_THEN_NAME = r"^(\d{1,2})[- ]+([A-Za-z]{3,9})\.?,?[- ]+(\d{4})(\D.*)?$"
+NAME_THEN_DAY = r"^([A-Za-z]{3,9})\.?[- ]+(\d{1,2}),?[- ]+(\d{4})(\D.*)?$"
+TWELVE_HOURS = r"^(.*\d)[ T]+(\d{1,2}):(\d{2})((?::\d{2}(?:\.\d+)?)?) *([AaPp])\.?[Mm]\.?$"
+
+
+def _amount(text: Column) -> Column:
+    """A decimal; a finite number beyond its range takes the limit, so that it still counts as a number."""
+    wide = text.try_cast("double")
+    limit = F.when(F.abs(wide) < float("inf"), F.signum(wide).cast("int") * F.lit(AMOUNT_LIMIT).cast(AMOUNT))
+    return F.coalesce(text.try_cast(AMOUNT), limit.cast(AMOUNT))
 
 
 def parse_currency(value: Column) -> Column:
-    """Amounts such as ``$1,234.50``, ``12 USD`` or ``(25.00)`` (negative)."""
+    """Amounts such as ``$1,234.50``, ``12 USD`` or ``(25.00)`` (negative), with all their places."""
     bare = strip(F.replace(F.translate(value, "$,", ""), F.lit("USD"), F.lit("")))
     bracketed = bare.startswith("(") & bare.endswith(")")
     inner = F.concat(F.lit("-"), F.substring(bare, F.lit(2), F.length(bare) - 2))
-    return F.when(bracketed, inner).otherwise(bare).try_cast(MONEY)
+    return _amount(F.when(bracketed, inner).otherwise(bare))
 
 
 def parse_plain_amount(value: Column) -> Column:
     """Amounts with nothing but ``$`` and ``,`` removed, as the raw-total check reads them."""
-    return strip(F.translate(value, "$,", "")).try_cast(MONEY)
+    return _amount(strip(F.translate(value, "$,", "")))
 
 
-def _parse(value: Column, kind: str) -> Column:
-    """ISO text, or month-first, day-first and month-name dates rewritten to ISO text.
-
-    Casting ISO text keeps the session time zone out of the result. The patterns are only tried on
-    texts that have a slash or start with a letter."""
-    text = strip(value)
-    slashed = F.coalesce(
-        F.regexp_replace(text, SLASH_DATE, "$3-$1-$2$4").try_cast(kind),
-        F.regexp_replace(text, SLASH_DATE, "$3-$2-$1$4").try_cast(kind),
+def amount_text(amount: Column) -> Column:
+    """An amount as text with two places, or more where it has more."""
+    plain = F.when(amount == 0, F.lit("0.00")).otherwise(amount.cast("string"))
+    return F.regexp_replace(plain, r"(\.\d\d\d*?)0+$", "$1")
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once; a plain column expression would repeat it at each mention."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _with_day_hours(text: Column) -> Column:
+    """Twelve-hour times rewritten to 24 hours; an hour beyond 12 gives null."""
+    part = lambda at: F.regexp_extract(text, TWELVE_HOURS, at)
+    late = F.when(F.lower(part(5)) == "p", 12).otherwise(0)
+    written = lambda hour: F.when(hour.between(1, 12), F.lpad((hour % 12 + late).cast("string"), 2, "0"))
+    changed = F.concat(part(1), F.lit(" "), _let(part(2).try_cast("int"), written), F.lit(":"), part(3), part(4))
+    return F.when(text.rlike(TWELVE_HOURS), changed).otherwise(text)
+
+
+def _month(name: Column) -> Column:
+    """Two digits of a month by its name or the first letters of it, three at least (also ``sept``)."""
+    full = F.filter(F.array(*[F.lit(month) for month in MONTHS]), lambda month: month.startswith(name))
+    number = F.array_position(F.array(*[F.lit(month) for month in MONTHS]), F.get(full, F.lit(0)))
+    return F.when((F.length(name) >= 3) & (F.size(full) > 0), F.lpad(number.cast("string"), 2, "0"))
+
+
+def _named(text: Column) -> Column:
+    """ISO text of a date with a month's name."""
+
+    def iso(ordered: Column) -> Column:
+        part = lambda at: F.regexp_extract(ordered, NAME_THEN_DAY, at)
+        month = _let(F.regexp_replace(F.lower(part(1)), "^sept$", "sep"), _month)
+        return F.concat(part(3), F.lit("-"), month, F.lit("-"), part(2), part(4))
+
+    return _let(F.regexp_replace(text, DAY_THEN_NAME, "$2 $1, $3$4"), iso)
+
+
+def _short_year(text: Column, month_day: str) -> Column:
+    """ISO text of a date with two digits for the year: the year within fifty years of today."""
+    today = F.year(F.current_date())
+    near = today - today % 100 + F.regexp_extract(text, SHORT_YEAR, 3).try_cast("int")
+    year = lambda y: F.when(y >= today + 50, y - 100).when(y < today - 50, y + 100).otherwise(y)
+    return F.concat(_let(near, year).cast("string"), F.regexp_replace(text, SHORT_YEAR, month_day))
+
+
+def _other_spelling(text: Column, kind: str) -> Column:
+    def tried(*spellings: Column) -> Column:
+        return F.coalesce(*[one.try_cast(kind) for one in spellings])
+
+    month_first = tried(F.regexp_replace(text, YEAR_LAST, "$3-$1-$2$4"), F.regexp_replace(text, YEAR_LAST, "$3-$2-$1$4"))
+    return (
+        F.when(text.rlike(YEAR_LAST), month_first)
+        .when(text.rlike(SHORT_YEAR), tried(_short_year(text, "-$1-$2$4"), _short_year(text, "-$2-$1$4")))
+        .when(text.rlike("[A-Za-z]{3}"), tried(_named(text)))
+        .when(text.rlike(COMPACT), tried(F.regexp_replace(text, COMPACT, "$1-$2-$3$4")))
+        .otherwise(tried(F.regexp_replace(text, YEAR_FIRST, "$1-$2-$3$4")))
     )
-    name = F.regexp_extract(text, MONTH_NAME_DATE, 1)
-    day = F.coalesce(F.try_to_date(name, "MMM d, yyyy"), F.try_to_date(name, "MMMM d, yyyy"))
-    named = F.concat(day.cast("string"), F.regexp_extract(text, MONTH_NAME_DATE, 2)).try_cast(kind)
-    return F.coalesce(text.try_cast(kind), F.when(text.contains("/"), slashed).when(text >= "A", named))
+
+
+def _parse(value: Column, kind: str) -> Column:
+    """ISO text, or one of the other spellings rewritten to it; a day that could be a month is read month first.
+
+    Casting ISO text keeps the session time zone out of the result. The other spellings are only tried on texts that
+    have a digit and are not ISO."""
+    iso = strip(value)
+    other = _let(_with_day_hours(iso), lambda text: _other_spelling(text, kind))
+    return F.coalesce(F.when(~iso.rlike(r"^\d{5}"), iso.try_cast(kind)), F.when(iso.rlike(r"\d"), other))
 
 
 def parse_date(value: Column) -> Column:
@@ -55,4 +144,6 @@ def parse_bool(value: Column) -> Column:
 
 
 def parse_integer(value: Column) -> Column:
-    return strip(value).try_cast("int")
+    """Whole numbers in any spelling of a number (``12.0``, ``1e2``); others become null."""
+    number = strip(value).try_cast("decimal(38,8)")
+    return F.when(number == F.floor(number), number.try_cast("bigint"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions import numbers, text
+from ledgerflow.functions.parsing import MONEY
 from ledgerflow.operators.numbering import lookup_key, number_by_position
 from ledgerflow.settings import Settings
 
@@ -59,7 +60,7 @@ FLAGGED_BY_STATUS = {
 
 
 def _amount_if(column: str, value: str) -> Column:
-    return F.when(F.col(column) == value, F.col("transaction_amount")).otherwise(F.lit(0).cast("decimal(18,2)"))
+    return F.when(F.col(column) == value, F.col("transaction_amount")).otherwise(F.lit(0).cast(MONEY))
 
 
 def amount_columns() -> dict[str, Column]:
@@ -67,7 +68,7 @@ def amount_columns() -> dict[str, Column]:
     amount = F.col("transaction_amount")
     signed = F.when(F.col("debit_credit_indicator") == "Credit", amount).otherwise(-amount)
     return {
-        "signed_transaction_amount": signed.cast("decimal(18,2)"),
+        "signed_transaction_amount": signed.cast(MONEY),
         "debit_amount": _amount_if("debit_credit_indicator", "Debit"),
         "credit_amount": _amount_if("debit_credit_indicator", "Credit"),
         "approved_amount": _amount_if("transaction_status", "Approved"),
@@ -98,8 +99,9 @@ def resolve_keys(transactions: DataFrame, dimensions: Mapping[str, DataFrame]) -
 
 
 def build_fact_transaction(valid: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
-    """Valid transactions with keys, amounts and flags, numbered in source order."""
-    numbered = number_by_position(valid, "transaction_key", "source_row_number")
+    """Valid transactions with keys, amounts in cents and flags, numbered in source order."""
+    cents = {name: F.round(name, 2).cast(MONEY) for name in ("transaction_amount", "balance_after_transaction")}
+    numbered = number_by_position(valid.withColumns(cents), "transaction_key", "source_row_number")
     described = resolve_keys(numbered, dimensions).withColumns({**amount_columns(), **status_columns()})
     return described.select(*FACT_COLUMNS)
 

@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions import vocabulary as words
+from ledgerflow.functions.parsing import amount_text
 from ledgerflow.functions.text import numbered_id
 from ledgerflow.operators.numbering import first_wins, number_by_position
 from ledgerflow.settings import Settings
+from ledgerflow.sources.csv import MALFORMED
 
 # Columns each source must have.
 REQUIRED_COLUMNS = {
@@ -69,6 +71,8 @@ DESCRIPTIONS = {
     "balance_numeric": "Balance after transaction is not numeric",
 }
 
+AMOUNT_COLUMNS = ("transaction_amount", "balance_after_transaction")
+
 ISSUE_SCHEMA = (
     "stage int, source_row_number bigint, rule_order int, source_file string, record_identifier string, "
     "column_name string, rule_name string, severity string, description string, original_value string"
@@ -113,6 +117,10 @@ def _bits(rules: Sequence[Rule], blocking: bool) -> int:
     return sum(1 << at for at, rule in enumerate(rules) if rule.blocking == blocking)
 
 
+def _shown(column: str) -> Column:
+    return amount_text(F.col(column)) if column in AMOUNT_COLUMNS else F.col(column).cast("string")
+
+
 def failures(rules: Sequence[Rule]) -> Column:
     """The failed rules of a checked row as an array of structs, in rule order."""
     cells = [
@@ -124,7 +132,7 @@ def failures(rules: Sequence[Rule]) -> Column:
                 F.lit(rule.name).alias("rule_name"),
                 F.lit(rule.severity).alias("severity"),
                 F.lit(rule.description).alias("description"),
-                F.coalesce(F.col(rule.column).cast("string"), F.lit("")).alias("original_value"),
+                F.coalesce(_shown(rule.column), F.lit("")).alias("original_value"),
             ),
         )
         for at, rule in enumerate(rules)
@@ -176,6 +184,31 @@ def required_column_issues(tables: Mapping[str, DataFrame]) -> list[tuple[str, s
     ]
 
 
+def malformed_line_issues(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """One issue for each source line with more or fewer fields than its header, for the tables that were read from
+    such files, under the line's first field. The row itself stays, with the fields it has."""
+    found = []
+    for at, (table, frame) in enumerate(tables.items()):
+        if MALFORMED in frame.columns:
+            number = F.col("source_row_number")
+            first = F.col(next(name for name in frame.columns if name not in ("source_row_number", MALFORMED)))
+            found.append(
+                frame.where(F.col(MALFORMED).isNotNull()).select(
+                    F.lit(0).alias("stage"),
+                    number.cast("bigint").alias("source_row_number"),
+                    F.lit(1 + at).alias("rule_order"),
+                    F.lit(f"{table}.csv").alias("source_file"),
+                    F.coalesce(first, F.concat(F.lit("row_"), number.cast("string"))).alias("record_identifier"),
+                    F.lit("LINE").alias("column_name"),
+                    F.lit("source_line_fields").alias("rule_name"),
+                    F.lit("Error").alias("severity"),
+                    F.lit("Line has more or fewer fields than the header").alias("description"),
+                    F.col(MALFORMED).alias("original_value"),
+                )
+            )
+    return found
+
+
 def customer_rules() -> list[Rule]:
     segment_known = is_member(F.col("customer_segment"), words.CUSTOMER_SEGMENTS)
     return [

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.numbers import blank_divide, cents
+from ledgerflow.functions.vocabulary import CUSTOMER_SEGMENTS
 from ledgerflow.operators.quantiles import exact_quantiles
 from ledgerflow.plans.kpis import rule_counts
 from ledgerflow.plans.rollup import Tables, one_row, per_attribute, per_key, with_attributes
@@ -42,10 +43,11 @@ def category_by_segment(tables: Tables) -> DataFrame:
     return per_attribute(tables, attributes, [COUNT, VALUE])
 
 
-def category_segment_matrix(tables: Tables, segments: Sequence[str]) -> DataFrame:
-    """One column per given segment, so the pivot needs no pass to find them."""
-    cells = category_by_segment(tables).groupBy("transaction_category")
-    return cells.pivot("customer_segment", list(segments)).agg(F.sum(VALUE))
+def category_segment_matrix(tables: Tables, segments: Sequence[str] = (*CUSTOMER_SEGMENTS, "Unknown")) -> DataFrame:
+    """One column per given segment, so the pivot needs no pass to find them, and ``Other`` for all others."""
+    listed = F.when(F.col("customer_segment").isin(*segments), F.col("customer_segment")).otherwise("Other")
+    cells = category_by_segment(tables).withColumn("segment", listed).groupBy("transaction_category")
+    return cells.pivot("segment", [*segments, "Other"]).agg(F.sum(VALUE))
 
 
 def weekend_activity(tables: Tables) -> DataFrame:
@@ -166,7 +168,7 @@ def flags_by_rule(tables: Tables) -> DataFrame:
 
 
 def flags_by(tables: Tables, column: str) -> DataFrame:
-    """Flags per customer_id, transaction_category or transaction_channel."""
+    """Flags per customer_id, transaction_category, transaction_channel or review_priority."""
     return tables["fact_anomaly_flag"].groupBy(column).agg(
         F.count("*").alias("flags"), F.sum("transaction_amount").alias("flagged_value")
     )

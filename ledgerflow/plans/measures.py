@@ -46,10 +46,9 @@ ADDITIVE_MEASURES: dict[str, tuple[Sequence[str], Callable[[], Column]]] = {
     ),
 }
 
-DISTINCT_MEASURES = {"active_customers": "customer_key", "active_accounts": "account_key"}
-
 Attributes = Mapping[str, Sequence[str]]
 
+DISTINCT_MEASURES = {"active_customers": "customer_key", "active_accounts": "account_key"}
 
 def _groups(attributes: Attributes) -> list[str]:
     return [name for columns in attributes.values() for name in columns]
@@ -77,11 +76,22 @@ def mobile_adoption(tables: Tables, attributes: Attributes) -> DataFrame:
     return totals.groupBy(*_groups(attributes)).agg(rate)
 
 
-def anomaly_counts(tables: Tables) -> DataFrame:
-    return tables["fact_anomaly_flag"].agg(
-        F.count("*").alias("potential_anomaly_count"),
-        F.count_if(F.col("review_priority") == "High").alias("high_priority_review_count"),
+REVIEW_COUNTS = ("potential_anomaly_count", "high_priority_review_count")
+
+
+def anomaly_counts(tables: Tables, attributes: Attributes | None = None) -> DataFrame:
+    """Flags by dimension attributes of their transactions. Flags are counted per surrogate key before the dimensions
+    are joined."""
+    counts = [F.count("*").alias(REVIEW_COUNTS[0]), F.count_if(F.col("review_priority") == "High").alias(REVIEW_COUNTS[1])]
+    flags = tables["fact_anomaly_flag"]
+    if not attributes:
+        return flags.agg(*counts)
+    keys = [DIMENSION_KEYS[dimension] for dimension in attributes]
+    placed = flags.select("transaction_key", "review_priority").join(
+        tables["fact_transaction"].select("transaction_key", *keys), "transaction_key"
     )
+    described = with_attributes(placed.groupBy(*keys).agg(*counts), tables, attributes)
+    return described.groupBy(*_groups(attributes)).agg(*[F.sum(name).alias(name) for name in REVIEW_COUNTS])
 
 
 def measures_by(tables: Tables, attributes: Attributes, names: Sequence[str]) -> DataFrame:
@@ -99,6 +109,10 @@ def measures_by(tables: Tables, attributes: Attributes, names: Sequence[str]) ->
             parts.append(median_amount(tables, attributes))
         elif name == "mobile_adoption_rate":
             parts.append(mobile_adoption(tables, attributes))
+        elif name in REVIEW_COUNTS:
+            parts.append(anomaly_counts(tables, attributes).select(*groups, name))
+        elif name == "average_monthly_spend_per_customer":
+            parts.append(average_monthly_spend(tables, attributes))
         elif name not in ADDITIVE_MEASURES:
             raise KeyError(f"no measure named {name}")
     stacked = parts[0]
@@ -107,11 +121,14 @@ def measures_by(tables: Tables, attributes: Attributes, names: Sequence[str]) ->
     return stacked.groupBy(*groups).agg(*[F.max(name).alias(name) for name in names])
 
 
-def monthly_growth(tables: Tables) -> DataFrame:
+def monthly_growth(tables: Tables, attributes: Attributes | None = None) -> DataFrame:
     """Value per calendar month with the month before it; months without rows stay blank.
 
-    The calendar has a row per day, so its months fit one small window."""
+    The calendar has a row per day, so its months fit one small window. By attributes, a group has a row for each month
+    with transactions and for the one after."""
     month = "month_start_date"
+    if attributes:
+        return _growth_by(tables, attributes, month)
     spine = tables["dim_date"].select(month).distinct()
     totals = per_attribute(tables, {"dim_date": [month]}, ["total_transaction_value"])
     in_order = Window.orderBy(month)
@@ -124,11 +141,28 @@ def monthly_growth(tables: Tables) -> DataFrame:
     )
 
 
-def average_monthly_spend(tables: Tables) -> DataFrame:
-    spend = F.col("debit_transaction_value")
-    return tables["fact_customer_monthly_summary"].agg(
-        blank_divide(F.sum(spend), F.count(spend)).alias("average_monthly_spend_per_customer")
-    )
+def _growth_by(tables: Tables, attributes: Attributes, month: str) -> DataFrame:
+    name, groups = "total_transaction_value", _groups(attributes)
+    calendar = {**attributes, "dim_date": [*attributes.get("dim_date", []), month]}
+    totals = per_attribute(tables, calendar, [name])
+    moved = totals.select(*groups, F.add_months(month, 1).alias(month), F.lit(None).alias(name), F.col(name).alias("before"))
+    spine = tables["dim_date"].select(month).distinct()
+    both = totals.withColumn("before", F.lit(None)).unionByName(moved.join(spine, month, "left_semi"))
+    rows = both.groupBy(*groups, month).agg(F.max(name).alias(name), F.max("before").alias("previous_month_transaction_value"))
+    value = F.coalesce(F.col(name).cast("double"), F.lit(0.0))
+    previous = F.col("previous_month_transaction_value").cast("double")
+    return rows.withColumn("month_over_month_transaction_growth", blank_divide(value - previous, previous))
+
+
+def average_monthly_spend(tables: Tables, attributes: Attributes | None = None) -> DataFrame:
+    """Mean of the customers' monthly spend, over all or by attributes of the customer."""
+    spend, monthly = F.col("debit_transaction_value"), tables["fact_customer_monthly_summary"]
+    if set(attributes or ()) - {"dim_customer"}:
+        raise KeyError("monthly spend is known by customer attributes only")
+    sums = monthly.groupBy("customer_key").agg(F.sum(spend).alias("spend"), F.count(spend).alias("months"))
+    described = with_attributes(sums, tables, attributes or {})
+    mean = blank_divide(F.sum("spend"), F.sum("months")).alias("average_monthly_spend_per_customer")
+    return described.groupBy(*_groups(attributes or {})).agg(mean)
 
 
 def headline_measures(tables: Tables) -> DataFrame:

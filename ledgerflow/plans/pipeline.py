@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import time
+from collections import defaultdict
+from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +15,11 @@ from ledgerflow.operators import anomaly, cleaning, dimensions, facts, quality
 from ledgerflow.operators.reconciliation import build_reconciliation_report
 from ledgerflow.plans.kpis import calculate_kpis
 from ledgerflow.plans.reports import REPORTS, build_reports
-from ledgerflow.plans.rollup import Tables, one_row, plain_numbers
+from ledgerflow.plans.rollup import Tables, one_row
 from ledgerflow.plans.views import VIEWS, executive_kpis
 from ledgerflow.session import apply_settings
 from ledgerflow.settings import Settings
-from ledgerflow.sources.csv import export_tables, ingest_source_files, table_row_counts
+from ledgerflow.sources.csv import MALFORMED, export_tables, ingest_source_files, read_csv, table_row_counts
 from ledgerflow.sources.staging import Staging
 
 # The tables of the model.
@@ -53,6 +57,9 @@ class Warehouse(Mapping[str, DataFrame]):
     def __init__(self, raw: Mapping[str, DataFrame], settings: Settings, staging: Staging):
         self.raw, self.settings, self.staging = raw, settings, staging
         self._ready: dict[str, DataFrame] = {}
+        self._locks: dict[str, RLock] = defaultdict(RLock)
+        #: Seconds each stored table took, with the tables it needed first.
+        self.seconds: dict[str, float] = {}
 
     def __iter__(self):
         return iter(EXPORTED_TABLES)
@@ -64,14 +71,23 @@ class Warehouse(Mapping[str, DataFrame]):
         return name in EXPORTED_TABLES
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._ready:
-            frame = self._build(name)
-            self._ready[name] = frame if name in self.LAZY else self.staging.save(frame, name)
+        with self._locks[name]:
+            if name not in self._ready:
+                began = time.perf_counter()
+                frame = self._build(name)
+                self._ready[name] = frame if name in self.LAZY else self.staging.save(frame, name)
+                self.seconds[name] = round(time.perf_counter() - began, 3)
         return self._ready[name]
 
+    def prepare(self, names: Iterable[str] = EXPORTED_TABLES, at_once: int = 4) -> None:
+        """Builds tables that do not need each other at the same time; shared inputs are built by whoever is first."""
+        order = [*(name for name in self.raw if name != "transactions"), *names]
+        with ThreadPoolExecutor(at_once) as threads:
+            list(threads.map(self.__getitem__, order))
+
     def _build(self, name: str) -> DataFrame:
         if name in self.raw:
-            clean = cleaning.clean_datasets({name: self.raw[name]})
+            clean = cleaning.clean_datasets({name: self.raw[name].drop(MALFORMED)})
             return clean[name]
         if name in dimensions.BUILDERS:
             return dimensions.BUILDERS[name](_Cleaned(self))
@@ -96,7 +112,10 @@ class Warehouse(Mapping[str, DataFrame]):
         customers = quality.check_customers(self["customers"])
         accounts = quality.check_accounts(self["accounts"], self["customers"], self["branches"])
         missing = quality.required_column_issues(self.raw)
-        return quality.issue_rows(customers, accounts, self["checked_transactions"], self.settings, missing)
+        rows = quality.issue_rows(customers, accounts, self["checked_transactions"], self.settings, missing)
+        for lines in quality.malformed_line_issues(self.raw):
+            rows = rows.unionByName(lines)
+        return rows
 
     def _data_quality_issues(self) -> DataFrame:
         return quality.issue_log(self["issue_rows"], self.settings)
@@ -187,17 +206,19 @@ def reporting_tables(tables: Tables) -> dict[str, DataFrame]:
 
 
 def export_reporting_tables(tables: Tables, folder: str) -> list[str]:
-    return export_tables({name: plain_numbers(frame) for name, frame in reporting_tables(tables).items()}, folder)
+    return export_tables(reporting_tables(tables), folder)
 
 
 def export_reports(tables: Tables, folder: str) -> list[str]:
     names = {title: title.lower().replace(" ", "_") for title in REPORTS}
-    reports = {names[title]: plain_numbers(frame) for title, frame in build_reports(tables).items()}
-    return export_tables(reports, folder)
+    return export_tables({names[title]: frame for title, frame in build_reports(tables).items()}, folder)
 
 
-def run_summary(warehouse: Warehouse, exported_files: int = len(EXPORTED_TABLES) + len(VIEWS)) -> DataFrame:
-    """``metric, value`` (text) of the run."""
+def run_summary(warehouse: Warehouse, exported: Sequence[str], report_folder: str) -> DataFrame:
+    """``metric, value`` (text) of the run: its counts, the files it wrote and the folders that hold its reports and
+    its stored tables (in place of a workbook and a database file)."""
+    counted = table_row_counts(reporting_tables(warehouse)).select("table_name")
+    is_view = F.col("table_name").isin(*VIEWS)
     # The metric names and their order.
     raw = warehouse.raw
     checked = warehouse["checked_transactions"]
@@ -216,13 +237,17 @@ def run_summary(warehouse: Warehouse, exported_files: int = len(EXPORTED_TABLES)
         warehouse["fact_anomaly_flag"].agg(F.count("*").alias("potential_anomaly_flags")),
         warehouse["fact_data_quality_issue"].agg(F.count("*").alias("data_quality_issues")),
     ]
-    fixed = {
-        "powerbi_export_files": exported_files,
-        "database_table_count_checks": len(EXPORTED_TABLES),
-        "database_view_count_checks": len(VIEWS),
+    checked_tables = counted.agg(
+        F.count_if(~is_view).alias("database_table_count_checks"), F.count_if(is_view).alias("database_view_count_checks")
+    )
+    written = {
+        "powerbi_export_files": F.lit(len(exported)),
+        "excel_workbook": F.lit(report_folder),
+        "database_path": F.lit(warehouse.staging.folder),
     }
-    row = one_row(counts)
-    cells = {name: F.col(name) for name in row.columns} | {name: F.lit(value) for name, value in fixed.items()}
+    row = one_row([*counts, checked_tables])
+    names = [*row.columns[:8], *written, *row.columns[8:]]
+    cells = {name: written.get(name, F.col(name)) for name in names}
     entries = [F.struct(F.lit(name).alias("metric"), cell.cast("string").alias("value")) for name, cell in cells.items()]
     return row.select(F.inline(F.array(*entries)))
 
@@ -230,21 +255,29 @@ def run_summary(warehouse: Warehouse, exported_files: int = len(EXPORTED_TABLES)
 def open_warehouse(spark: SparkSession, raw_folder: str, settings: Settings) -> Warehouse:
     """A warehouse over raw CSV files. The raw rows are numbered at the scan.
 
-    Raw transactions are read for cleaning, for repeated ids and for the raw total, so their text
-    is parsed once and stored."""
+    Raw tables are read several times (cleaning, repeated ids, raw totals, malformed lines), so their text is parsed
+    once, with all columns, and stored."""
     apply_settings(spark)
     staging = Staging(spark)
-    raw = ingest_source_files(spark, raw_folder)
-    raw["transactions"] = staging.save(raw["transactions"], "raw_transactions")
-    return Warehouse(raw, settings, staging)
+    raw = ingest_source_files(spark, raw_folder, settings.multi_line_csv)
+    return Warehouse({name: staging.save(frame, f"raw_{name}") for name, frame in raw.items()}, settings, staging)
 
 
 def run_pipeline(spark: SparkSession, raw_folder: str, output_folder: str, settings: Settings) -> DataFrame:
-    """Whole batch from raw CSV files to exports; returns the run summary."""
+    """Whole batch from raw CSV files to exports; returns the run summary. The stored tables are deleted at the end."""
     warehouse = open_warehouse(spark, raw_folder, settings)
+    try:
+        warehouse.prepare()
+        path = _export_run(warehouse, output_folder)
+    finally:
+        warehouse.staging.remove()
+    return read_csv(spark, path)
+
+
+def _export_run(warehouse: Warehouse, output_folder: str) -> str:
+    """Writes all results; returns where the run summary is."""
     exported = export_reporting_tables(warehouse, f"{output_folder}/reporting")
     export_reports(warehouse, f"{output_folder}/reports")
     export_tables({"kpi_summary": calculate_kpis(warehouse)}, output_folder)
-    summary = run_summary(warehouse, len(exported))
-    export_tables({"pipeline_execution_summary": summary}, output_folder)
-    return summary
+    summary = run_summary(warehouse, exported, f"{output_folder}/reports")
+    return export_tables({"pipeline_execution_summary": summary}, output_folder)[0]

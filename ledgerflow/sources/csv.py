@@ -23,14 +23,32 @@ RAW_FILES = {
 }
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text; blank fields arrive as null, which cleaning makes of them anyway."""
-    return spark.read.option("header", True).option("escape", '"').csv(path)
+#: The text of a line whose number of fields differs from the header's, null on the others.
+MALFORMED = "malformed_line"
 
 
-def read_numbered_csv(spark: SparkSession, path: str) -> DataFrame:
-    """``read_csv`` with standard column names and the row's place in the source in front."""
-    lines = read_csv(spark, path)
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Every column as text; blank fields arrive as null, which cleaning makes of them anyway.
+
+    ``multi_line`` reads quoted line breaks inside fields. It is off by default, as a file is then one task."""
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    return reader.csv(path)
+
+
+def read_checked_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """``read_csv`` with a last column that holds lines with more or fewer fields than the header. Such a line keeps
+    the fields it has under the header's names.
+
+    The scan finds such lines only while it reads all columns: store the frame before taking some of them."""
+    names = read_csv(spark, path, multi_line).columns
+    schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in [*names, MALFORMED])
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    return reader.option("columnNameOfCorruptRecord", MALFORMED).schema(schema).csv(path)
+
+
+def read_numbered_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """``read_checked_csv`` with standard column names and the row's place in the source in front."""
+    lines = read_checked_csv(spark, path, multi_line)
     scanned = lines.select(
         "*",
         F.col("_metadata.file_path").alias("file_path"),
@@ -42,14 +60,14 @@ def read_numbered_csv(spark: SparkSession, path: str) -> DataFrame:
     return number_lines_of_files(scanned.toDF(*named, *place))
 
 
-def ingest_source_files(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def ingest_source_files(spark: SparkSession, folder: str, multi_line: bool = False) -> dict[str, DataFrame]:
     """All raw tables by name; a missing file fails here and the error names its path."""
-    return {name: read_numbered_csv(spark, f"{folder}/{file}") for name, file in RAW_FILES.items()}
+    return {name: read_numbered_csv(spark, f"{folder}/{file}", multi_line) for name, file in RAW_FILES.items()}
 
 
 def export_cast(frame: DataFrame) -> DataFrame:
-    """Columns as exports show them: booleans as 0/1, dates and timestamps as ISO text."""
-    shown = {"boolean": "int", "date": "string", "timestamp": "string", "timestamp_ntz": "string"}
+    """Columns as exports show them: booleans as 0/1, dates, timestamps and decimals as plain text."""
+    shown = {"boolean": "int", "date": "string", "timestamp": "string", "timestamp_ntz": "string", "decimal": "string"}
     return frame.select(
         *[
             F.col(field.name).cast(shown.get(field.dataType.typeName(), field.dataType)).alias(field.name)

@@ -29,6 +29,11 @@ class Staging:
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/ledgerflow-{uuid.uuid4().hex}"
 
+    def remove(self) -> None:
+        """Deletes the folder; frames that read from it are of no use afterwards."""
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
+        hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 

@@ -3,13 +3,15 @@
 from datetime import date, datetime
 from decimal import Decimal
 
+import pytest
 from fixtures import tables
 from pyspark.sql import functions as F
 
+from ledgerflow.__main__ import main
 from ledgerflow.operators import dimensions, facts, quality
 from ledgerflow.operators.reconciliation import calculate_reconciliation_totals, checks
 from ledgerflow.plans import kpis, pipeline, views
-from ledgerflow.settings import Settings
+from ledgerflow.settings import Settings, read_settings
 from ledgerflow.sources import csv
 
 SETTINGS = Settings(end_date=date(2024, 12, 31))
@@ -145,6 +147,8 @@ def test_whole_run_from_csv_files(spark, tmp_path):
     assert summary["potential_anomaly_flags"] == "1"
     assert summary["data_quality_issues"] == "1"
     assert summary["powerbi_export_files"] == "32"
+    assert (summary["database_table_count_checks"], summary["database_view_count_checks"]) == ("17", "15")
+    assert summary["excel_workbook"] == f"{out}/reports" and len(summary) == 13
     flag = csv.read_csv(spark, f"{out}/reporting/fact_anomaly_flag").first()
     assert (flag.transaction_id, flag.triggered_rules, flag.anomaly_score, flag.review_priority) == (
         "T1", "high_value_transaction, unusual_transaction_time, balance_issue", "5", "Medium")
@@ -158,6 +162,26 @@ def test_whole_run_from_csv_files(spark, tmp_path):
     assert {row.metric_name: float(row.metric_value) for row in found}["Median Transaction Amount"] == 3525.0
 
 
+def test_run_command_with_settings_and_a_surplus_field(spark, tmp_path, capsys):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for name, content in RAW_LINE.items():
+        (raw / csv.RAW_FILES[name]).write_text(content.replace("dev1,cust1,Mobile App,iOS,yes", "dev1,cust1,Mobile App,iOS,yes,more"))
+    (tmp_path / "settings.json").write_text('{"start_date": "2024-01-01", "weights": {"balance_issue": 9}, "supported_currency": ["USD"]}')
+    main([str(raw), str(tmp_path / "out"), "--settings", str(tmp_path / "settings.json")])
+    assert "data_quality_issues: 2" in capsys.readouterr().out
+    log = csv.read_csv(spark, f"{tmp_path}/out/reporting/fact_data_quality_issue").where("rule_name = 'source_line_fields'").collect()
+    assert [(r.source_file, r.record_identifier, r.original_value) for r in log] == [("devices.csv", "dev1", "dev1,cust1,Mobile App,iOS,yes,more")]
+    flag = csv.read_csv(spark, f"{tmp_path}/out/reporting/fact_anomaly_flag").first()
+    assert flag.anomaly_score == "12"
+
+
+def test_unknown_settings_are_refused(tmp_path):
+    (tmp_path / "settings.json").write_text('{"start": 1}')
+    with pytest.raises(ValueError, match="start"):
+        read_settings(str(tmp_path / "settings.json"))
+
+
 def test_views_can_be_read_with_sql(spark):
     validated, model = build(spark, [{}])
     model["fact_anomaly_flag"] = facts.attach_transaction_keys(_no_flags(validated), model["fact_transaction"])

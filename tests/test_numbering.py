@@ -35,7 +35,7 @@ def test_lines_are_numbered_in_file_order(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
     try:
         frame = csv.read_numbered_csv(spark, str(tmp_path))
-        assert frame.columns == ["source_row_number", "number", "other_text"]
+        assert frame.columns == ["source_row_number", "number", "other_text", csv.MALFORMED]
         found = frame.select("source_row_number", F.col("number").cast("int")).orderBy("source_row_number").collect()
         assert frame.rdd.getNumPartitions() > 0
     finally:
