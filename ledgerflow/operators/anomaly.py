@@ -50,14 +50,29 @@ def _certain(flag: Column) -> Column:
 
 
 def customer_spending(transactions: DataFrame) -> DataFrame:
-    """Mean, sample deviation (0 for one row) and exact median of each customer's amounts."""
-    amount = F.col("transaction_amount").cast("double")
+    """Mean, sample deviation (0 for one row) and exact median of each customer's amounts, in cents.
+
+    Sums of cents and of their squares are whole numbers, so the limits do not depend on the order of rows. Sums beyond
+    38 digits fall back to doubles."""
     narrow = transactions.where("customer_id is not null").select(
-        "customer_id", amount.alias("amount"), numbers.cents(F.col("transaction_amount")).alias("cents")
+        "customer_id", numbers.cents(F.col("transaction_amount")).alias("cents")
+    )
+    value = F.col("cents").cast("decimal(19,0)")
+    sums = narrow.groupBy("customer_id").agg(
+        F.count("cents").cast("decimal(19,0)").alias("n"),
+        F.try_sum(value).alias("total"),
+        F.try_sum((value * value).cast("decimal(38,0)")).alias("squares"),
+        F.avg("cents").alias("mean_cents"),
+        F.stddev_samp("cents").alias("plain_deviation"),
     )
-    moments = narrow.groupBy("customer_id").agg(
-        F.avg("amount").alias("mean_amount"),
-        F.coalesce(F.stddev_samp("amount"), F.lit(0.0)).alias("amount_deviation"),
+    # n * squares - total^2, as far as whole numbers hold it
+    spread = F.try_subtract(F.try_multiply(F.col("n"), F.col("squares")), F.try_multiply(F.col("total"), F.col("total")))
+    exact = F.sqrt(F.try_divide(spread.cast("double"), (F.col("n") * (F.col("n") - 1)).cast("double")))
+    mean = F.coalesce(F.try_divide(F.col("total").cast("double"), F.col("n").cast("double")), F.col("mean_cents"))
+    moments = sums.select(
+        "customer_id",
+        (mean / 100).alias("mean_amount"),
+        (F.coalesce(exact, F.col("plain_deviation"), F.lit(0.0)) / 100).alias("amount_deviation"),
     )
     medians = exact_quantiles(narrow, ["customer_id"], "cents", {"median_cents": 0.5})
     median = (F.col("median_cents") / 100).alias("median_amount")

@@ -77,18 +77,21 @@ def name_dimension(transactions: DataFrame, key: str, column: str) -> DataFrame:
     return with_unknown_member(names.select(number.alias(key), column), key)
 
 
-def location_dimension(sources: Sequence[DataFrame]) -> DataFrame:
-    """Distinct (city, state) in order of first appearance over the sources.
+def places_of(sources: Sequence[DataFrame]) -> DataFrame:
+    """Distinct (city, state) with the first source and row that has them.
 
-    Places are merged per source before their first rows are compared, so only distinct places
-    are numbered."""
+    Places are merged per source before their first rows are compared, so only distinct places are numbered."""
     places = None
     for order, source in enumerate(sources):
         found = source.groupBy("city", "state").agg(F.min("source_row_number").alias("first_row"))
         found = found.withColumn("source", F.lit(order))
         places = found if places is None else places.unionByName(found)
     seen = places.groupBy("city", "state").agg(F.min(F.struct("source", "first_row")).alias("seen"))
-    seen = seen.select("city", "state", "seen.source", "seen.first_row")
+    return seen.select("city", "state", "seen.source", "seen.first_row")
+
+
+def location_dimension(seen: DataFrame) -> DataFrame:
+    """Places in order of first appearance, with their regions; numbering reads its input twice."""
     numbered = number_by_position(seen, "location_key", "first_row", stage="source")
     described = numbered.select(
         "location_key",
@@ -134,8 +137,8 @@ def dim_branch(tables: Mapping[str, DataFrame]) -> DataFrame:
     return entity_dimension(tables["branches"], "branch_key", "branch_id", BRANCH_COLUMNS)
 
 
-def dim_location(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return location_dimension(
+def places(tables: Mapping[str, DataFrame]) -> DataFrame:
+    return places_of(
         [
             tables["valid_transactions"],
             first_wins(tables["customers"], "customer_id"),
@@ -145,6 +148,10 @@ def dim_location(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def dim_location(tables: Mapping[str, DataFrame]) -> DataFrame:
+    return location_dimension(places(tables))
+
+
 def dim_date(tables: Mapping[str, DataFrame], settings: Settings) -> DataFrame:
     spark = tables["valid_transactions"].sparkSession
     return build_dim_date(spark, settings.start_date, settings.end_date)

@@ -128,11 +128,12 @@ def monthly_totals(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     return totals.withColumn("average_transaction_amount", mean)
 
 
-def calculate_customer_monthly_summary(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+def calculate_customer_monthly_summary(fact: DataFrame, dim_date: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Customer-month totals with a key in (customer, month) order.
 
-    A customer has one row per calendar month, so numbering by customer key is bounded."""
-    totals = monthly_totals(fact, dim_date)
+    A customer has one row per calendar month, so numbering by customer key is bounded. ``totals`` may hold the
+    ``monthly_totals`` as a stored table: numbering reads its input twice."""
+    totals = monthly_totals(fact, dim_date) if totals is None else totals
     numbered = number_by_position(
         totals,
         "customer_monthly_summary_key",
@@ -157,12 +158,16 @@ def calculate_customer_monthly_summary(fact: DataFrame, dim_date: DataFrame) ->
     )
 
 
-def build_account_daily_balance(fact: DataFrame) -> DataFrame:
-    """Balance after the last approved transaction of each account and day.
-
-    Equal timestamps are decided by source order; one row per account and day is numbered."""
+def daily_balances(fact: DataFrame) -> DataFrame:
+    """Balance after the last approved transaction of each account and day; source order decides equal timestamps."""
     last = F.max_by("balance_after_transaction", F.struct("transaction_timestamp", "source_row_number"))
-    daily = fact.where("is_approved").groupBy("account_key", "date_key").agg(last.alias("ending_balance"))
+    return fact.where("is_approved").groupBy("account_key", "date_key").agg(last.alias("ending_balance"))
+
+
+def build_account_daily_balance(fact: DataFrame, daily: DataFrame | None = None) -> DataFrame:
+    """The daily balances with a key; one row per account and day is numbered. ``daily`` may hold them as a stored
+    table: numbering reads its input twice."""
+    daily = daily_balances(fact) if daily is None else daily
     return number_by_position(daily, "account_daily_balance_key", "account_key", tie_break=["date_key"], bits=8)
 
 

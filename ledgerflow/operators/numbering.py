@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ledgerflow.sources.staging import Staging
@@ -13,11 +13,33 @@ ROWS_PER_BUCKET_BITS = 16
 LOCAL_INDEX_MASK = (1 << 33) - 1
 
 
+#: Buckets that are added up in one task before their sum goes on: 2**12.
+BUCKETS_TOGETHER_BITS = 12
+
+
+def _before(rows: str, window: WindowSpec) -> Column:
+    return F.coalesce(F.sum(rows).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
+def _split_offsets(sizes: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows before each file split. One row per split comes in, so the single window is small."""
+    return sizes.select(*order, _before("bucket_rows", Window.orderBy(*order)).alias("bucket_start"))
+
+
 def _offsets(sizes: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Rows before each bucket. One row per bucket comes in, so the single window is small."""
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("bucket_rows").over(before), F.lit(0))
-    return sizes.select(*order, start.alias("bucket_start"))
+    """Rows before each bucket; ``order`` ends with the bucket's number.
+
+    Buckets are added up in groups, and only the groups' sums meet in one task: one row for 2**12 buckets, which is one
+    for 2**28 rows where a bucket holds 2**16."""
+    *lead, bucket = order
+    grouped = sizes.withColumn("bucket_group", F.shiftright(F.col(bucket).cast("bigint"), BUCKETS_TOGETHER_BITS))
+    group = [*lead, "bucket_group"]
+    inside = grouped.select(
+        *order, "bucket_group", _before("bucket_rows", Window.partitionBy(*group).orderBy(bucket)).alias("rows_inside")
+    )
+    sums = grouped.groupBy(*group).agg(F.sum("bucket_rows").alias("group_rows"))
+    starts = sums.select(*group, _before("group_rows", Window.orderBy(*group)).alias("group_start"))
+    return inside.join(starts, group).select(*order, (F.col("group_start") + F.col("rows_inside")).alias("bucket_start"))
 
 
 def number_by_total_order(frame: DataFrame, order: Sequence[str], key: str, staging: Staging, name: str) -> DataFrame:
@@ -72,7 +94,7 @@ def number_lines_of_files(frame: DataFrame, key: str = "source_row_number") -> D
     first id; only one row per split is counted and ordered."""
     split = ["file_path", "file_start"]
     sizes = frame.groupBy(*split).agg(F.count("*").alias("bucket_rows"), F.min("scan_id").alias("first_id"))
-    starts = _offsets(sizes, split).join(sizes.select(*split, "first_id"), split)
+    starts = _split_offsets(sizes, split).join(sizes.select(*split, "first_id"), split)
     number = F.col("bucket_start") + F.col("scan_id") - F.col("first_id") + 1
     kept = [name for name in frame.columns if name not in (*split, "scan_id")]
     return frame.join(starts, split).select(number.alias(key), *kept)

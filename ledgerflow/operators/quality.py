@@ -188,7 +188,8 @@ def malformed_line_issues(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
     """One issue for each source line with more or fewer fields than its header, for the tables that were read from
     such files, under the line's first field. The row itself stays, with the fields it has."""
     found = []
-    for at, (table, frame) in enumerate(tables.items()):
+    for at, table in enumerate(tables):
+        frame = tables[table]
         if MALFORMED in frame.columns:
             number = F.col("source_row_number")
             first = F.col(next(name for name in frame.columns if name not in ("source_row_number", MALFORMED)))

@@ -89,12 +89,10 @@ class Warehouse(Mapping[str, DataFrame]):
         if name in self.raw:
             clean = cleaning.clean_datasets({name: self.raw[name].drop(MALFORMED)})
             return clean[name]
-        if name in dimensions.BUILDERS:
-            return dimensions.BUILDERS[name](_Cleaned(self))
         build = getattr(self, f"_{name}", None)
-        if build is None:
-            raise KeyError(name)
-        return build()
+        if build is not None:
+            return build()
+        return dimensions.BUILDERS[name](_Cleaned(self))
 
     def _checked_transactions(self) -> DataFrame:
         return quality.check_transactions(_Cleaned(self), self.settings, self["repeated_ids"])
@@ -127,10 +125,22 @@ class Warehouse(Mapping[str, DataFrame]):
         return facts.build_fact_transaction(self["valid_transactions"], self)
 
     def _fact_account_daily_balance(self) -> DataFrame:
-        return facts.build_account_daily_balance(self["fact_transaction"])
+        return facts.build_account_daily_balance(self["fact_transaction"], self["daily_balances"])
+
+    def _daily_balances(self) -> DataFrame:
+        return facts.daily_balances(self["fact_transaction"])
+
+    def _monthly_totals(self) -> DataFrame:
+        return facts.monthly_totals(self["fact_transaction"], self["dim_date"])
+
+    def _places(self) -> DataFrame:
+        return dimensions.places(_Cleaned(self))
+
+    def _dim_location(self) -> DataFrame:
+        return dimensions.location_dimension(self["places"])
 
     def _fact_customer_monthly_summary(self) -> DataFrame:
-        return facts.calculate_customer_monthly_summary(self["fact_transaction"], self["dim_date"])
+        return facts.calculate_customer_monthly_summary(self["fact_transaction"], self["dim_date"], self["monthly_totals"])
 
     def _fact_data_quality_issue(self) -> DataFrame:
         return facts.build_fact_data_quality_issue(self["data_quality_issues"])
