@@ -23,8 +23,11 @@ def _narrow(children: DataFrame, inside: Sequence[str], order: str) -> DataFrame
     return children.withColumn("below", start).where(_holds_rank(F.col("ranks")))
 
 
-def exact_quantiles(frame: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float]) -> DataFrame:
-    """One row per group with interpolated quantiles of a whole-number column (cents, counts).
+def exact_quantiles(
+    frame: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float], times: str | None = None
+) -> DataFrame:
+    """One row per group with interpolated quantiles of a whole-number column (cents, counts). A column ``times`` says how
+    many rows a row stands for.
 
     The same values as ``percentile``, which gathers all distinct values of a group in one task.
     Here counts per value are added up into coarser digits, and only the child that holds the
@@ -33,7 +36,7 @@ def exact_quantiles(frame: DataFrame, keys: Sequence[str], value: str, points: M
     values = (
         frame.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("bigint").alias("value"))
-        .agg(F.count("*").alias("rows"))
+        .agg((F.sum(times) if times else F.count("*")).alias("rows"))
     )
     middles = values.groupBy(*keys, coarse.alias("coarse"), middle.alias("middle")).agg(F.sum("rows").alias("rows"))
     coarses = middles.groupBy(*keys, "coarse").agg(F.sum("rows").alias("rows"))

@@ -62,9 +62,9 @@ def additive_measures(tables: Tables, attributes: Attributes, names: Sequence[st
 
 def median_amount(tables: Tables, attributes: Attributes) -> DataFrame:
     keys = [DIMENSION_KEYS[dimension] for dimension in attributes]
-    amounts = tables["fact_transaction"].select(*keys, cents(F.col("transaction_amount")).alias("cents"))
-    described = with_attributes(amounts, tables, attributes)
-    medians = exact_quantiles(described, _groups(attributes), "cents", {"median_cents": 0.5})
+    amounts = tables["fact_transaction"].groupBy(*keys, cents(F.col("transaction_amount")).alias("cents"))
+    described = with_attributes(amounts.agg(F.count("*").alias("times")), tables, attributes)
+    medians = exact_quantiles(described, _groups(attributes), "cents", {"median_cents": 0.5}, "times")
     return medians.select(*_groups(attributes), (F.col("median_cents") / 100).alias("median_transaction_amount"))
 
 
