@@ -72,11 +72,11 @@ def too_repetitive(text: str) -> bool:
 
 
 def too_many_symbols(text: str) -> bool:
-    return sum(map(text.count, "#*$%&|<>")) > SYMBOLS_PER_WORD * len(text.split())
+    return sum(map(text.count, "#*$%&|<>")) > SYMBOLS_PER_WORD * sum(1 for _ in WORD.finditer(text))
 
 
 def shouting(text: str) -> bool:
-    found = text.split()
+    found = WORD.findall(text)
     return sum(word.isupper() for word in found) > SHOUTED_SHARE * len(found)
 
 
@@ -86,12 +86,12 @@ def duplicated_lines(text: str) -> bool:
 
 
 def letterless(text: str) -> bool:
-    found = text.split()
+    found = WORD.findall(text)
     return sum(LETTER.search(word) is None for word in found) > LETTERLESS_SHARE * len(found)
 
 
 def odd_word_length(text: str) -> bool:
-    found = text.split()
+    found = WORD.findall(text)
     mean = sum(map(len, found)) / max(1, len(found))
     return bool(found) and not WORD_LENGTH[0] <= mean <= WORD_LENGTH[1]
 
@@ -154,6 +154,34 @@ def quality_table(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", judge("text").alias("judged")).select("doc_id", "judged.*")
 
 
+def quality_sql() -> str:
+    """The same table in DuckDB, for unique doc_ids."""
+    space = r"[\x20\x09-\x0D]"
+    share = lambda count, limit: f"{count} > {limit} * n_words"
+    rejected = [
+        share("n_symbols", SYMBOLS_PER_WORD),
+        share("len(list_filter(found, lambda w: upper(w) = w AND lower(w) <> w))", SHOUTED_SHARE),
+        f"n_dup_lines > {DUPLICATE_LINE_SHARE} * n_lines",
+        share(r"len(list_filter(found, lambda w: NOT regexp_matches(w, '\p{L}')))", LETTERLESS_SHARE),
+        f"n_words > 0 AND NOT word_chars / n_words BETWEEN {WORD_LENGTH[0]} AND {WORD_LENGTH[1]}",
+    ]
+    return f"""
+    WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    parts AS (SELECT doc_id, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS found,
+        list_filter(string_split(text, chr(10)), lambda line: regexp_matches(line, '[^\\x20\\x09-\\x0D]')) AS lines FROM texts),
+    measures AS (SELECT doc_id, found, len(found) AS n_words, len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+        length(regexp_replace(text, '{space}', '', 'g')) AS word_chars,
+        length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols FROM parts),
+    windows AS (SELECT doc_id, place, found[place] || ' ' || found[place + 1] || ' ' || found[place + 2] AS term
+        FROM (SELECT doc_id, found, unnest(range(1, n_words - 1)) AS place FROM measures)),
+    repeats AS (SELECT doc_id, place FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, term) > 1),
+    covered AS (SELECT doc_id, count(DISTINCT place + step) AS n_repeat_words FROM repeats, range(3) AS steps(step) GROUP BY 1),
+    judged AS (SELECT *, n_words < {MINIMUM_WORDS} OR 100 * n_repeat_words > {REPEATED_SHARE} * n_words AS base_failed
+        FROM (SELECT measures.*, coalesce(n_repeat_words, 0) AS n_repeat_words FROM measures LEFT JOIN covered USING (doc_id)))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT base_failed AND NOT ({" OR ".join(f"({rule})" for rule in rejected)}) AS kept FROM judged"""
+
+
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that neither the base rules nor the cascade's own rules reject."""
     rules = BASE_RULES | RULES

@@ -24,4 +24,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_mixing": mixing.mixed_sql(),
+    "op9_quality_cascade": quality.quality_sql(),
 }
