@@ -77,12 +77,15 @@ def follow(keys: DataFrame) -> DataFrame:
 
 
 def edited_texts(base: DataFrame, order: DataFrame) -> DataFrame:
-    """Each text with its last half replaced by as many code points of the next document."""
+    """Each text with its last half replaced by as many code points of the next document.
+
+    Both joins read the same columns of ``base``, so the texts are shuffled once and that exchange is used twice."""
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    after = base.select(F.col("key").alias("next_key"), F.col("doc_id").alias("_next_"), F.col("text").alias("after"))
-    parts = order.join(after, "next_key").select("key", "n_chars", "next_key", F.left("after", half).alias("after"))
+    after = base.select(F.col("key").alias("next_key"), F.col("doc_id").alias("next_doc_id"), F.col("text").alias("after"))
+    parts = order.join(after, "next_key").select("key", "n_chars", "next_key", "next_doc_id", F.left("after", half).alias("after"))
     kept = F.left(F.col("text"), (F.col("n_chars") - half).cast("int"))
-    return base.join(parts, "key").select("key", "doc_id", "n_chars", "next_key", "text", F.concat(kept, F.col("after")).alias("edited"))
+    edited = F.concat(kept, F.col("after")).alias("edited")
+    return base.join(parts, "key").select("key", "doc_id", "n_chars", "next_key", "next_doc_id", "text", edited)
 
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
@@ -93,7 +96,7 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     order = store(follow(counts.distinct()), "following")
     both = edited_texts(base, order)
     pair = F.explode(F.array(F.struct(F.lit(0).alias("version"), F.col("text").alias("t")), F.struct(F.lit(1).alias("version"), F.col("edited").alias("t"))))
-    keys = ["key", "doc_id", "n_chars", "next_key", "sha"]
+    keys = ["key", "doc_id", "n_chars", "next_key", "next_doc_id", "sha"]
     versions = both.withColumn("sha", F.sha2("edited", 256)).select(*keys, pair.alias("v")).select(*keys, "v.version", "v.t")
     found = text_fingerprints(versions, [*keys, "version"], "t")
     of = lambda version: F.max(F.when(F.col("version") == version, F.col("fingerprint")))
@@ -110,6 +113,7 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
         likeness(F.col("own"), F.col("edited")).alias("near_edited"),
         likeness(F.col("own"), F.col("next")).alias("near_next"),
         F.when(asked, F.col("n_near")).alias("n_near"),
+        "next_doc_id",
     )
 
 
