@@ -17,7 +17,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
-_warehouses: dict[tuple[str, str], Warehouse] = {}
+_warehouses: dict[tuple, Warehouse] = {}
 
 
 def add(name: str, query: Query, sql: str | None = None) -> None:
@@ -42,9 +42,16 @@ class _RawTables(dict):
         return super().__getitem__(name)
 
 
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """Names and times of change of the tables in a folder of any file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((entry.getPath().getName(), entry.getModificationTime()) for entry in found))
+
+
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    """The warehouse over the given tables; its tables are shared by the queries of a session."""
-    key = (spark.sparkContext.applicationId, folder)
+    """The warehouse over the given tables; its tables are shared by the queries of a session while the files stay."""
+    key = (spark.sparkContext.applicationId, folder, _state(spark, folder))
     if key not in _warehouses:
         apply_settings(spark)
         staging = Staging(spark)
