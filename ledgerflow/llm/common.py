@@ -15,7 +15,17 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ROW = "_row_number_"
 
 
+#: Bytes of rows that go to a Python worker at once; texts can be long, and a batch is held several times over.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Keeps the batches that Python workers get small, whatever the number of rows in them."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
@@ -31,6 +41,7 @@ def packed(docs: DataFrame, *columns: Column) -> DataFrame:
 
 def store(frame: DataFrame, name: str) -> DataFrame:
     """Writes the frame to the shared folder and reads it back; a lost executor costs no recomputation."""
+    bound_batches(frame.sparkSession)
     return Staging(frame.sparkSession).save(frame, name)
 
 

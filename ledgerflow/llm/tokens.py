@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 
 import numpy as np
@@ -16,13 +16,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.llm.common import BATCH_BYTES, bound_batches
+
 END_ID = 1
 #: A task forgets its words when it holds so many.
-CACHED_WORDS = 1_500_000
-BATCH_BYTES = 8 << 20
+CACHED_WORDS = 1_200_000
 
 #: Words that are letters and then marks: the tokenizer cuts them there, and lower case changes one letter into one.
-_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_SIMPLE = r"^(?P<core>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<mark>[!-&(-/:-@\[-`{-~]*)$"
+_LETTERS = re.compile("[a-zà-öø-ÿ]+")
 
 
 def public_vocabulary() -> str:
@@ -50,56 +52,68 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
+        #: Numbers of the words met, without their marks; ids, starts and lengths are by number.
         self.number: dict[str, int] = {}
-        self.cores: dict[str, list[int]] = {}
-        self.ids, self.starts, self.lengths = array("I", [END_ID]), array("q", [0]), array("q", [1])
+        self.ids, self.starts, self.lengths = array("I"), array("q"), array("q")
+
+    def _hold(self, word: str, ids: Sequence[int]) -> None:
+        self.number[word] = len(self.starts)
+        self.starts.append(len(self.ids))
+        self.lengths.append(len(ids))
+        self.ids.extend(ids)
 
     def _encode_plain(self, texts: list[str]) -> list[list[int]]:
         return [part.ids for part in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_cores(self, cores: list[str], together: int = 200) -> None:
-        """Encodes letters-only words many at a time; a token that ends a word shows where each one ends."""
-        groups = [cores[at : at + together] for at in range(0, len(cores), together)]
+    def _learn(self, words: list[str], together: int = 200) -> None:
+        """Encodes letters-only words many at a time, as a token that ends a word shows where each one ends, and other
+        words one by one."""
+        plain = [word for word in words if _LETTERS.fullmatch(word)]
+        groups = [plain[at : at + together] for at in range(0, len(plain), together)]
+        alone = [word for word in words if not _LETTERS.fullmatch(word)]
         for group, ids in zip(groups, self._encode_plain([" ".join(group) for group in groups]), strict=True):
             ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) == len(group):
-                begin = 0
-                for core, end in zip(group, ends.tolist(), strict=True):
-                    self.cores[core] = ids[begin:end]
-                    begin = end
-            else:
-                self.cores.update(zip(group, self._encode_plain(group), strict=True))
-
-    def _learn(self, words: list[str]) -> None:
-        split = [_SIMPLE.fullmatch(word) for word in words]
-        parts = [(m[1].lower(), m[2]) if m else None for m in split]
-        wanted = {p for part in parts if part for p in part[:1] if p not in self.cores}
-        self._learn_cores(sorted(wanted))
-        marks = sorted({part[1] for part in parts if part and part[1] and part[1] not in self.cores})
-        self.cores.update(zip(marks, self._encode_plain(marks), strict=True))
-        others = iter(self._encode_plain([word for word, part in zip(words, parts, strict=True) if part is None]))
-        for word, part in zip(words, parts, strict=True):
-            ids = next(others) if part is None else self.cores[part[0]] + self.cores[part[1]] if part[1] else self.cores[part[0]]
-            self.number[word] = len(self.starts)
-            self.starts.append(len(self.ids))
-            self.lengths.append(len(ids))
-            self.ids.extend(ids)
+            if len(ends) != len(group):
+                alone += group
+                continue
+            begin = 0
+            for word, end in zip(group, ends.tolist(), strict=True):
+                self._hold(word, ids[begin:end])
+                begin = end
+        for word, ids in zip(alone, self._encode_plain(alone), strict=True):
+            self._hold(word, ids)
+
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        """The number of each word."""
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if missing := [word for word in distinct if word not in self.number]:
+            self._learn(missing)
+        numbers = np.fromiter((self.number[word] for word in distinct), dtype=np.int64, count=len(distinct))
+        return numbers[coded.indices.to_numpy(zero_copy_only=False)]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and where each text's ids end; a null text has the end id only."""
+        """Ids of all texts in a row, and where each text's ids end; a null text has the end id only.
+
+        The distinct words of the batch are cut into letters and marks, and their ids put together, before the words of
+        the texts are looked up."""
         pieces = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
         words = pieces.flatten().dictionary_encode()
-        distinct = words.dictionary.to_pylist()
-        if len(self.number) + len(self.cores) > CACHED_WORDS:
+        distinct = words.dictionary
+        if len(self.number) > CACHED_WORDS:
             self.forget()
-        if missing := [word for word in distinct if word not in self.number]:
-            self._learn(missing)
-        number = np.fromiter((self.number[word] for word in distinct), dtype=np.int64, count=len(distinct))
+        cut = pc.extract_regex(distinct, _SIMPLE)
+        core = pc.coalesce(pc.utf8_lower(pc.struct_field(cut, "core")), distinct)
+        mark = pc.coalesce(pc.struct_field(cut, "mark"), pa.scalar("", pa.large_string()))
+        parts = np.stack((self._numbers(core), self._numbers(mark)), axis=1)
+        lengths = np.array(self.lengths)
+        known = gather(np.frombuffer(self.ids, dtype=np.uint32), np.array(self.starts), lengths, parts.ravel())
+        sizes = np.append(lengths[parts].sum(axis=1), 1)
+        known = np.append(known, np.uint32(END_ID))
         ends = np.diff(pieces.offsets.to_numpy()).cumsum()
-        chosen = np.insert(number[words.indices.to_numpy(zero_copy_only=False)], ends, 0)
-        ids = gather(np.frombuffer(self.ids, dtype=np.uint32), np.array(self.starts), np.array(self.lengths), chosen)
-        word_ends = np.array(self.lengths)[chosen].cumsum()
-        return ids, word_ends[ends + np.arange(len(ends))]
+        chosen = np.insert(words.indices.to_numpy(zero_copy_only=False).astype(np.int64), ends, len(distinct))
+        word_ends = sizes[chosen].cumsum()
+        return gather(known, sizes.cumsum() - sizes, sizes, chosen), word_ends[ends + np.arange(len(ends))]
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, chosen: np.ndarray) -> np.ndarray:
@@ -135,5 +149,6 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[list
 
 def in_order(docs: DataFrame) -> DataFrame:
     """doc_id and text in ascending order over partitions: null ids first, equal ids by a hash of the text."""
+    bound_batches(docs.sparkSession)
     order = [F.col("doc_id"), F.xxhash64("text")]
     return docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
