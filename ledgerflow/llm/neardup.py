@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import packed, store
@@ -228,22 +228,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The documents with one of each component: the one with the smallest doc_id, of equal ids the smallest text hash.
 
-    Rows are known by doc_id and text hash, so only rows to be dropped and rows that repeat are joined to the texts."""
-    key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id_"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("_text_")]
+    Rows are known by doc_id and text hash. Only components of several rows are looked into. The texts are shuffled once,
+    to meet the rows that go or repeat; that set grows with the corpus, so it is never broadcast."""
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    key = [name.alias("_id_"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("_text_")]
     rows = store(docs.select("doc_id", *key, with_fingerprint(F.col("text")).alias("fp")), "fingerprints")
     distinct = store(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct_fingerprints")
     found = fingerprint_components(distinct)
     placed = rows.join(found, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_text_")
-    first = placed.groupBy("component").agg(F.min(order).alias("first"))
-    marked = (
-        placed.groupBy("component", "doc_id", "_id_", "_text_")
-        .agg(F.count("*").alias("copies"))
-        .join(first, "component")
-        .withColumn("kept", F.struct(F.col("doc_id").isNull(), "doc_id", "_text_").eqNullSafe(F.col("first")))
-    )
-    other = store(marked.filter(~F.col("kept") | (F.col("copies") > 1)).select("_id_", "_text_", "kept"), "not_kept_as_is")
-    whole = packed(docs, *key)
-    repeated = whole.join(other.filter("kept"), ["_id_", "_text_"], "left_semi").groupBy("_id_", "_text_").agg(F.first("_row_").alias("_row_"))
-    kept = whole.join(other.select("_id_", "_text_"), ["_id_", "_text_"], "left_anti").select("_row_")
-    return kept.unionByName(repeated.select("_row_")).select("_row_.*")
+    several = placed.groupBy("component").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    marked = placed.join(store(several, "first_of_component"), "component").groupBy("_id_", "_text_")
+    marked = marked.agg(F.count("*").alias("copies"), F.max(order.eqNullSafe(F.col("first"))).alias("kept"))
+    other = store(marked.filter("not kept or copies > 1").select("_id_", "_text_", "kept"), "not_kept_as_is")
+    whole = packed(docs, *key).hint("merge").join(other, ["_id_", "_text_"], "left")
+    # Of a repeated row one stays; the join has already brought its copies together.
+    copy = F.row_number().over(Window.partitionBy("_id_", "_text_").orderBy(F.lit(0)))
+    return whole.withColumn("_copy_", copy).filter("kept is null or kept and _copy_ = 1").select("_row_.*")
