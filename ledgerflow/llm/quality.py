@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import WORD, packed
+from ledgerflow.llm.common import WORD, bound_batches, packed
 
 LETTER = re.compile(r"[^\W\d_]")
 LINE_SPACE = " \t\n\x0b\x0c\r"
@@ -108,6 +108,7 @@ RULES: dict[str, Callable[[str], bool]] = {
 
 def rule_statistics(docs: DataFrame, rules: dict[str, Callable[[str], bool]], sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Per rule, over a random sample of about ``sample_rows`` texts: texts seen, rejected, and nanoseconds taken."""
+    bound_batches(docs.sparkSession)
     total = docs.count()
     sample = docs.select("text").sample(min(1.0, sample_rows / max(1, total)), seed=7)
 
