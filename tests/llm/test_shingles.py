@@ -1,0 +1,66 @@
+"""Near duplicates of the pipeline's stage against all pairs of word shingles."""
+
+import itertools
+import random
+
+import pytest
+
+from ledgerflow.llm import neardup, shingles
+
+
+def sets_of(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[at : at + 5]) for at in range(max(1, len(words) - 4))} if words else set()
+
+
+def similar(left, right):
+    union = left | right
+    return len(left & right) / len(union) >= 0.8 if union else True
+
+
+def kept_by_all_pairs(rows):
+    sets, least = [sets_of(text) for _, text in rows], list(range(len(rows)))
+
+    def root(at):
+        while least[at] != at:
+            at = least[at]
+        return at
+
+    for left, right in itertools.combinations(range(len(rows)), 2):
+        if similar(sets[left], sets[right]):
+            a, b = root(left), root(right)
+            least[max(a, b)] = min(a, b)
+    return sorted(rows[at][0] for at in range(len(rows)) if root(at) == at)
+
+
+@pytest.fixture(scope="module")
+def texts():
+    """Words changed one by one along chains, so that neighbours are similar and ends are not; and short texts."""
+    pick, result = random.Random(3), []
+    for _ in range(12):
+        words = [f"w{pick.randrange(5000)}" for _ in range(pick.choice([60, 200, 600]))]
+        for _ in range(8):
+            result.append(" ".join(words))
+            for _ in range(max(1, len(words) // 60)):
+                words[pick.randrange(len(words))] = f"n{pick.randrange(5000)}"
+    return [*result, "", None, " \n", "two words", "Two  words", "two other words", "same " * 500, "same " * 9]
+
+
+def test_stage_keeps_one_of_each_similar_group(make, texts):
+    docs = make(texts)
+    rows = sorted((row.doc_id, row.text) for row in docs.collect())
+    expected = kept_by_all_pairs(rows)
+    assert len(expected) < len(rows) - 30
+    assert sorted(row.doc_id for row in neardup.keep_one_of_each(docs).collect()) == expected
+
+
+def test_stage_on_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("doc_id < 500")
+    rows = sorted((row.doc_id, row.text) for row in docs.collect())
+    assert sorted(row.doc_id for row in neardup.keep_one_of_each(docs).collect()) == kept_by_all_pairs(rows)
+
+
+@pytest.mark.parametrize("similarity", [0.3, 0.5, 0.8, 0.95, 1.0])
+def test_bands_miss_one_in_a_million_at_most(similarity):
+    bands, rows = shingles.bands_and_rows(similarity)
+    assert (1 - similarity**rows) ** bands <= 1.01e-6
