@@ -1,9 +1,9 @@
 """Secrets by corpus-wide ownership frequency, in DataFrame functions only.
 
 Three fixed patterns give the base spans. Their values, and every other long token that mixes letters and digits, are
-candidates; only their hashes leave the scan. A hash is counted over distinct owners (source) and distinct repositories
-(source and language): a base value that many owners hold is a copied example, one that few owners hold is a live-looking
-credential. Tokens elsewhere that equal a live-looking credential are added as spans of kind ``reuse``.
+candidates; they are compared by their hashes. A hash is counted over distinct owners (source) and distinct repositories
+(source and language), whether it stands as a base value or bare; equal pairs are put together before the shuffle. A base
+value that many owners or many repositories hold is a copied example, any other is a live-looking credential. Tokens elsewhere that equal a live-looking credential are added as spans of kind ``reuse``.
 
 Edge cases: a null text counts as empty; a null source or language is an owner of its own. Repeated rows get the same
 result each and count as one owner. Values of any length are kept whole. An empty table gives an empty result. Input
@@ -26,8 +26,11 @@ HEX = r"[0-9a-f]{24,}"
 ASSIGN_LENGTH = 6
 
 #: Tokens that may be a credential used without a name before it.
-BARE = r"[A-Za-z0-9+/_=-]{16,}"
+BARE = (r"[A-Za-z0-9+/_=-]{16,}",)
+CANDIDATE = "token rlike '[0-9]' and token rlike '[A-Za-z]'"
+#: A value that so many owners, or so many repositories of fewer owners, hold is an example.
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOSITORIES = 4
 
 # Two private code points mark match boundaries; in the text the first is read as the second, which no pattern matches.
 _MARK, _OTHER = "\ue000", "\ue001"
@@ -38,15 +41,16 @@ def _pieces(text: Column, pattern: str) -> Column:
     return F.split(F.regexp_replace(text, f"({pattern})", f"{_MARK}$1{_MARK}"), _MARK)
 
 
-def _matches(text: Column, pattern: str, kind: int) -> Column:
-    """Matches with code point positions: array of struct (start, kind, end, value)."""
+def _matches(text: Column, pattern: str, kind: int, hashes: Column | None = None) -> Column:
+    """Matches with code point positions: array of struct (start, kind, end, value); only those of given hashes, if any."""
     none = "array<struct<start:bigint,kind:int,end:bigint,value:string>>"
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit(False).alias("hit"), F.array().cast(none).alias("found"))
 
     def step(state: Column, piece: Column) -> Column:
         end = state["at"] + F.char_length(piece)
         match = F.struct(state["at"].alias("start"), F.lit(kind).alias("kind"), end.alias("end"), piece.alias("value"))
-        found = F.when(state["hit"], F.concat(state["found"], F.array(match))).otherwise(state["found"])
+        wanted = state["hit"] if hashes is None else state["hit"] & F.array_contains(hashes, _digest(piece))
+        found = F.when(wanted, F.concat(state["found"], F.array(match))).otherwise(state["found"])
         return F.struct(end.alias("at"), (~state["hit"]).alias("hit"), found.alias("found"))
 
     hits = F.aggregate(_pieces(text, pattern), start, step, lambda state: state["found"])
@@ -57,60 +61,64 @@ def _digest(value: Column) -> Column:
     return F.sha2(value, 256)
 
 
-def find_candidates(docs: DataFrame) -> DataFrame:
-    """Per row: the base spans with the hash of their value, and the other tokens that look like a credential."""
+def _value(match: Column) -> Column:
+    return F.when(match["kind"] == 0, F.regexp_extract(match["value"], ASSIGN, 1)).otherwise(match["value"])
+
+
+def find_base(docs: DataFrame) -> DataFrame:
+    """Per row: the text, its owner and repository, and the base spans with the hash of their value."""
     text = F.translate(F.coalesce("text", F.lit("")), _MARK, _OTHER)
     owner, repository = F.coalesce("source", F.lit("\0")), F.concat_ws("\0", F.coalesce("source", F.lit("\0")), "lang")
     frame = docs.select("doc_id", text.alias("t"), owner.alias("owner"), repository.alias("repository"))
     hits = frame.select(
-        "doc_id",
-        "owner",
-        "repository",
+        "*",
         _matches(F.col("t"), ASSIGN, 0).alias("assign"),
         _matches(F.col("t"), ACCESS, 1).alias("access"),
         _matches(F.col("t"), HEX, 2).alias("hex"),
-        _matches(F.col("t"), BARE, REUSE).alias("bare"),
     )
-    value = lambda m: F.when(m["kind"] == 0, F.regexp_extract(m["value"], ASSIGN, 1)).otherwise(m["value"])
     long_enough = lambda m: F.char_length(F.regexp_extract(m["value"], ASSIGN, 1)) >= ASSIGN_LENGTH
-    mixed = lambda m: F.regexp_like(m["value"], F.lit("[0-9]")) & F.regexp_like(m["value"], F.lit("[A-Za-z]"))
     plain = lambda m: F.struct(m["start"].alias("start"), m["kind"].alias("kind"), m["end"].alias("end"))
-    hashed = lambda m: F.struct(plain(m).alias("span"), _digest(value(m)).alias("hash"))
+    hashed = lambda m: F.struct(plain(m).alias("span"), _digest(_value(m)).alias("hash"))
     base = F.concat(F.filter("assign", long_enough), "access", "hex")
-    return hits.select(
-        "doc_id", "owner", "repository", F.transform(base, hashed).alias("base"), F.transform(F.filter("bare", mixed), hashed).alias("bare")
-    )
+    return hits.select("doc_id", "t", "owner", "repository", F.transform(base, hashed).alias("base"))
+
+
+def _bare(found: DataFrame, *columns: str) -> DataFrame:
+    """(columns, hash) of the distinct bare candidates of each row."""
+    tokens = [F.regexp_extract_all("t", F.lit(pattern), F.lit(0)) for pattern in BARE]
+    token = F.explode(F.array_distinct(F.concat(*tokens))).alias("token")
+    return found.select(*columns, token).filter(CANDIDATE).select(*columns, _digest(F.col("token")).alias("hash"))
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(hash, owners, repositories) of all base values, counted from distinct pairs."""
-    pairs = found.select(F.explode("base.hash").alias("hash"), "owner", "repository").distinct()
+    """(hash, owners, repositories) of all base values, counted from distinct pairs of their base and bare occurrences."""
+    base = found.select(F.explode("base.hash").alias("hash"), "owner", "repository").distinct()
+    base = store(base, "secret_base_pairs")
+    bare = _bare(found, "owner", "repository").distinct().join(base.select("hash").distinct(), "hash")
+    pairs = base.unionByName(bare).distinct()
     per_owner = pairs.groupBy("hash", "owner").agg(F.count("*").alias("repositories"))
     return per_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
 
 
+def _reused(found: DataFrame, live: DataFrame) -> DataFrame:
+    """(row number, added array of spans): bare candidates that equal a live value and overlap no base span."""
+    rows = _bare(found, ROW).join(live, "hash").groupBy(ROW).agg(F.collect_set("hash").alias("reused"))
+    texts = found.join(store(rows, "secret_reuse_rows"), ROW).select(ROW, "t", "reused", "base.span")
+    matches = [_matches(F.col("t"), pattern, REUSE, F.col("reused")) for pattern in BARE]
+    clear = lambda m: ~F.exists("span", lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"]))
+    plain = lambda m: F.struct(m["start"].alias("start"), m["kind"].alias("kind"), m["end"].alias("end"))
+    return texts.select(ROW, F.array_distinct(F.transform(F.filter(F.concat(*matches), clear), plain)).alias("added"))
+
+
 def secrets(docs: DataFrame) -> DataFrame:
-    found = numbered(find_candidates(docs), "secret_candidates")
+    found = numbered(find_base(docs), "secret_candidates")
     owners = store(ownership(found), "secret_ownership")
-    both = F.concat(
-        F.transform("base", lambda c: F.struct(c["span"].alias("span"), c["hash"].alias("hash"), F.lit(True).alias("base"))),
-        F.transform("bare", lambda c: F.struct(c["span"].alias("span"), c["hash"].alias("hash"), F.lit(False).alias("base"))),
-    )
-    holds = F.size("base") + F.size("bare") > 0
-    candidates = found.filter(holds).select(ROW, "base.span", F.explode(both).alias("c")).select(ROW, "span", "c.hash", "c.base", F.col("c.span").alias("own"))
-    judged = candidates.join(owners, "hash", "left").withColumn("live", F.col("owners") < EXAMPLE_OWNERS)
-    clear = ~F.exists("span", lambda s: (s["start"] < F.col("own.end")) & (F.col("own.start") < s["end"]))
-    per_row = judged.groupBy(ROW).agg(
-        F.count(F.when(F.col("base") & F.col("live"), 1)).alias("n_live"),
-        F.count(F.when(F.col("base") & ~F.col("live"), 1)).alias("n_example"),
-        F.collect_set(F.when(~F.col("base") & F.col("live") & clear, F.col("own"))).alias("added"),
-    )
+    is_live = (F.col("owners") < EXAMPLE_OWNERS) & (F.col("repositories") < EXAMPLE_REPOSITORIES)
+    judged = found.select(ROW, F.explode("base.hash").alias("hash")).join(owners.select("hash", is_live.alias("live")), "hash")
+    per_row = judged.groupBy(ROW).agg(F.count(F.when(F.col("live"), 1)).alias("n_live"), F.count(F.when(~F.col("live"), 1)).alias("n_example"))
+    added = store(_reused(found, owners.filter(is_live).select("hash")), "secret_reuse")
     nothing = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
-    whole = (
-        found.filter(holds)
-        .join(per_row, ROW, "left")
-        .unionByName(found.filter(~holds).select("*", F.lit(0).cast("long").alias("n_live"), F.lit(0).cast("long").alias("n_example"), nothing.alias("added")))
-    )
+    whole = found.select("doc_id", ROW, "base").join(per_row, ROW, "left").join(added, ROW, "left").fillna(0, ["n_live", "n_example"])
     spans = F.col("base.span")
     count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
     return whole.select(

@@ -103,3 +103,15 @@ def test_ownership_separates_examples_from_live_credentials(make):
 @pytest.mark.parametrize("run", [pii.personal_data, pii.mask_personal_data, secrets.secrets])
 def test_empty_table(given, run):
     assert run(given.drop("found").limit(0)).count() == 0
+
+
+def test_bare_occurrences_and_repositories_count_as_owners(make):
+    copied, spread, live = "Copied1234567890abcd", "Spread1234567890abcd", "Living1234567890abcd"
+    rows = [(0, f"token = {copied}", "en", "first"), *((at, f"see {copied} there", "en", f"owner{at}") for at in range(1, 21))]
+    rows += [(30 + at, f"token = {spread}", lang, "hot") for at, lang in enumerate(["en", "fr", "de", "es"])]
+    rows += [(40, f"token = {live}", "en", "a"), (41, f"leak {live}", "en", "a"), (42, f"leak {live}", "fr", "b")]
+    found = {row.doc_id: row for row in secrets.secrets(make(rows)).collect()}
+    assert (found[0].n_live, found[0].n_example) == (0, 1)
+    assert [found[at].spans for at in range(1, 21)] == [""] * 20
+    assert [(found[at].n_live, found[at].n_example) for at in range(30, 34)] == [(0, 1)] * 4
+    assert (found[40].n_live, found[41].spans, found[42].spans) == (1, "reuse:5:25", "reuse:5:25")
