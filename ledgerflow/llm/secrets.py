@@ -1,7 +1,7 @@
 """Secrets by corpus-wide ownership frequency, in DataFrame functions only.
 
-Three fixed patterns give the base spans. Their values, and every other long token that mixes letters and digits, are
-candidates; they are compared by their hashes. A hash is counted over distinct owners (source) and distinct repositories
+Three fixed patterns give the base spans. Their values, and every other run of six or more characters of an assigned
+value's class, are candidates; they are compared by their hashes. A hash is counted over distinct owners (source) and distinct repositories
 (source and language), whether it stands as a base value or bare; equal pairs are put together before the shuffle. A base
 value that many owners or many repositories hold is a copied example, any other is a live-looking credential. Tokens elsewhere that equal a live-looking credential are added as spans of kind ``reuse``.
 
@@ -25,9 +25,9 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 ASSIGN_LENGTH = 6
 
-#: Tokens that may be a credential used without a name before it.
-BARE = (r"[A-Za-z0-9+/_=-]{16,}",)
-CANDIDATE = "token rlike '[0-9]' and token rlike '[A-Za-z]'"
+#: Tokens that may be a credential used without a name before it: runs of the assign value's class without dots at their
+#: edges, and the parts between dots.
+BARE = (r"[A-Za-z0-9+/_=-][A-Za-z0-9+/_.=-]{4,}[A-Za-z0-9+/_=-]", r"[A-Za-z0-9+/_=-]{6,}")
 #: A value that so many owners, or so many repositories of fewer owners, hold is an example.
 EXAMPLE_OWNERS = 3
 EXAMPLE_REPOSITORIES = 4
@@ -57,8 +57,13 @@ def _matches(text: Column, pattern: str, kind: int, hashes: Column | None = None
     return F.when(F.regexp_like(text, F.lit(pattern)), hits).otherwise(F.array().cast(none))
 
 
+def _trimmed(value: Column) -> Column:
+    """Dots at the edges of a value belong to the sentence."""
+    return F.btrim(value, F.lit("."))
+
+
 def _digest(value: Column) -> Column:
-    return F.sha2(value, 256)
+    return F.sha2(_trimmed(value), 256)
 
 
 def _value(match: Column) -> Column:
@@ -78,31 +83,39 @@ def find_base(docs: DataFrame) -> DataFrame:
     )
     long_enough = lambda m: F.char_length(F.regexp_extract(m["value"], ASSIGN, 1)) >= ASSIGN_LENGTH
     plain = lambda m: F.struct(m["start"].alias("start"), m["kind"].alias("kind"), m["end"].alias("end"))
-    hashed = lambda m: F.struct(plain(m).alias("span"), _digest(_value(m)).alias("hash"))
+    hashed = lambda m: F.struct(plain(m).alias("span"), _digest(_value(m)).alias("hash"), F.xxhash64(_trimmed(_value(m))).alias("key"))
     base = F.concat(F.filter("assign", long_enough), "access", "hex")
     return hits.select("doc_id", "t", "owner", "repository", F.transform(base, hashed).alias("base"))
 
 
-def _bare(found: DataFrame, *columns: str) -> DataFrame:
-    """(columns, hash) of the distinct bare candidates of each row."""
+def _bare(found: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
+    """(columns, hash) of each row's distinct bare candidates with one of the keys: there are far more candidates than values,
+    so a short key sorts most of them out before anything is hashed or shuffled."""
     tokens = [F.regexp_extract_all("t", F.lit(pattern), F.lit(0)) for pattern in BARE]
     token = F.explode(F.array_distinct(F.concat(*tokens))).alias("token")
-    return found.select(*columns, token).filter(CANDIDATE).select(*columns, _digest(F.col("token")).alias("hash"))
+    candidates = found.select(*columns, token).withColumn("key", F.xxhash64("token"))
+    return candidates.join(keys, "key").select(*columns, _digest(F.col("token")).alias("hash"))
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(hash, owners, repositories) of all base values, counted from distinct pairs of their base and bare occurrences."""
-    base = found.select(F.explode("base.hash").alias("hash"), "owner", "repository").distinct()
+    """(hash, owners, repositories, bare) of all base values, counted from distinct pairs of their base and bare occurrences;
+    ``bare`` where any of them is bare."""
+    base = found.select(F.explode("base").alias("b"), "owner", "repository").select("b.hash", "b.key", "owner", "repository").distinct()
     base = store(base, "secret_base_pairs")
-    bare = _bare(found, "owner", "repository").distinct().join(base.select("hash").distinct(), "hash")
-    pairs = base.unionByName(bare).distinct()
-    per_owner = pairs.groupBy("hash", "owner").agg(F.count("*").alias("repositories"))
-    return per_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
+    keys = store(base.select("key").distinct(), "secret_base_keys")
+    bare = _bare(found, keys, "owner", "repository").distinct().join(base.select("hash").distinct(), "hash")
+    both = base.drop("key").withColumn("bare", F.lit(False)).unionByName(bare.withColumn("bare", F.lit(True)))
+    pairs = both.groupBy("hash", "owner", "repository").agg(F.max("bare").alias("bare"))
+    per_owner = pairs.groupBy("hash", "owner").agg(F.count("*").alias("repositories"), F.max("bare").alias("bare"))
+    return per_owner.groupBy("hash").agg(
+        F.count("*").alias("owners"), F.sum("repositories").alias("repositories"), F.max("bare").alias("bare")
+    )
 
 
 def _reused(found: DataFrame, live: DataFrame) -> DataFrame:
     """(row number, added array of spans): bare candidates that equal a live value and overlap no base span."""
-    rows = _bare(found, ROW).join(live, "hash").groupBy(ROW).agg(F.collect_set("hash").alias("reused"))
+    keys = found.select(F.explode("base").alias("b")).select("b.hash", "b.key").distinct().join(live, "hash").select("key").distinct()
+    rows = _bare(found, store(keys, "secret_live_keys"), ROW).join(live, "hash").groupBy(ROW).agg(F.collect_set("hash").alias("reused"))
     texts = found.join(store(rows, "secret_reuse_rows"), ROW).select(ROW, "t", "reused", "base.span")
     matches = [_matches(F.col("t"), pattern, REUSE, F.col("reused")) for pattern in BARE]
     clear = lambda m: ~F.exists("span", lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"]))
@@ -116,7 +129,7 @@ def secrets(docs: DataFrame) -> DataFrame:
     is_live = (F.col("owners") < EXAMPLE_OWNERS) & (F.col("repositories") < EXAMPLE_REPOSITORIES)
     judged = found.select(ROW, F.explode("base.hash").alias("hash")).join(owners.select("hash", is_live.alias("live")), "hash")
     per_row = judged.groupBy(ROW).agg(F.count(F.when(F.col("live"), 1)).alias("n_live"), F.count(F.when(~F.col("live"), 1)).alias("n_example"))
-    added = store(_reused(found, owners.filter(is_live).select("hash")), "secret_reuse")
+    added = store(_reused(found, owners.filter(is_live & F.col("bare")).select("hash")), "secret_reuse")
     nothing = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
     whole = found.select("doc_id", ROW, "base").join(per_row, ROW, "left").join(added, ROW, "left").fillna(0, ["n_live", "n_example"])
     spans = F.col("base.span")

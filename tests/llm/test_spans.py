@@ -115,3 +115,12 @@ def test_bare_occurrences_and_repositories_count_as_owners(make):
     assert [found[at].spans for at in range(1, 21)] == [""] * 20
     assert [(found[at].n_live, found[at].n_example) for at in range(30, 34)] == [(0, 1)] * 4
     assert (found[40].n_live, found[41].spans, found[42].spans) == (1, "reuse:5:25", "reuse:5:25")
+
+
+@pytest.mark.parametrize("value", ["hunter22", "correcthorse", "73519046", "eyJhbGciOi.eyJzdWIiOi.SflKxwRJSM", "aB3" * 7])
+def test_reuse_of_any_assigned_value(make, value):
+    rows = [(0, f"password: {value}", "en", "a"), (1, f"run --key {value} now", "en", "b"), (2, f"It was {value}. Then", "en", "b")]
+    found = {row.doc_id: row for row in secrets.secrets(make(rows)).collect()}
+    assert found[0].n_live == 1
+    assert found[1].spans == f"reuse:10:{10 + len(value)}"
+    assert found[2].spans == f"reuse:7:{7 + len(value)}"
