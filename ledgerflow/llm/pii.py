@@ -1,10 +1,11 @@
 """Personal data by bootstrapped contextual extraction.
 
-Four fixed patterns give the base spans; they are the seeds. The two words before a seed are its lexical pattern. Every
-other token that looks like an identifier (it has a digit or an at sign) is an instance of the two words before it. Over
+Four fixed patterns give the base spans; they are the seeds. One and two words to the left, to the right, and one on both
+sides of a seed are its lexical patterns. Every other token that looks like an identifier (it has a digit or an at sign) is
+an instance of the patterns around it; for a pattern of one word, so is any other word there, without trust. Over
 the graph of distinct patterns and instances Spark scores in rounds: a pattern by the share of its instances that are
 trusted, an instance by the mean of its patterns. Patterns of high confidence with enough seeds add the tokens they
-introduce as spans of kind ``id``. Base spans always stay; an added span never overlaps one.
+introduce as spans of kind ``id``, and these are seeds of the next round, until no pattern is added. Base spans always stay; an added span never overlaps one.
 
 Edge cases: a null text counts as empty and has no spans. Repeated rows get the same spans each; the graph counts
 distinct pairs only, so copies add no confidence. An empty table gives an empty result. Very long texts are searched
@@ -14,12 +15,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import ROW, numbered, span_text, store
+from ledgerflow.llm.common import ROW, WORD, numbered, span_text, store, words
 
 KINDS = ("email", "ip", "card", "phone", "id")
 ID = len(KINDS) - 1
@@ -38,7 +40,7 @@ _EDGE = ".,;:!?\"'()[]{}<>"
 ROUNDS = 3
 MINIMUM_SEEDS = 5
 CONFIDENCE = 0.6
-CONTEXT = 200
+_SAME_DIGIT = str.maketrans("123456789", "0" * 9)
 
 
 def _emails(text: str) -> list[tuple[int, int]]:
@@ -81,16 +83,38 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def _before(text: str, start: int) -> str | None:
-    """The two words before a position, in lower case without edge punctuation; None without two such words."""
-    found = text[max(0, start - CONTEXT) : start].split()[-2:]
-    found = [word.strip(_EDGE).lower() or word for word in found]
-    return " ".join(found) if len(found) == 2 and not any(_DIGIT.search(word) for word in found) else None
-
-
-def instances(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str, bool]]:
-    """(start, end, pattern, instance, is seed) of the seeds and of the tokens that look like identifiers."""
-    found = [(start, end, _before(text, start), text[start:end], True) for start, _, end in spans]
+def _plain(word: str) -> str:
+    """A word of a context: lower case, without edge punctuation, all digits alike."""
+    return word.strip(_EDGE).lower().translate(_SAME_DIGIT) or word
+
+
+def contexts(text: str, words: list[tuple[int, int]], begins: list[int], start: int, end: int) -> list[str]:
+    """The patterns around a place: one and two words to the left, to the right, and one on both sides.
+
+    A word that the place cuts counts with the part outside, if that is more than punctuation."""
+    left, right = [], []
+    at = bisect_left(begins, start) - 1
+    while at >= 0 and len(left) < 2:
+        piece = text[words[at][0] : min(words[at][1], start)]
+        if words[at][1] <= start or piece.strip(_EDGE):
+            left.insert(0, _plain(piece))
+        at -= 1
+    at = max(0, bisect_left(begins, end) - 1)
+    while at < len(words) and len(right) < 2:
+        piece = text[max(words[at][0], end) : words[at][1]]
+        if words[at][0] >= end or piece.strip(_EDGE):
+            right.append(_plain(piece))
+        at += 1
+    found = [f"1<{left[-1]}"] if left else []
+    found += [f"1>{right[0]}"] if right else []
+    found += [f"2<{left[0]} {left[1]}"] if len(left) == 2 else []
+    found += [f"2>{right[0]} {right[1]}"] if len(right) == 2 else []
+    return found + ([f"<>{left[-1]} {right[0]}"] if left and right else [])
+
+
+def instances(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, list[str], str, bool]]:
+    """(start, end, patterns, instance, is seed) of the seeds and of the tokens that look like identifiers."""
+    places = [(start, end, True) for start, _, end in spans]
     if _DIGIT.search(text) or "@" in text:
         ahead = 0
         for match in _TOKEN.finditer(text):
@@ -101,13 +125,18 @@ def instances(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, i
                 ahead += 1
             near = spans[max(0, ahead - 3) : ahead + 4]
             if end - start >= 4 and not any(s < end and start < e for s, _, e in near):
-                found.append((start, end, _before(text, start), text[start:end], False))
-    return [part for part in found if part[2] is not None]
+                places.append((start, end, False))
+    if not places:
+        return []
+    words = [match.span() for match in WORD.finditer(text)]
+    begins = [start for start, _ in words]
+    found = [(start, end, contexts(text, words, begins, start, end), text[start:end], seed) for start, end, seed in places]
+    return [part for part in found if part[2]]
 
 
 _FOUND = (
     "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base array<struct<start:long,kind:int,end:long>>,"
-    " candidates array<struct<start:long,end:long,pattern:string,instance:string,seed:boolean>>"
+    " candidates array<struct<start:long,end:long,patterns:array<string>,instance:string,seed:boolean>>"
 )
 
 
@@ -119,7 +148,7 @@ def _find(texts: pd.Series) -> pd.DataFrame:
         said = ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
         counts = [sum(kind == wanted for _, kind, _ in spans) for wanted in range(4)]
         base = [{"start": start, "kind": kind, "end": end} for start, kind, end in spans]
-        names = ("start", "end", "pattern", "instance", "seed")
+        names = ("start", "end", "patterns", "instance", "seed")
         more = [dict(zip(names, part, strict=True)) for part in instances(text, spans)]
         rows.append((*counts, hashlib.sha256(said.encode()).hexdigest(), base, more))
     columns = ["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "candidates"]
@@ -131,46 +160,71 @@ def find_base(text: Column) -> Column:
     return F.pandas_udf(_find, _FOUND)(text)
 
 
-def score_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(pattern, score, seeds) from distinct edges (pattern, instance, seed).
+def beside(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(pattern, others): how many distinct words that are no identifiers stand in the place of one-word patterns.
+
+    A common word stands before a few identifiers and very many other words; without these it would look like a sure sign."""
+    plain = lambda w: F.translate(F.btrim(F.lower(w), F.lit(_EDGE)), "123456789", "0" * 9)
+    said = F.transform(words(F.col("text")), plain)
+    pair = F.zip_with(F.slice(said, 1, F.greatest(F.size(said) - 1, F.lit(0))), F.slice(said, 2, F.greatest(F.size(said), F.lit(1))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    pairs = docs.select(F.explode(pair).alias("p")).select("p.*").filter("a is not null and b is not null")
+    both = F.array(
+        F.struct(F.concat(F.lit("1<"), "a").alias("pattern"), F.col("b").alias("word")),
+        F.struct(F.concat(F.lit("1>"), "b").alias("pattern"), F.col("a").alias("word")),
+    )
+    seen = pairs.select(F.explode(both).alias("s")).select("s.*").join(patterns, "pattern").filter("not word rlike '[0-9@]'")
+    return seen.select("pattern", F.xxhash64("word").alias("word")).distinct().groupBy("pattern").agg(F.count("*").alias("others"))
 
-    An instance starts with trust 1 as a seed and 0 otherwise. Each round, a pattern's score is the mean trust of its
-    instances, and an instance that is no seed takes the mean score of its patterns."""
-    trust = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("trust"))
-    scores = None
-    for at in range(rounds):
-        trusted = edges.join(trust, "instance")
-        scores = store(
-            trusted.groupBy("pattern").agg(F.avg("trust").alias("score"), F.sum(F.col("seed").cast("long")).alias("seeds")),
-            f"pattern_scores_{at}",
-        )
-        if at + 1 < rounds:
-            trust = (
-                edges.join(scores.select("pattern", "score"), "pattern")
-                .groupBy("instance")
-                .agg(F.max(F.col("seed").cast("double")).alias("seed"), F.avg("score").alias("mean"))
-                .select("instance", F.greatest("seed", "mean").alias("trust"))
-            )
-    return scores
 
+def score_patterns(edges: DataFrame, others: DataFrame | None = None, rounds: int = ROUNDS) -> DataFrame:
+    """(pattern, score, seeds, good) from stored distinct edges (pattern, instance, seed) and other words per pattern.
 
-def added_spans(found: DataFrame) -> DataFrame:
+    An instance starts with trust 1 as a seed and 0 otherwise. Each round, a pattern's score is the mean trust of its
+    instances and other words. A pattern of high confidence with enough seeds is good and stays so, and its instances are
+    seeds of the next round; any other instance takes the mean score of its patterns. After ``rounds`` rounds, more follow
+    until no pattern is added."""
+    counted = edges if others is None else edges.join(others, "pattern", "left")
+    counted = counted.withColumn("others", F.coalesce("others", F.lit(0))) if others is not None else edges.withColumn("others", F.lit(0))
+    trust = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("trust"), F.max("seed").alias("is_seed"))
+    before, at, known = -1, 0, None
+    while True:
+        scores = counted.join(trust, "instance").groupBy("pattern").agg(
+            (F.sum("trust") / (F.count("*") + F.max("others"))).alias("score"), F.sum(F.col("is_seed").cast("long")).alias("seeds")
+        )
+        good = (F.col("score") >= CONFIDENCE) & (F.col("seeds") >= MINIMUM_SEEDS)
+        if known is not None:
+            scores = scores.join(known.select("pattern", F.lit(True).alias("was")), "pattern", "left")
+            good = good | F.coalesce("was", F.lit(False))
+        scores = store(scores.select("pattern", "score", "seeds", good.alias("good")), f"pattern_scores_{at}")
+        known = scores.filter("good")
+        now, at = known.count(), at + 1
+        if at >= rounds and now == before:
+            return scores
+        before = now
+        reached = edges.join(scores, "pattern").groupBy("instance")
+        reached = reached.agg(F.max(F.col("seed") | F.col("good")).alias("is_seed"), F.avg("score").alias("mean"))
+        trust = reached.select("instance", F.when(F.col("is_seed"), 1.0).otherwise(F.col("mean")).alias("trust"), "is_seed")
+
+
+def added_spans(found: DataFrame, docs: DataFrame) -> DataFrame:
     """(row number, added array of spans) that patterns of high confidence discover."""
-    seen = found.select(ROW, F.explode("candidates").alias("c")).select(ROW, "c.*")
+    seen = found.select(ROW, F.explode("candidates").alias("c")).select(ROW, "c.*").withColumn("pattern", F.explode("patterns"))
     pairs = seen.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
     edges = store(pairs, "pattern_edges")
-    good = score_patterns(edges).filter((F.col("score") >= CONFIDENCE) & (F.col("seeds") >= MINIMUM_SEEDS))
+    enough = edges.filter("pattern like '1%'").groupBy("pattern").agg(F.count("*").alias("n")).filter(F.col("n") >= MINIMUM_SEEDS)
+    others = store(beside(docs, store(enough.select("pattern"), "one_word_patterns")), "pattern_others")
+    good = score_patterns(edges, others).filter("good")
     span = F.struct("start", F.lit(ID).alias("kind"), "end")
     return (
         seen.filter(~F.col("seed")).join(good.select("pattern"), "pattern").groupBy(ROW).agg(F.collect_set(span).alias("added"))
     )
 
 
-def _with_added(found: DataFrame) -> DataFrame:
+def _with_added(found: DataFrame, docs: DataFrame) -> DataFrame:
     """Rows without other candidates skip the join."""
     open_row = F.exists("candidates", lambda c: ~c["seed"])
     nothing = F.array().cast("array<struct<start:long,kind:int,end:long>>")
-    joined = found.filter(open_row).join(added_spans(found), ROW, "left")
+    joined = found.filter(open_row).join(added_spans(found, docs), ROW, "left")
     joined = joined.withColumn("added", F.coalesce("added", nothing))
     return joined.unionByName(found.filter(~open_row).withColumn("added", nothing))
 
@@ -181,7 +235,7 @@ def _all_spans() -> Column:
 
 def personal_data(docs: DataFrame) -> DataFrame:
     found = numbered(docs.select("doc_id", find_base(F.col("text")).alias("f")).select("doc_id", "f.*"), "personal_data")
-    result = _with_added(found)
+    result = _with_added(found, docs)
     return result.select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", span_text(_all_spans(), KINDS).alias("spans")
     )
@@ -209,6 +263,6 @@ def mask_personal_data(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     row = F.struct(*[F.col(f"`{name}`") for name in columns]).alias("_row_")
     found = numbered(docs.select(row, find_base(F.col("text")).alias("f")).select("_row_", "f.base", "f.candidates"), "masking")
-    result = _with_added(found).select("_row_", masked(F.col("_row_.text"), _all_spans()).alias("_text_"))
+    result = _with_added(found, docs).select("_row_", masked(F.col("_row_.text"), _all_spans()).alias("_text_"))
     new = {"text": F.col("_text_"), "n_chars": F.char_length("_text_").cast("long")}
     return result.select(*[new.get(name, F.col(f"_row_.`{name}`")).alias(name) for name in columns])

@@ -124,3 +124,30 @@ def test_reuse_of_any_assigned_value(make, value):
     assert found[0].n_live == 1
     assert found[1].spans == f"reuse:10:{10 + len(value)}"
     assert found[2].spans == f"reuse:7:{7 + len(value)}"
+
+
+def test_patterns_reached_through_discovered_identifiers(make):
+    seeds = [f"contact address person{at}@mail.example.org" for at in range(8)]
+    both = [f"contact address X7{at}-Q912" for at in range(6)]
+    second = [f"kindly quote X7{at}-Q912" for at in range(6)]
+    third = ["kindly quote Z-55120-K"]
+    rows = [*seeds, *both, *second, *third]
+    found = {row.doc_id: row.spans for row in pii.personal_data(make(rows)).collect()}
+    assert found[8].startswith("id:16:")
+    assert found[len(rows) - 1] == "id:13:22"
+
+
+def test_contexts_of_one_word_to_the_right_and_beyond_any_window(make):
+    gap = " " * 300
+    left = [f"word{'abcdefgh'[at]} mailto:{gap}p{at}@mail.example.org x{'abcdefgh'[at]}" for at in range(8)]
+    right = [f"{'stuvwxyz'[at]} {at}q@mail.example.org wrote yesterday" for at in range(8)]
+    rows = [*left, *right, f"other mailto:{gap}QQ-1234 end", "so AB-9876 wrote yesterday", "in 19999 the"]
+    found = {row.doc_id: row.spans for row in pii.personal_data(make(rows)).collect()}
+    assert (found[16], found[17], found[18]) == ("id:313:320", "id:3:10", "")
+
+
+def test_a_common_word_is_no_pattern(make):
+    seeds = [f"of the p{at}@mail.example.org" for at in range(6)]
+    prose = ["the " + " the ".join(f"{a}{b}" for a in "abcdefghij" for b in "klmnop")]
+    rows = [*seeds, *prose, "by the 5543404633219280"]
+    assert pii.personal_data(make(rows)).filter("doc_id = 7").first().spans == ""
