@@ -24,9 +24,13 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def documents(spark: SparkSession, folder: str) -> DataFrame:
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     bound_batches(spark)
-    return spark.read.parquet(f"{folder}/documents.parquet")
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents")
 
 
 def words(text: Column) -> Column:

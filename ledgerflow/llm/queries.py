@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import fingerprint, grammar, mixing, neardup, packing, pii, quality, repeats, secrets, trie
-from ledgerflow.llm.common import documents
+from ledgerflow.llm import clusters, fingerprint, grammar, mixing, neardup, packing, pii, quality, repeats, secrets, trie
+from ledgerflow.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": lambda spark, folder: mixing.mixed(documents(spark, folder)),
@@ -20,9 +20,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": lambda spark, folder: packing.pack_documents(documents(spark, folder)),
     "op9_quality_cascade": lambda spark, folder: quality.quality_table(documents(spark, folder)),
     "op10_secret_ownership": lambda spark, folder: secrets.secrets(documents(spark, folder)),
+    "op11_vector_clusters": lambda spark, folder: clusters.vector_clusters(table(spark, folder, "embeddings")),
 }
 
 ORACLE: dict[str, str] = {
     "op1_mixing": mixing.mixed_sql(),
     "op9_quality_cascade": quality.quality_sql(),
+    "op11_vector_clusters": clusters.clusters_sql(),
 }
