@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import clusters, fingerprint, grammar, lines, mixing, neardup, packing, pii, quality, repeats, secrets, trie
+from ledgerflow.llm import clusters, conversations, fingerprint, grammar, lines, mixing, neardup, packing, pii, quality, repeats, secrets, trie
 from ledgerflow.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_cascade": lambda spark, folder: quality.quality_table(documents(spark, folder)),
     "op10_secret_ownership": lambda spark, folder: secrets.secrets(documents(spark, folder)),
     "op11_vector_clusters": lambda spark, folder: clusters.vector_clusters(table(spark, folder, "embeddings")),
+    "op12_conversation_repair": lambda spark, folder: conversations.repaired_conversations(table(spark, folder, "conversations")),
     "op13_line_dedup": lambda spark, folder: lines.line_dedup(documents(spark, folder)),
 }
 
@@ -28,5 +29,6 @@ ORACLE: dict[str, str] = {
     "op1_mixing": mixing.mixed_sql(),
     "op9_quality_cascade": quality.quality_sql(),
     "op11_vector_clusters": clusters.clusters_sql(),
+    "op12_conversation_repair": conversations.repaired_conversations_sql(),
     "op13_line_dedup": lines.line_dedup_sql(),
 }
