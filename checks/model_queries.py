@@ -282,16 +282,24 @@ def _add_flag(name: str, flag: str, flagged) -> None:
 
 _add_flag("a01_high_value_transaction", "high_value_transaction", lambda rows: rows.withColumn("high_value_transaction", anomaly.high_value(200)))
 _add_flag("a02_spending_deviation", "spending_deviation", anomaly.with_spending_deviation)
-_add_flag(
-    "a03_rapid_repeat_transaction",
-    "rapid_repeat_transaction",
-    lambda rows: anomaly.with_previous_row_flags(rows, 1440, ["rapid_repeat_transaction"]),
-)
-_add_flag(
-    "a04_geographic_inconsistency",
-    "geographic_inconsistency",
-    lambda rows: anomaly.with_previous_row_flags(rows, 10, ["geographic_inconsistency"]),
-)
+
+
+def _compared_with_previous(minutes: int, flag: str):
+    """The flag with slots of very many rows spread over ranges."""
+
+    def flagged(rows: DataFrame) -> DataFrame:
+        staging = Staging(rows.sparkSession)
+        crowded = staging.save(anomaly.crowded_slots(rows, minutes), "crowded_slots")
+        return anomaly.with_previous_row_flags(rows, minutes, [flag], crowded, staging)
+
+    return flagged
+
+
+for _name, _flag, _minutes in (
+    ("a03_rapid_repeat_transaction", "rapid_repeat_transaction", 1440),
+    ("a04_geographic_inconsistency", "geographic_inconsistency", 10),
+):
+    _add_flag(_name, _flag, _compared_with_previous(_minutes, _flag))
 _add_flag("a05_unusual_international_activity", "unusual_international_activity", anomaly.with_unusual_international)
 _add_flag(
     "a06_unusual_transaction_time",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.functions import numbers, text
+from ledgerflow.operators.neighbours import Before, previous_in_groups, previous_in_ranges
 from ledgerflow.operators.numbering import number_by_position
 from ledgerflow.operators.quantiles import exact_quantiles
 from ledgerflow.settings import Settings
@@ -18,8 +19,9 @@ BALANCE_ISSUE_AMOUNT = 1000
 SPENDING_FLOOR = 500
 DECLINES_PER_DAY = 3
 UNUSUAL_INTERNATIONAL_PER_CUSTOMER = 2
-# Rows of one customer in one slot of this length are ordered by one task.
+# Rows of one customer in one slot of this length are ordered by one task, unless they are more than SLOT_ROWS.
 SLOT_HOURS = 6
+SLOT_ROWS = 1 << 20
 
 REPORTED_COLUMNS = (
     "transaction_id",
@@ -49,32 +51,54 @@ def _certain(flag: Column) -> Column:
     return F.coalesce(flag, F.lit(False))
 
 
-def customer_spending(transactions: DataFrame) -> DataFrame:
-    """Mean, sample deviation (0 for one row) and exact median of each customer's amounts, in cents.
+def amount_counts(transactions: DataFrame) -> DataFrame:
+    """How often each customer has each amount, in cents: all that the spending statistics need of the transactions."""
+    cents = numbers.cents(F.col("transaction_amount")).alias("cents")
+    return transactions.where("customer_id is not null").groupBy("customer_id", cents).agg(F.count("*").alias("times"))
+
+
+def customer_spending(counts: DataFrame) -> DataFrame:
+    """Rows, and mean, sample deviation (0 for one row) and exact median of each customer's amounts, from ``amount_counts``.
 
     Sums of cents and of their squares are whole numbers, so the limits do not depend on the order of rows. Sums beyond
-    38 digits fall back to doubles."""
-    narrow = transactions.where("customer_id is not null").select(
-        "customer_id", numbers.cents(F.col("transaction_amount")).alias("cents")
+    38 digits fall back to doubles. ``counts`` is read several times, so it should be a stored table."""
+    known = F.col("cents").isNotNull()
+    value, times = F.col("cents").cast("decimal(19,0)"), F.col("times").cast("decimal(19,0)")
+    parts = counts.select(
+        "customer_id",
+        "times",
+        F.when(known, F.col("times")).alias("n"),
+        F.try_multiply(value, times).alias("part"),
+        F.try_multiply((value * value).cast("decimal(38,0)"), times).cast("decimal(38,0)").alias("square"),
+        (F.col("cents").cast("double") * F.col("times")).alias("plain_part"),
+        (F.col("cents").cast("double") * F.col("cents") * F.col("times")).alias("plain_square"),
     )
-    value = F.col("cents").cast("decimal(19,0)")
-    sums = narrow.groupBy("customer_id").agg(
-        F.count("cents").cast("decimal(19,0)").alias("n"),
-        F.try_sum(value).alias("total"),
-        F.try_sum((value * value).cast("decimal(38,0)")).alias("squares"),
-        F.avg("cents").alias("mean_cents"),
-        F.stddev_samp("cents").alias("plain_deviation"),
+
+    def whole_sum(name: str) -> Column:
+        """Null where a part or the sum has more than 38 digits."""
+        return F.when(F.count(name) == F.count("n"), F.try_sum(name))
+
+    sums = parts.groupBy("customer_id").agg(
+        F.sum("times").alias("customer_rows"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("decimal(19,0)").alias("n"),
+        whole_sum("part").alias("total"),
+        whole_sum("square").alias("squares"),
+        F.sum("plain_part").alias("plain_total"),
+        F.sum("plain_square").alias("plain_squares"),
     )
+    rows, pairs = F.col("n").cast("double"), (F.col("n") * (F.col("n") - 1)).cast("double")
     # n * squares - total^2, as far as whole numbers hold it
     spread = F.try_subtract(F.try_multiply(F.col("n"), F.col("squares")), F.try_multiply(F.col("total"), F.col("total")))
-    exact = F.sqrt(F.try_divide(spread.cast("double"), (F.col("n") * (F.col("n") - 1)).cast("double")))
-    mean = F.coalesce(F.try_divide(F.col("total").cast("double"), F.col("n").cast("double")), F.col("mean_cents"))
+    plain = F.greatest(rows * F.col("plain_squares") - F.col("plain_total") * F.col("plain_total"), F.lit(0.0))
+    deviation = F.sqrt(F.try_divide(F.coalesce(spread.cast("double"), plain), pairs))
+    mean = F.try_divide(F.coalesce(F.col("total").cast("double"), F.col("plain_total")), rows)
     moments = sums.select(
         "customer_id",
+        "customer_rows",
         (mean / 100).alias("mean_amount"),
-        (F.coalesce(exact, F.col("plain_deviation"), F.lit(0.0)) / 100).alias("amount_deviation"),
+        (F.coalesce(deviation, F.lit(0.0)) / 100).alias("amount_deviation"),
     )
-    medians = exact_quantiles(narrow, ["customer_id"], "cents", {"median_cents": 0.5})
+    medians = exact_quantiles(counts, ["customer_id"], "cents", {"median_cents": 0.5}, times="times", counted=True)
     median = (F.col("median_cents") / 100).alias("median_amount")
     return moments.join(medians, "customer_id", "left").select(*moments.columns, median)
 
@@ -111,9 +135,11 @@ def is_early_international() -> Column:
     return _certain(F.col("is_international") & (moment <= F.col("last_unusual")))
 
 
-def customer_history(transactions: DataFrame) -> DataFrame:
-    """One row per customer with all that the customer rules compare a transaction with."""
-    return customer_spending(transactions).join(early_international(transactions), "customer_id", "left")
+def customer_history(transactions: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """One row per customer with all that the customer rules compare a transaction with. ``counts`` may hold the
+    ``amount_counts`` as a stored table."""
+    spending = customer_spending(amount_counts(transactions) if counts is None else counts)
+    return spending.join(early_international(transactions), "customer_id", "left")
 
 
 def with_customer_history(transactions: DataFrame, history: DataFrame) -> DataFrame:
@@ -127,7 +153,7 @@ def with_customer_history(transactions: DataFrame, history: DataFrame) -> DataFr
 
 
 def with_spending_deviation(transactions: DataFrame) -> DataFrame:
-    spending = customer_spending(transactions)
+    spending = customer_spending(amount_counts(transactions))
     over_limit = _certain(F.col("transaction_amount").cast("double") > spending_limit())
     flagged = transactions.join(spending, "customer_id", "left").withColumn("spending_deviation", over_limit)
     return flagged.select(*transactions.columns, "spending_deviation")
@@ -138,58 +164,98 @@ def with_unusual_international(transactions: DataFrame) -> DataFrame:
     return flagged.select(*transactions.columns, is_early_international().alias("unusual_international_activity"))
 
 
-def in_time_slots(transactions: DataFrame, lookback_seconds: int, columns: Sequence[str]) -> DataFrame:
-    """Rows with a time slot, and copies of a slot's last rows carried into the next one.
+def _lookback(minutes: int) -> int:
+    """Seconds that the rules about the previous row look back."""
+    return max(minutes * 60, GEOGRAPHY_HOURS * 3600)
 
-    A window over (customer, slot) then sees every predecessor within the lookback, while the
-    history of a heavy customer is spread over as many tasks as it has slots."""
+
+def _slot(lookback_seconds: int) -> tuple[Column, Column]:
+    """The time slot of a row, and whether the row lies in the lookback of the next slot."""
     width = max(SLOT_HOURS * 3600, lookback_seconds) * 1_000_000
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     micros = F.timestamp_diff("MICROSECOND", epoch, F.col("transaction_timestamp"))
     slot = F.floor(micros / width)
-    near_end = micros >= (slot + 1) * width - lookback_seconds * 1_000_000
+    return slot, micros >= (slot + 1) * width - lookback_seconds * 1_000_000
+
+
+def in_time_slots(transactions: DataFrame, lookback_seconds: int, columns: Sequence[str]) -> DataFrame:
+    """Rows with a time slot, and copies of a slot's last rows carried into the next one.
+
+    A window over (customer, slot) then sees every predecessor within the lookback, while the
+    history of a heavy customer is spread over as many tasks as it has slots."""
+    slot, near_end = _slot(lookback_seconds)
     copies = F.array_compact(F.array(F.struct(slot.alias("slot"), F.lit(False).alias("carried")),
                                      F.when(near_end, F.struct((slot + 1).alias("slot"), F.lit(True).alias("carried")))))
     return transactions.select(*columns, F.explode(copies).alias("at")).select(*columns, "at.slot", "at.carried")
 
 
-def _previous(column: str, *inside: str) -> Column:
-    order = Window.partitionBy(*inside, "slot").orderBy("transaction_timestamp", "source_row_number")
-    return F.lag(column).over(order)
+def crowded_slots(
+    transactions: DataFrame, minutes: int, customers: DataFrame | None = None, limit: int | None = None
+) -> DataFrame:
+    """(customer_id, slot) with more than ``limit`` rows (``SLOT_ROWS``), counted before the shuffle.
+
+    ``customers`` (a column customer_id) may name the only ones that can have so many; the others are not counted."""
+    if customers is not None:
+        transactions = transactions.join(customers.select("customer_id"), "customer_id", "left_semi")
+    slotted = in_time_slots(transactions.where("customer_id is not null"), _lookback(minutes), ["customer_id", "transaction_timestamp"])
+    counts = slotted.groupBy("customer_id", "slot").agg(F.count("*").alias("slot_rows"))
+    return counts.where(F.col("slot_rows") > (SLOT_ROWS if limit is None else limit)).select("customer_id", "slot")
+
+
+# What the rules need to know of the row before.
+_SEARCHES = {
+    "rapid_repeat_transaction": Before(("merchant_id", "rounded_amount"), {"repeat_timestamp": "transaction_timestamp"}),
+    "geographic_inconsistency": Before((), {"last_region": "region", "last_timestamp": "transaction_timestamp"}),
+}
 
 
 def _is_rapid(minutes: int) -> Column:
-    gap = numbers.elapsed(
-        _previous("transaction_timestamp", "customer_id", "merchant_id", "rounded_amount"),
-        F.col("transaction_timestamp"),
-        60,
-    )
+    gap = numbers.elapsed(F.col("repeat_timestamp"), F.col("transaction_timestamp"), 60)
     known = F.col("customer_id").isNotNull() & F.col("merchant_id").isNotNull()
     return _certain(known & gap.between(0, minutes))
 
 
 def _is_far_apart() -> Column:
-    before = _previous("region", "customer_id")
-    gap = numbers.elapsed(_previous("transaction_timestamp", "customer_id"), F.col("transaction_timestamp"), 3600)
+    before = F.col("last_region")
+    gap = numbers.elapsed(F.col("last_timestamp"), F.col("transaction_timestamp"), 3600)
     moved = (F.col("region") != before) & (F.col("region") != "Unknown") & (before != "Unknown")
     return _certain(F.col("customer_id").isNotNull() & moved & (gap <= GEOGRAPHY_HOURS))
 
 
 def with_previous_row_flags(
-    transactions: DataFrame, minutes: int, flags: Sequence[str] = ("rapid_repeat_transaction", "geographic_inconsistency")
+    transactions: DataFrame,
+    minutes: int,
+    flags: Sequence[str] = ("rapid_repeat_transaction", "geographic_inconsistency"),
+    crowded: DataFrame | None = None,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """Flags that compare a row with the one before it. Both windows share one shuffle on
-    (customer, slot): hashing by part of a window's keys already keeps its rows together."""
-    lookback = max(minutes * 60, GEOGRAPHY_HOURS * 3600)
+    (customer, slot): hashing by part of a window's keys already keeps its rows together.
+
+    ``crowded`` may hold the ``crowded_slots`` as a stored table. The rows of these slots are spread over ranges of time
+    instead; their sorted rows are stored. Rows without customer or time have no flag and are spread by their number."""
     derived = transactions.withColumns(
         {
             "rounded_amount": numbers.whole_units(F.col("transaction_amount")),
             "region": text.region_of_state(F.col("state")),
+            "slot_owner": F.when(F.col("transaction_timestamp").isNotNull() & F.col("customer_id").isNotNull(), F.col("customer_id")).otherwise(
+                F.concat(F.lit("row "), F.col("source_row_number").cast("string"))
+            ),
         }
     )
+    searches = {name: _SEARCHES[name] for name in flags}
     rules = {"rapid_repeat_transaction": _is_rapid(minutes), "geographic_inconsistency": _is_far_apart()}
-    slotted = in_time_slots(derived, lookback, derived.columns).repartition("customer_id", "slot")
-    flagged = slotted.withColumns({name: rules[name] for name in flags})
+    slotted = in_time_slots(derived, _lookback(minutes), derived.columns)
+    shared, order = ["slot_owner", "slot"], ["transaction_timestamp", "source_row_number"]
+    few, many = slotted, None
+    if crowded is not None and not crowded.isEmpty():
+        named = crowded.withColumnRenamed("customer_id", "slot_owner")
+        few, many = slotted.join(named, shared, "left_anti"), slotted.join(named, shared, "left_semi")
+    found = previous_in_groups(few, shared, order, searches)
+    if many is not None:
+        staging = Staging(transactions.sparkSession) if staging is None else staging
+        found = found.unionByName(previous_in_ranges(many, shared, order, searches, staging, "crowded_slot_rows"))
+    flagged = found.withColumns({name: rules[name] for name in flags})
     return flagged.where(~F.col("carried")).select(*transactions.columns, *flags)
 
 
@@ -229,14 +295,16 @@ def flag_transactions(
     settings: Settings,
     history: DataFrame | None = None,
     busy_days: DataFrame | None = None,
+    crowded: DataFrame | None = None,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """Every transaction with its eight rule flags, score, priority and fired rules.
 
-    ``history`` and ``busy_days`` may come as stored tables, whose size tells Spark whether the
+    ``history``, ``busy_days`` and ``crowded`` (slots) may come as stored tables, whose size tells Spark whether the
     transactions have to be shuffled for the joins."""
     history = customer_history(transactions) if history is None else history
     busy_days = busy_decline_days(transactions) if busy_days is None else busy_days
-    flagged = with_previous_row_flags(transactions, settings.rapid_transaction_minutes)
+    flagged = with_previous_row_flags(transactions, settings.rapid_transaction_minutes, crowded=crowded, staging=staging)
     flagged = with_repeated_declines(with_customer_history(flagged, history), busy_days)
     flagged = flagged.withColumns(
         {
@@ -260,10 +328,12 @@ def flagged_rows(
     settings: Settings,
     history: DataFrame | None = None,
     busy_days: DataFrame | None = None,
+    crowded: DataFrame | None = None,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """The transactions with a score, still without ids."""
     return (
-        flag_transactions(transactions, settings, history, busy_days)
+        flag_transactions(transactions, settings, history, busy_days, crowded, staging)
         .where("anomaly_score > 0")
         .select(
             "source_row_number",
@@ -284,11 +354,18 @@ def number_flags(flagged: DataFrame) -> DataFrame:
     return numbered.select(text.numbered_id("ANOM", F.col("anomaly_number")).alias("anomaly_id"), *others)
 
 
+def crowded_slots_of(transactions: DataFrame, settings: Settings, history: DataFrame) -> DataFrame:
+    """The crowded slots, looked for only among customers with so many rows; ``history`` is stored."""
+    busy = history.where(F.col("customer_rows") > SLOT_ROWS).select("customer_id")
+    return crowded_slots(transactions, settings.rapid_transaction_minutes, busy)
+
+
 def run_anomaly_rules(transactions: DataFrame, settings: Settings, staging: Staging | None = None) -> DataFrame:
-    """The flag table. With ``staging`` the customer totals and the flagged rows are stored once;
-    without it the rules run once for counting the flagged rows and once for numbering them."""
-    if staging is None:
-        return number_flags(flagged_rows(transactions, settings))
-    history = staging.save(customer_history(transactions), "customer_history")
+    """The flag table. What the rules compare rows with and the flagged rows are stored once."""
+    staging = Staging(transactions.sparkSession) if staging is None else staging
+    counts = staging.save(amount_counts(transactions), "amount_counts")
+    history = staging.save(customer_history(transactions, counts), "customer_history")
     busy_days = staging.save(busy_decline_days(transactions), "busy_decline_days")
-    return number_flags(staging.save(flagged_rows(transactions, settings, history, busy_days), "flagged_rows"))
+    crowded = staging.save(crowded_slots_of(transactions, settings, history), "crowded_slots")
+    flagged = flagged_rows(transactions, settings, history, busy_days, crowded, staging)
+    return number_flags(staging.save(flagged, "flagged_rows"))

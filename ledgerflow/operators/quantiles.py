@@ -24,20 +24,26 @@ def _narrow(children: DataFrame, inside: Sequence[str], order: str) -> DataFrame
 
 
 def exact_quantiles(
-    frame: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float], times: str | None = None
+    frame: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    points: Mapping[str, float],
+    times: str | None = None,
+    counted: bool = False,
 ) -> DataFrame:
     """One row per group with interpolated quantiles of a whole-number column (cents, counts). A column ``times`` says how
-    many rows a row stands for.
+    many rows a row stands for; ``counted`` says that no group and value occurs in two rows, so they are not counted again.
 
     The same values as ``percentile``, which gathers all distinct values of a group in one task.
     Here counts per value are added up into coarser digits, and only the child that holds the
     wanted rank is opened at the next digit. Groups are null-safe; null values are left out."""
     coarse, middle = F.shiftright("value", 2 * DIGIT_BITS), F.shiftright("value", DIGIT_BITS)
-    values = (
-        frame.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("bigint").alias("value"))
-        .agg((F.sum(times) if times else F.count("*")).alias("rows"))
-    )
+    known = frame.where(F.col(value).isNotNull())
+    whole = F.col(value).cast("bigint").alias("value")
+    if counted:
+        values = known.select(*keys, whole, F.col(times).alias("rows"))
+    else:
+        values = known.groupBy(*keys, whole).agg((F.sum(times) if times else F.count("*")).alias("rows"))
     middles = values.groupBy(*keys, coarse.alias("coarse"), middle.alias("middle")).agg(F.sum("rows").alias("rows"))
     coarses = middles.groupBy(*keys, "coarse").agg(F.sum("rows").alias("rows"))
 

@@ -146,11 +146,18 @@ class Warehouse(Mapping[str, DataFrame]):
         return facts.build_fact_data_quality_issue(self["data_quality_issues"])
 
     def _flagged_rows(self) -> DataFrame:
-        valid, history, busy_days = self["valid_transactions"], self["customer_history"], self["busy_decline_days"]
-        return anomaly.flagged_rows(valid, self.settings, history, busy_days)
+        known = [self[name] for name in ("valid_transactions", "customer_history", "busy_decline_days", "crowded_slots")]
+        valid, history, busy_days, crowded = known
+        return anomaly.flagged_rows(valid, self.settings, history, busy_days, crowded, self.staging)
+
+    def _amount_counts(self) -> DataFrame:
+        return anomaly.amount_counts(self["valid_transactions"])
 
     def _customer_history(self) -> DataFrame:
-        return anomaly.customer_history(self["valid_transactions"])
+        return anomaly.customer_history(self["valid_transactions"], self["amount_counts"])
+
+    def _crowded_slots(self) -> DataFrame:
+        return anomaly.crowded_slots_of(self["valid_transactions"], self.settings, self["customer_history"])
 
     def _busy_decline_days(self) -> DataFrame:
         return anomaly.busy_decline_days(self["valid_transactions"])

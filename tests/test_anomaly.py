@@ -5,6 +5,7 @@ from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pandas as pd
+import pytest
 from fixtures import table
 from pyspark.sql import functions as F
 
@@ -88,6 +89,26 @@ def test_spending_of_a_single_row_customer(spark):
     assert flags(anomaly.with_spending_deviation(frame), "spending_deviation") == [False, False]
 
 
+def test_spending_beyond_whole_numbers_and_without_amounts(spark):
+    rows_ = [("A", 10**18, 5), ("A", 10**18 + 10**17, 5), ("B", 1000, 10**18), ("B", 3000, 10**18), ("C", None, 4), ("D", 700, 1)]
+    counts = spark.createDataFrame(rows_, "customer_id string, cents bigint, times bigint")
+    found = {row.customer_id: row for row in anomaly.customer_spending(counts).collect()}
+    assert found["A"].mean_amount == pytest.approx(1.05e16)
+    assert found["A"].amount_deviation == pytest.approx(0.05e16 * (10 / 9) ** 0.5)
+    assert (found["B"].mean_amount, found["B"].customer_rows) == (20.0, 2 * 10**18)
+    assert found["B"].amount_deviation == pytest.approx(10.0)
+    assert (found["C"].mean_amount, found["C"].amount_deviation, found["C"].median_amount) == (None, 0.0, None)
+    assert (found["D"].mean_amount, found["D"].amount_deviation, found["D"].median_amount) == (7.0, 0.0, 7.0)
+
+
+def test_spending_does_not_depend_on_partitions(spark):
+    pick = random.Random(8)
+    changes = [dict(customer_id=f"C{at % 3}", transaction_amount=Decimal(pick.randrange(1, 10**7)) / 100) for at in range(600)]
+    frame = rows(spark, *changes)
+    found = [sorted(map(tuple, anomaly.customer_spending(anomaly.amount_counts(frame.repartition(n))).collect())) for n in (1, 200)]
+    assert found[0] == found[1]
+
+
 def test_score_skips_absent_rules_and_reads_null_as_false(spark):
     frame = spark.createDataFrame(
         [(True, True, False), (False, True, True), (None, None, None)],
@@ -139,7 +160,9 @@ def expected_flags(pdf):
     return out[list(DEFAULT_WEIGHTS)]
 
 
-def test_all_rules_with_one_customer_holding_a_third_of_the_rows(spark):
+@pytest.mark.parametrize("slot_rows", [anomaly.SLOT_ROWS, 15])
+def test_all_rules_with_one_customer_holding_a_third_of_the_rows(spark, monkeypatch, slot_rows):
+    monkeypatch.setattr(anomaly, "SLOT_ROWS", slot_rows)
     random.seed(11)
     start = datetime(2024, 1, 1)
     changes = []
@@ -163,6 +186,10 @@ def test_all_rules_with_one_customer_holding_a_third_of_the_rows(spark):
         assert scored[rule].tolist() == expected[rule].tolist(), rule
     score = sum(expected[rule].astype(int) * weight for rule, weight in DEFAULT_WEIGHTS.items())
     assert scored["anomaly_score"].tolist() == score.tolist()
+    crowded = anomaly.crowded_slots(frame, SETTINGS.rapid_transaction_minutes)
+    assert (crowded.count() > 5) == (slot_rows == 15)
+    again = anomaly.flag_transactions(frame, SETTINGS, crowded=crowded).toPandas().sort_values("source_row_number").reset_index(drop=True)
+    assert again[list(DEFAULT_WEIGHTS)].equals(scored[list(DEFAULT_WEIGHTS)])
     reported = anomaly.run_anomaly_rules(frame, SETTINGS).toPandas().sort_values("anomaly_id")
     assert reported["transaction_id"].tolist() == scored.loc[score > 0, "transaction_id"].tolist()
     assert reported["anomaly_id"].iloc[0] == "ANOM0000001"

@@ -8,8 +8,10 @@ from fixtures import table
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import anomaly, numbering, quality
+from ledgerflow.operators.neighbours import Before, previous_in_groups, previous_in_ranges
 from ledgerflow.plans import views
 from ledgerflow.session import apply_settings
+from ledgerflow.sources.staging import Staging
 
 
 @pytest.fixture
@@ -74,6 +76,38 @@ def test_history_of_a_heavy_customer_is_spread(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_one_hour_of_one_customer_is_spread_over_ranges(spark, tmp_path):
+    """Rows before, over ranges, equal those of one window; the hour lies in many ranges of like size."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        count = 20_000
+        rows = spark.range(0, count, 1, 4).select(
+            F.lit("HEAVY").alias("owner"), F.col("id"), ((F.col("id") * 7919) % 3600).alias("second"),
+            (F.col("id") % 7).alias("merchant"), F.when(F.col("id") % 3 == 0, F.col("id") % 1000).alias("amount"),
+        ).unionByName(spark.range(count, count + 500).selectExpr("concat('C', id % 50) owner", "id", "id % 3600 second", "id % 2 merchant", "id % 3 amount"))
+        wanted = {"repeat": Before(("merchant", "amount"), {"r": "id"}), "last": Before((), {"l": "id", "m": "merchant"})}
+        plain = previous_in_groups(rows, ["owner"], ["second", "id"], wanted)
+        staging = Staging(spark)
+        ranged = previous_in_ranges(rows, ["owner"], ["second", "id"], wanted, staging, "rows")
+        assert ranged.columns == plain.columns
+        assert sorted(map(str, ranged.collect())) == sorted(map(str, plain.collect()))
+        sizes = spark.read.parquet(staging.path("rows")).where("owner = 'HEAVY'").groupBy("range_number").count().collect()
+        assert len(sizes) >= 3
+        assert max(row["count"] for row in sizes) < count / 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_spending_reads_the_transactions_once(spark):
+    """Statistics and medians come from the stored counts; the transactions are grouped once."""
+    rows = table(spark, "transactions", *[dict(transaction_id=f"T{at}", transaction_amount=Decimal(at)) for at in range(1, 40)])
+    staging = Staging(spark)
+    counts = staging.save(anomaly.amount_counts(rows), "amount_counts")
+    plan = final_plan(anomaly.customer_history(rows, counts))
+    assert plan.count("Scan ExistingRDD") == 1  # early_international
+    assert "FileScan parquet [customer_id" in plan
+
+
 def test_early_international_rows_are_limited_before_the_shuffle(spark):
     plan = final_plan(anomaly.early_international(table(spark, "transactions")))
     assert "WindowGroupLimit" in plan.split("Exchange")[-1]
