@@ -737,9 +737,9 @@ def _malformed(spark: SparkSession, folder: str) -> DataFrame:
         "concat_ws(',', p_partkey, p_name, p_size, CASE WHEN p_size % 10 = 3 THEN 'EXTRA' END) AS line",
         "CASE WHEN p_size % 10 = 4 THEN concat(p_partkey, ',', p_name) END AS short",
     )
-    # One file in one order: the header comes first.
-    header = spark.sql("SELECT 'Part Key,Name,Size' AS value")
-    header.unionAll(lines.selectExpr("coalesce(short, line) AS value")).coalesce(1).write.text(path)
+    # Many files of whole lines, each with the header: one unquoted column that is named like it.
+    whole = lines.selectExpr("coalesce(short, line) AS `Part Key,Name,Size`").repartition(4)
+    whole.write.option("header", True).option("sep", "\x01").option("quote", "\0").csv(path)
     found = Staging(spark).save(csv.read_numbered_csv(spark, path), "numbered")
     issues = quality.malformed_line_issues({"customers": found})[0]
     return issues.select("record_identifier", "rule_name", "severity", F.col("original_value").alias("line"))

@@ -331,12 +331,14 @@ def flagged_rows(
     crowded: DataFrame | None = None,
     staging: Staging | None = None,
 ) -> DataFrame:
-    """The transactions with a score, still without ids."""
+    """The transactions with a score, still without ids. A ``transaction_key`` is carried along."""
+    keys = [name for name in ("transaction_key",) if name in transactions.columns]
     return (
         flag_transactions(transactions, settings, history, busy_days, crowded, staging)
         .where("anomaly_score > 0")
         .select(
             "source_row_number",
+            *keys,
             *REPORTED_COLUMNS,
             *settings.weights,
             "triggered_rules",

@@ -82,7 +82,7 @@ def status_columns() -> dict[str, Column]:
 
 
 def resolve_keys(transactions: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
-    """Adds date key and the nine surrogate keys."""
+    """Adds date key and the nine surrogate keys. Keys that the check has found are taken over, 0 where there is none."""
     resolved = transactions.withColumns(
         {
             "date_key": numbers.date_key(F.col("transaction_date")),
@@ -90,6 +90,9 @@ def resolve_keys(transactions: DataFrame, dimensions: Mapping[str, DataFrame]) -
         }
     )
     for name, key, column, business_key in LOOKUPS:
+        if key in transactions.columns:
+            resolved = resolved.withColumn(key, F.coalesce(key, F.lit(0).cast("bigint")))
+            continue
         dimension = dimensions[name]
         if name == "dim_location":
             # A missing city and the text "None" share a business key; the later place wins.
@@ -99,9 +102,11 @@ def resolve_keys(transactions: DataFrame, dimensions: Mapping[str, DataFrame]) -
 
 
 def build_fact_transaction(valid: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
-    """Valid transactions with keys, amounts in cents and flags, numbered in source order."""
+    """Valid transactions with keys, amounts in cents and flags, numbered in source order unless they have their key."""
     cents = {name: F.round(name, 2).cast(MONEY) for name in ("transaction_amount", "balance_after_transaction")}
-    numbered = number_by_position(valid.withColumns(cents), "transaction_key", "source_row_number")
+    numbered = valid.withColumns(cents)
+    if "transaction_key" not in valid.columns:
+        numbered = number_by_position(numbered, "transaction_key", "source_row_number")
     described = resolve_keys(numbered, dimensions).withColumns({**amount_columns(), **status_columns()})
     return described.select(*FACT_COLUMNS)
 
@@ -180,7 +185,9 @@ def build_fact_data_quality_issue(issues: DataFrame) -> DataFrame:
 
 
 def attach_transaction_keys(flags: DataFrame, fact: DataFrame) -> DataFrame:
-    """Anomaly flags with the key of their transaction."""
+    """Anomaly flags with the key of their transaction, for flags that do not carry it."""
+    if "transaction_key" in flags.columns:
+        return flags
     keys = fact.select("transaction_key", "transaction_id")
     others = [name for name in flags.columns if name != "anomaly_id"]
     return flags.join(keys, "transaction_id", "left").select("anomaly_id", "transaction_key", *others)

@@ -86,6 +86,39 @@ def number_by_position(
     return cut.join(starts, buckets).select(number.alias(key), *frame.columns)
 
 
+WORD_BITS = 6
+
+
+def _shifted(bits: int, place: Column) -> Column:
+    """The bits moved up to the place's bit in its word."""
+    return F.call_function("shiftleft", F.lit(bits).cast("bigint"), place.bitwiseAND(F.lit((1 << WORD_BITS) - 1)).cast("int"))
+
+
+def kept_words(frame: DataFrame, position: str) -> DataFrame:
+    """Which whole-number positions occur, as words of 64 bits: (word, word_bits, word_start), where ``word_start`` counts
+    the positions before the word. One row for 64 positions, combined before the shuffle."""
+    place = F.col(position).cast("bigint")
+    bit = _shifted(1, place)
+    words = frame.groupBy(F.shiftright(place, WORD_BITS).alias("word")).agg(F.bit_or(bit).alias("word_bits"))
+    words = words.withColumns({"bucket": F.shiftright("word", ROWS_PER_BUCKET_BITS - WORD_BITS), "bucket_rows": F.bit_count("word_bits").cast("bigint")})
+    sizes = words.groupBy("bucket").agg(F.sum("bucket_rows").alias("bucket_rows"))
+    inside = _before("bucket_rows", Window.partitionBy("bucket").orderBy("word"))
+    counted = words.withColumn("rows_inside", inside).join(_offsets(sizes, ["bucket"]), "bucket")
+    return counted.select("word", "word_bits", (F.col("bucket_start") + F.col("rows_inside")).alias("word_start"))
+
+
+def number_kept_rows(frame: DataFrame, key: str, position: str, words: DataFrame) -> DataFrame:
+    """Dense 1..n in the order of a whole-number position that no two rows share, from the frame's stored ``kept_words``.
+
+    The rows themselves are not sorted. The words are joined by their size: as long as Spark broadcasts them (24 bytes for
+    64 rows) the rows are not shuffled either."""
+    place = F.col(position).cast("bigint")
+    below = F.bitwise_not(_shifted(-1, place))
+    number = F.col("word_start") + F.bit_count(F.col("word_bits").bitwiseAND(below)) + 1
+    joined = frame.withColumn("word", F.shiftright(place, WORD_BITS)).join(words, "word")
+    return joined.select(number.alias(key), *frame.columns)
+
+
 def number_lines_of_files(frame: DataFrame, key: str = "source_row_number") -> DataFrame:
     """Dense 1..n over a text-file scan in file order, without sorting or shuffling the rows.
 

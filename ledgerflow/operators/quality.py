@@ -86,6 +86,19 @@ LOG_COLUMNS = (
     "description",
     "original_value",
 )
+# (flag, column of the transaction, cleaned table, its business key, dimension, surrogate key, columns the rules need)
+LOOKUPS = (
+    ("account_known", "account_id", "accounts", "account_id", "dim_account", "account_key",
+     ("customer_id", "open_date", "close_date", "account_status")),
+    ("customer_known", "customer_id", "customers", "customer_id", "dim_customer", "customer_key", ()),
+    ("merchant_known", "merchant_id", "merchants", "merchant_id", "dim_merchant", "merchant_key", ()),
+    ("branch_known", "branch_id", "branches", "branch_id", "dim_branch", "branch_key", ()),
+    ("device_known", "device_id", "devices", "device_id", "dim_device", "device_key", ()),
+    ("category_known", "transaction_category", "transaction_categories", "transaction_category",
+     "dim_transaction_category", "transaction_category_key", ()),
+)
+KEY_COLUMNS = tuple(key for *_, key, _ in LOOKUPS)
+
 # Issues per row are few, so ranges of this many rows stay small after the explode.
 ISSUE_RANGE_BITS = 15
 
@@ -235,7 +248,7 @@ def transaction_rules(settings: Settings) -> list[Rule]:
     """Rules over a transaction with its lookup flags; else-if chains are spelled out."""
     col = F.col
     has_account = col("account_known")
-    owned = has_account & belongs_to_customer(col("owner_id"), col("customer_id"))
+    owned = has_account & belongs_to_customer(col("held_customer_id"), col("customer_id"))
     day, amount = col("transaction_date"), col("transaction_amount")
     channel, branch, device = col("transaction_channel"), col("branch_id"), col("device_id")
     in_range = day.between(F.lit(settings.start_date), F.lit(settings.end_date))
@@ -250,14 +263,14 @@ def transaction_rules(settings: Settings) -> list[Rule]:
         return ~is_member(col(column), words.names_of(spellings))
 
     unknown_category = ~col("category_known") | outside("transaction_category", words.CATEGORY_SPELLINGS)
-    closed_before = (col("account_status") == "Closed") & (day > col("close_date"))
+    closed_before = (col("held_account_status") == "Closed") & (day > col("held_close_date"))
     return [
         blocking("transaction_id_present", "transaction_id", col("transaction_id").isNull(), "Critical"),
         blocking("transaction_id_unique", "transaction_id", col("id_repeated")),
         blocking("customer_id_exists", "customer_id", ~col("customer_known")),
         blocking("account_id_exists", "account_id", ~has_account),
         blocking("account_belongs_to_customer", "account_id", has_account & ~owned),
-        blocking("transaction_after_account_open", "transaction_date", owned & (day < col("open_date"))),
+        blocking("transaction_after_account_open", "transaction_date", owned & (day < col("held_open_date"))),
         blocking("transaction_before_account_close", "transaction_date", owned & closed_before),
         blocking("merchant_id_exists", "merchant_id", ~col("merchant_known")),
         blocking("transaction_amount_numeric", "transaction_amount", amount.isNull()),
@@ -291,44 +304,56 @@ def check_accounts(accounts: DataFrame, customers: DataFrame, branches: DataFram
     return marked.select(*accounts.columns, failed_rules(account_rules()).alias("failed_rules"))
 
 
+def _with_lookups(
+    transactions: DataFrame, cleaned: Mapping[str, DataFrame], dimensions: Mapping[str, DataFrame] | None
+) -> DataFrame:
+    """One join per lookup table: whether it knows the value, its surrogate key, and what the rules need of it.
+
+    With ``dimensions`` the keys come from there; their Unknown members are no entries. Without them there are no keys."""
+    for flag, column, table, business_key, dimension, key, more in LOOKUPS:
+        if dimensions is None:
+            entries, keys = first_wins(cleaned[table], business_key), []
+        else:
+            entries, keys = dimensions[dimension].where(F.col(key) != 0), [F.col(key)]
+        named = [F.col(name).alias(f"held_{name}") for name in more]
+        entries = entries.where(F.col(business_key).isNotNull()).select(F.col(business_key).alias("looked_up"), *keys, *named)
+        transactions = transactions.join(entries, F.col(column) == F.col("looked_up"), "left")
+        transactions = transactions.withColumn(flag, F.col("looked_up").isNotNull()).drop("looked_up")
+    return transactions
+
+
 def check_transactions(
-    cleaned: Mapping[str, DataFrame], settings: Settings, repeated_ids: DataFrame | None = None
+    cleaned: Mapping[str, DataFrame],
+    settings: Settings,
+    repeated_ids: DataFrame | None = None,
+    dimensions: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Transactions with ``failed_rules`` and ``has_blocking_quality_issue``: all row rules in one pass.
 
-    No hint forces a broadcast: lookup tables may grow with the data, so Spark picks the join by
-    their size, and its skew join splits a heavy id."""
+    With ``dimensions`` the rows also get the surrogate keys of the looked-up tables (null where unknown), so the fact
+    need not join these tables again. No hint forces a broadcast: lookup tables may grow with the data, so Spark picks the
+    join by their size, and its skew join splits a heavy id."""
     transactions = cleaned["transactions"]
-    account = first_wins(cleaned["accounts"], "account_id").select(
-        F.col("account_id").alias("held_account"),
-        F.col("customer_id").alias("owner_id"),
-        "open_date",
-        "close_date",
-        "account_status",
-    )
     marked = mark_repeated(transactions, "transaction_id", "id_repeated", repeated_ids)
-    marked = marked.join(account, F.col("account_id") == F.col("held_account"), "left")
-    marked = marked.withColumn("account_known", F.col("held_account").isNotNull())
-    for table, column, flag in (
-        ("customers", "customer_id", "customer_known"),
-        ("merchants", "merchant_id", "merchant_known"),
-        ("branches", "branch_id", "branch_known"),
-        ("devices", "device_id", "device_known"),
-        ("transaction_categories", "transaction_category", "category_known"),
-    ):
-        marked = mark_known(marked, column, cleaned[table], column, flag)
+    marked = _with_lookups(marked, cleaned, dimensions)
     rules = transaction_rules(settings)
     blocked = F.col("failed_rules").bitwiseAND(F.lit(_bits(rules, True))) != 0
-    checked = marked.select(*transactions.columns, failed_rules(rules).alias("failed_rules"))
+    keys = [] if dimensions is None else KEY_COLUMNS
+    checked = marked.select(*transactions.columns, *keys, failed_rules(rules).alias("failed_rules"))
     return checked.withColumn("has_blocking_quality_issue", blocked)
 
 
-def valid_transactions(checked: DataFrame) -> DataFrame:
+def keyed_transactions(checked: DataFrame) -> DataFrame:
+    """The valid transactions with the surrogate keys that their check found."""
     return checked.where(~F.col("has_blocking_quality_issue")).drop("failed_rules")
 
 
+def valid_transactions(checked: DataFrame) -> DataFrame:
+    return keyed_transactions(checked).drop(*KEY_COLUMNS)
+
+
 def rejected_transactions(checked: DataFrame) -> DataFrame:
-    return checked.where("has_blocking_quality_issue").drop("failed_rules")
+    return checked.where("has_blocking_quality_issue").drop("failed_rules", *KEY_COLUMNS)
 
 
 def _rows(checked: DataFrame, source: str, stage: Column, record: Column, rules: Sequence[Rule]) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import anomaly, cleaning, dimensions, facts, quality
+from ledgerflow.operators.numbering import kept_words, number_kept_rows
 from ledgerflow.operators.reconciliation import build_reconciliation_report
 from ledgerflow.plans.kpis import calculate_kpis
 from ledgerflow.plans.reports import REPORTS, build_reports
@@ -52,7 +53,15 @@ class Warehouse(Mapping[str, DataFrame]):
     written once to the shared folder. Cheap selections of them stay lazy, and so do the cleaned
     transactions: all their columns are stored again once they are checked."""
 
-    LAZY = {"transactions", "valid_transactions", "rejected_transactions", "kpi_snapshot", "validation_summary"}
+    LAZY = {
+        "transactions",
+        "valid_transactions",
+        "numbered_transactions",
+        "rejected_transactions",
+        "data_quality_issues",
+        "kpi_snapshot",
+        "validation_summary",
+    }
 
     def __init__(self, raw: Mapping[str, DataFrame], settings: Settings, staging: Staging):
         self.raw, self.settings, self.staging = raw, settings, staging
@@ -95,7 +104,7 @@ class Warehouse(Mapping[str, DataFrame]):
         return dimensions.BUILDERS[name](_Cleaned(self))
 
     def _checked_transactions(self) -> DataFrame:
-        return quality.check_transactions(_Cleaned(self), self.settings, self["repeated_ids"])
+        return quality.check_transactions(_Cleaned(self), self.settings, self["repeated_ids"], self)
 
     def _repeated_ids(self) -> DataFrame:
         return quality.repeated_values(self["transactions"], "transaction_id")
@@ -103,6 +112,14 @@ class Warehouse(Mapping[str, DataFrame]):
     def _valid_transactions(self) -> DataFrame:
         return quality.valid_transactions(self["checked_transactions"])
 
+    def _valid_words(self) -> DataFrame:
+        return kept_words(self["valid_transactions"], "source_row_number")
+
+    def _numbered_transactions(self) -> DataFrame:
+        """The valid transactions with their own key and those that the check has found."""
+        keyed = quality.keyed_transactions(self["checked_transactions"])
+        return number_kept_rows(keyed, "transaction_key", "source_row_number", self["valid_words"])
+
     def _rejected_transactions(self) -> DataFrame:
         return quality.rejected_transactions(self["checked_transactions"])
 
@@ -116,13 +133,13 @@ class Warehouse(Mapping[str, DataFrame]):
         return rows
 
     def _data_quality_issues(self) -> DataFrame:
-        return quality.issue_log(self["issue_rows"], self.settings)
+        return self["fact_data_quality_issue"].drop("data_quality_issue_key")
 
     def _dim_date(self) -> DataFrame:
         return dimensions.build_dim_date(self.staging.spark, self.settings.start_date, self.settings.end_date)
 
     def _fact_transaction(self) -> DataFrame:
-        return facts.build_fact_transaction(self["valid_transactions"], self)
+        return facts.build_fact_transaction(self["numbered_transactions"], self)
 
     def _fact_account_daily_balance(self) -> DataFrame:
         return facts.build_account_daily_balance(self["fact_transaction"], self["daily_balances"])
@@ -143,12 +160,12 @@ class Warehouse(Mapping[str, DataFrame]):
         return facts.calculate_customer_monthly_summary(self["fact_transaction"], self["dim_date"], self["monthly_totals"])
 
     def _fact_data_quality_issue(self) -> DataFrame:
-        return facts.build_fact_data_quality_issue(self["data_quality_issues"])
+        return facts.build_fact_data_quality_issue(quality.issue_log(self["issue_rows"], self.settings))
 
     def _flagged_rows(self) -> DataFrame:
-        known = [self[name] for name in ("valid_transactions", "customer_history", "busy_decline_days", "crowded_slots")]
-        valid, history, busy_days, crowded = known
-        return anomaly.flagged_rows(valid, self.settings, history, busy_days, crowded, self.staging)
+        known = [self[name] for name in ("numbered_transactions", "customer_history", "busy_decline_days", "crowded_slots")]
+        numbered, history, busy_days, crowded = known
+        return anomaly.flagged_rows(numbered, self.settings, history, busy_days, crowded, self.staging)
 
     def _amount_counts(self) -> DataFrame:
         return anomaly.amount_counts(self["valid_transactions"])
@@ -163,8 +180,7 @@ class Warehouse(Mapping[str, DataFrame]):
         return anomaly.busy_decline_days(self["valid_transactions"])
 
     def _fact_anomaly_flag(self) -> DataFrame:
-        flags = anomaly.number_flags(self["flagged_rows"])
-        return facts.attach_transaction_keys(flags, self["fact_transaction"])
+        return anomaly.number_flags(self["flagged_rows"])
 
     def _reconciliation_report(self) -> DataFrame:
         # The report is fourteen rows; one file keeps their order.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.text import standardize_column_names
 from ledgerflow.operators.numbering import number_lines_of_files
+from ledgerflow.sources.records import read_records
 
 # The raw tables and their files.
 RAW_FILES = {
@@ -27,10 +28,15 @@ RAW_FILES = {
 MALFORMED = "malformed_line"
 
 
+def _quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}` string"
+
+
 def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Every column as text; blank fields arrive as null, which cleaning makes of them anyway.
 
-    ``multi_line`` reads quoted line breaks inside fields. It is off by default, as a file is then one task."""
+    ``multi_line`` reads quoted line breaks inside fields by Spark's own reader, for which a file is one task;
+    ``read_numbered_csv`` has another way."""
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     return reader.csv(path)
 
@@ -41,14 +47,20 @@ def read_checked_csv(spark: SparkSession, path: str, multi_line: bool = False) -
 
     The scan finds such lines only while it reads all columns: store the frame before taking some of them."""
     names = read_csv(spark, path, multi_line).columns
-    schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in [*names, MALFORMED])
+    schema = ", ".join(_quoted(name) for name in [*names, MALFORMED])
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     return reader.option("columnNameOfCorruptRecord", MALFORMED).schema(schema).csv(path)
 
 
 def read_numbered_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """``read_checked_csv`` with standard column names and the row's place in the source in front."""
-    lines = read_checked_csv(spark, path, multi_line)
+    """``read_checked_csv`` with standard column names and the row's place in the source in front.
+
+    ``multi_line`` reads quoted line breaks inside fields, see ``records``: a file is as many tasks as it has splits."""
+    if multi_line:
+        names = read_csv(spark, path).columns
+        standard = standardize_column_names(spark.createDataFrame([], ", ".join(_quoted(name) for name in [*names, MALFORMED]))).columns
+        return read_records(spark, path, names, MALFORMED).toDF("source_row_number", *standard)
+    lines = read_checked_csv(spark, path)
     scanned = lines.select(
         "*",
         F.col("_metadata.file_path").alias("file_path"),

@@ -97,3 +97,27 @@ def test_quantiles_of_everything(spark):
 def test_shared_folder_is_read_from_the_session(spark):
     assert Staging(spark).folder.startswith(shared_folder(spark))
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_kept_rows_are_numbered_in_order(spark):
+    import random
+
+    pick = random.Random(12)
+    places = sorted(pick.sample(range(1, 400_000), 90_000) + [400_001, 10**12, 10**12 + 63, 10**12 + 64])
+    frame = spark.createDataFrame([(place, f"row {place}") for place in pick.sample(places, len(places))], "place bigint, text string")
+    words = Staging(spark).save(numbering.kept_words(frame, "place"), "words")
+    assert words.count() <= 400_001 // 64 + 3
+    numbered = numbering.number_kept_rows(frame, "number", "place", words)
+    assert numbered.columns == ["number", "place", "text"]
+    assert [(row.number, row.place) for row in numbered.orderBy("number").collect()] == list(enumerate(places, 1))
+    assert numbering.number_kept_rows(frame.limit(0), "number", "place", words).count() == 0
+
+
+def test_kept_rows_are_numbered_without_a_shuffle(spark):
+    frame = spark.range(1, 100_001).where("id % 7 <> 0").select(F.col("id").alias("place"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    frame = Staging(spark).save(frame, "rows")
+    words = Staging(spark).save(numbering.kept_words(frame, "place"), "words")
+    plan = numbering.number_kept_rows(frame, "number", "place", words)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning" not in plan
+    assert "Exchange rangepartitioning" not in plan

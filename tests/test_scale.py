@@ -4,13 +4,14 @@ from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
-from fixtures import table
+from fixtures import SCHEMAS, table
 from pyspark.sql import functions as F
 
-from ledgerflow.operators import anomaly, numbering, quality
+from ledgerflow.operators import anomaly, dimensions, facts, numbering, quality
 from ledgerflow.operators.neighbours import Before, previous_in_groups, previous_in_ranges
 from ledgerflow.plans import views
 from ledgerflow.session import apply_settings
+from ledgerflow.settings import Settings
 from ledgerflow.sources.staging import Staging
 
 
@@ -108,6 +109,25 @@ def test_spending_reads_the_transactions_once(spark):
     assert "FileScan parquet [customer_id" in plan
 
 
+def test_each_lookup_table_is_joined_once(small_limits):
+    """The check finds the surrogate keys; the fact joins only what the valid rows themselves define."""
+    settings = Settings()
+    cleaned = {name: table(small_limits, name) for name in SCHEMAS}
+    staging = Staging(small_limits)
+    known = {name: staging.save(build(cleaned), name) for name, build in dimensions.BUILDERS.items() if name in {row[4] for row in quality.LOOKUPS}}
+    checked = quality.check_transactions(cleaned, settings, dimensions=known)
+    assert final_plan(checked).count("SortMergeJoin") == len(quality.LOOKUPS) + 1  # and the repeated ids
+    checked = staging.save(checked, "checked_transactions")
+    tables = {**cleaned, "valid_transactions": quality.valid_transactions(checked)}
+    rest = {name: staging.save(build(tables), name) for name, build in dimensions.BUILDERS.items() if name not in known}
+    words = staging.save(numbering.kept_words(tables["valid_transactions"], "source_row_number"), "words")
+    keyed = numbering.number_kept_rows(quality.keyed_transactions(checked), "transaction_key", "source_row_number", words)
+    fact = facts.build_fact_transaction(keyed, {**known, **rest})
+    assert final_plan(fact).count("SortMergeJoin") == 4  # channel, status, place and the row's own number
+    plain = facts.build_fact_transaction(tables["valid_transactions"], {**known, **rest})
+    assert fact.collect() == plain.collect()
+
+
 def test_early_international_rows_are_limited_before_the_shuffle(spark):
     plan = final_plan(anomaly.early_international(table(spark, "transactions")))
     assert "WindowGroupLimit" in plan.split("Exchange")[-1]
