@@ -14,9 +14,7 @@ some value is within two bits of both, so such a key is united over those values
 
 Edge cases: a null text has no words; without words the fingerprint is zero, linked like any other. With fewer than four
 words the whole sequence is one term. Null doc_ids are never the smallest; a component of them has a null id. Repeated
-rows get the same result each. An empty table gives an empty result. Other columns are passed on as they are.
-
-``keep_one_of_each`` is the pipeline's stage. It does not use fingerprints but verified word shingles (``shingles``)."""
+rows get the same result each. An empty table gives an empty result. Other columns are passed on as they are."""
 
 from __future__ import annotations
 
@@ -30,7 +28,6 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import shingles
 from ledgerflow.llm.common import packed, store
 from ledgerflow.llm.components import component_of
 from ledgerflow.llm.simhash import as_hex
@@ -228,19 +225,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return joined.select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, words: int = shingles.WORDS, similarity: float = shingles.SIMILARITY) -> DataFrame:
-    """The documents with one of each component: the one with the smallest doc_id, of equal ids the smallest text hash.
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents with one of each component of ``near_duplicates``: the one with the smallest doc_id, of equal ids the
+    smallest text hash.
 
-    Components are those of all pairs whose runs of ``words`` words have at least ``similarity`` in common (Jaccard), see
-    ``shingles``; the fingerprints of the query are too coarse for that. Rows are known by doc_id and text hash. Only
-    components of several rows are looked into. The texts are shuffled once, to meet the rows that go or repeat, and those
-    of candidates once more; these sets grow with the corpus, so they are never broadcast by a hint."""
+    Rows are known by doc_id and text hash. Only components of several rows are looked into. The texts are shuffled once,
+    to meet the rows that go or repeat; that set grows with the corpus, so it is never broadcast."""
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     key = [name.alias("_id_"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("_text_")]
-    banded = docs.select("doc_id", *key, shingles.with_bands(F.col("text"), words, similarity).alias("b"))
-    rows = store(banded.select("doc_id", "_id_", "_text_", "b.*"), "shingle_bands")
-    found = shingles.shingle_components(rows, docs.select(*key, "text"), ["_id_", "_text_"], words, similarity)
-    placed = rows.drop("bands").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = store(docs.select("doc_id", *key, with_fingerprint(F.col("text")).alias("fp")), "fingerprints")
+    distinct = store(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct_fingerprints")
+    found = fingerprint_components(distinct)
+    placed = rows.join(found, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_text_")
     several = placed.groupBy("component").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     marked = placed.join(store(several, "first_of_component"), "component").groupBy("_id_", "_text_")
