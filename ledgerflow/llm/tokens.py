@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 from ledgerflow.llm.common import BATCH_BYTES, bound_batches
 
 END_ID = 1
-#: A task forgets its words when it holds so many.
-CACHED_WORDS = 1_200_000
+#: A worker forgets its words when they take about so many bytes, and encodes words it has not met in parts of so many.
+HELD_BYTES = 96 << 20
+PART_BYTES = 64 << 10
+#: What a held word takes besides its text and four bytes for each id.
+_WORD_BYTES = 200
 
 #: Words that are letters and then marks: the tokenizer cuts them there, and lower case changes one letter into one.
 _SIMPLE = r"^(?P<core>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<mark>[!-&(-/:-@\[-`{-~]*)$"
@@ -54,6 +57,7 @@ class Encoder:
     def forget(self) -> None:
         #: Numbers of the words met, without their marks; ids, starts and lengths are by number.
         self.number: dict[str, int] = {}
+        self.held = 0
         self.ids, self.starts, self.lengths = array("I"), array("q"), array("q")
 
     def _hold(self, word: str, ids: Sequence[int]) -> None:
@@ -61,9 +65,17 @@ class Encoder:
         self.starts.append(len(self.ids))
         self.lengths.append(len(ids))
         self.ids.extend(ids)
-
-    def _encode_plain(self, texts: list[str]) -> list[list[int]]:
-        return [part.ids for part in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.held += _WORD_BYTES + len(word) + 4 * len(ids)
+
+    def _encode_plain(self, texts: list[str]) -> Iterator[list[int]]:
+        """Ids of each text; the tokenizer's own results take many bytes a token, so few of them are made at once."""
+        begin = size = 0
+        for at, text in enumerate(texts):
+            size += len(text)
+            if size >= PART_BYTES or at + 1 == len(texts):
+                for part in self.tokenizer.encode_batch_fast(texts[begin : at + 1], add_special_tokens=False):
+                    yield part.ids
+                begin, size = at + 1, 0
 
     def _learn(self, words: list[str], together: int = 200) -> None:
         """Encodes letters-only words many at a time, as a token that ends a word shows where each one ends, and other
@@ -100,7 +112,7 @@ class Encoder:
         pieces = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
         words = pieces.flatten().dictionary_encode()
         distinct = words.dictionary
-        if len(self.number) > CACHED_WORDS:
+        if self.held > HELD_BYTES:
             self.forget()
         cut = pc.extract_regex(distinct, _SIMPLE)
         core = pc.coalesce(pc.utf8_lower(pc.struct_field(cut, "core")), distinct)

@@ -115,12 +115,17 @@ def test_cuts_are_the_best_ones():
 
 
 def test_word_memory_is_bounded(monkeypatch):
-    monkeypatch.setattr(tokens, "CACHED_WORDS", 10)
+    monkeypatch.setattr(tokens, "HELD_BYTES", 2000)
+    monkeypatch.setattr(tokens, "PART_BYTES", 20)
     encoder = tokens.Encoder(tokens.public_vocabulary())
-    for text in ("some words, more words.", "entirely other things !! here", "some words"):
+    long = " ".join(f"{at}é-" + "ab0" * 900 for at in range(8))
+    for text in ("some words, more words.", "entirely other things !! here", long, "some words", long[::-1]):
         ids, ends = encoder.encode(pa.array([text, None]))
         assert ids.tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 1, 1]
         assert ends.tolist() == [len(ids) - 1, len(ids)]
+        assert encoder.held < 2000 + 400 * len(text)
+    encoder.encode(pa.array(["a"]))
+    assert len(encoder.number) <= 3  # the long words are forgotten
 
 
 def test_empty_table(given):
