@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.text import strip
 from ledgerflow.functions.vocabulary import TRUE_SPELLINGS
 
-#: Amounts as read: 30 digits before the point, 8 after it. Larger numbers are held at the limit.
+#: Amounts as read: 30 digits before the point, 8 after it. Larger numbers are held at the limit, and a number that is not
+#: zero never becomes zero: it is one step at least.
 AMOUNT = "decimal(38,8)"
 AMOUNT_LIMIT = "9" * 30
+AMOUNT_STEP = "0.00000001"
 #: Amounts of the fact tables, in cents.
 MONEY = "decimal(28,2)"
 
@@ -38,14 +40,24 @@ YEAR_LAST = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})(\D.*)?$"
 SHORT_YEAR = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{2})(\D.*)?$"
 DAY_THEN_NAME = r"^(\d{1,2})[- ]+([A-Za-z]{3,9})\.?,?[- ]+(\d{4})(\D.*)?$"
 NAME_THEN_DAY = r"^([A-Za-z]{3,9})\.?[- ]+(\d{1,2}),?[- ]+(\d{4})(\D.*)?$"
+NAME_AND_YEAR = r"^([A-Za-z]{3,9})\.?,?[- ]+(\d{4})$"
+# Names of days as date texts begin with them, whole or short.
+WEEKDAY = r"(?i)^(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?[.,]*[ ]+"
 TWELVE_HOURS = r"^(.*\d)[ T]+(\d{1,2}):(\d{2})((?::\d{2}(?:\.\d+)?)?) *([AaPp])\.?[Mm]\.?$"
 
 
 def _amount(text: Column) -> Column:
-    """A decimal; a finite number beyond its range takes the limit, so that it still counts as a number."""
-    wide = text.try_cast("double")
-    limit = F.when(F.abs(wide) < float("inf"), F.signum(wide).cast("int") * F.lit(AMOUNT_LIMIT).cast(AMOUNT))
-    return F.coalesce(text.try_cast(AMOUNT), limit.cast(AMOUNT))
+    """A decimal; a finite number beyond its range takes the limit, so that it still counts as a number, and one between
+    zero and the smallest step takes the step, so that it does not count as zero."""
+    exact, wide = text.try_cast(AMOUNT), text.try_cast("double")
+    limit, step = F.lit(AMOUNT_LIMIT).cast(AMOUNT), F.lit(AMOUNT_STEP).cast(AMOUNT)
+    signed = lambda size: F.when(text.startswith("-"), (-size).cast(AMOUNT)).otherwise(size)
+    has_value = text.rlike("^[^eE]*[1-9]")
+    return (
+        F.when((exact == 0) & has_value, signed(step))
+        .when(exact.isNotNull(), exact)
+        .when(F.abs(wide) < float("inf"), signed(limit))
+    )
 
 
 def parse_currency(value: Column) -> Column:
@@ -111,11 +123,12 @@ def _other_spelling(text: Column, kind: str) -> Column:
     def tried(*spellings: Column) -> Column:
         return F.coalesce(*[one.try_cast(kind) for one in spellings])
 
+    named = F.regexp_replace(text, NAME_AND_YEAR, "$1 1, $2")
     month_first = tried(F.regexp_replace(text, YEAR_LAST, "$3-$1-$2$4"), F.regexp_replace(text, YEAR_LAST, "$3-$2-$1$4"))
     return (
         F.when(text.rlike(YEAR_LAST), month_first)
         .when(text.rlike(SHORT_YEAR), tried(_short_year(text, "-$1-$2$4"), _short_year(text, "-$2-$1$4")))
-        .when(text.rlike("[A-Za-z]{3}"), tried(_named(text)))
+        .when(text.rlike("[A-Za-z]{3}"), tried(_let(named, _named)))
         .when(text.rlike(COMPACT), tried(F.regexp_replace(text, COMPACT, "$1-$2-$3$4")))
         .otherwise(tried(F.regexp_replace(text, YEAR_FIRST, "$1-$2-$3$4")))
     )
@@ -127,7 +140,7 @@ def _parse(value: Column, kind: str) -> Column:
     Casting ISO text keeps the session time zone out of the result. The other spellings are only tried on texts that
     have a digit and are not ISO."""
     iso = strip(value)
-    other = _let(_with_day_hours(iso), lambda text: _other_spelling(text, kind))
+    other = _let(_with_day_hours(F.regexp_replace(iso, WEEKDAY, "")), lambda text: _other_spelling(text, kind))
     return F.coalesce(F.when(~iso.rlike(r"^\d{5}"), iso.try_cast(kind)), F.when(iso.rlike(r"\d"), other))
 
 
@@ -144,6 +157,9 @@ def parse_bool(value: Column) -> Column:
 
 
 def parse_integer(value: Column) -> Column:
-    """Whole numbers in any spelling of a number (``12.0``, ``1e2``); others become null."""
-    number = strip(value).try_cast("decimal(38,8)")
-    return F.when(number == F.floor(number), number.try_cast("bigint"))
+    """Whole numbers in any spelling of a number (``12.0``, ``1e2``); others become null.
+
+    The decimal shows the places near the point, the double those that the decimal cuts off."""
+    text = strip(value)
+    number, wide = text.try_cast("decimal(38,8)"), text.try_cast("double")
+    return F.when((number == F.floor(number)) & (wide == F.floor(wide)), number.try_cast("bigint"))

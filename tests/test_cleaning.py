@@ -71,6 +71,22 @@ def test_bool_and_integer(spark):
     assert apply(spark, parsing.parse_integer, ["12", " 7 ", "x", "", None]) == [12, 7, None, None, None]
 
 
+def test_numbers_beyond_the_places_of_an_amount(spark):
+    values = ["1e-10", "0.000000001", "-1e-30", "(0.0000000001)", "$0.00", "0e5", "-0", "1e40", "-1e40", "0.000000015", "1e-8", "+2e-9"]
+    step, limit = Decimal("0.00000001"), Decimal("9" * 30)
+    assert apply(spark, parsing.parse_currency, values) == [step, step, -step, -step, 0, 0, 0, limit, limit.copy_negate(), 2 * step, step, step]
+    assert apply(spark, parsing.parse_integer, ["1e-10", "0.000000001", "12.000000001", "12.0", "1e2", "-7.00", "9007199254740993", "9007199254740993.5", "1e30"]) == [
+        None, None, None, 12, 100, -7, 9007199254740993, None, None]
+
+
+def test_dates_with_names_of_days_and_without_days(spark):
+    values = ["Friday, March 15, 2024", "Fri, 15 Mar 2024", "fri 2024-03-15", "Thurs. 03/14/2024", "March 2024", "Sept. 2024", "Mar-2024", "Mon, Tue", "Smarch 2024", "Friday"]
+    expected = [date(2024, 3, 15)] * 3 + [date(2024, 3, 14), date(2024, 3, 1), date(2024, 9, 1), date(2024, 3, 1), None, None, None]
+    assert apply(spark, parsing.parse_date, values) == expected
+    moments = ["Friday, March 15, 2024 1:30 PM", "Sat, 16 Mar 2024 08:00:01", "March 2024"]
+    assert apply(spark, parsing.parse_timestamp, moments) == [datetime(2024, 3, 15, 13, 30), datetime(2024, 3, 16, 8, 0, 1), datetime(2024, 3, 1)]
+
+
 def test_whole_units_round_ties_to_even(spark):
     values = [Decimal("24.50"), Decimal("25.50"), Decimal("0.50"), Decimal("25.40")]
     assert [int(value) for value in apply(spark, numbers.whole_units, values, "decimal(18,2)")] == [24, 26, 0, 25]
