@@ -11,7 +11,7 @@ from ledgerflow.functions.numbers import blank_divide, cents
 from ledgerflow.functions.vocabulary import CUSTOMER_SEGMENTS
 from ledgerflow.operators.quantiles import exact_quantiles
 from ledgerflow.plans.kpis import rule_counts
-from ledgerflow.plans.rollup import Tables, one_row, per_attribute, per_key, with_attributes
+from ledgerflow.plans.rollup import Tables, one_row, per_attribute, totals_by_key, with_attributes
 
 VALUE = "total_transaction_value"
 COUNT = "transaction_count"
@@ -59,7 +59,7 @@ def recurring_activity(tables: Tables) -> DataFrame:
 
 
 def customer_spend(tables: Tables) -> DataFrame:
-    return per_key(tables["fact_transaction"], ["customer_key"], ["debit_transaction_value"])
+    return totals_by_key(tables, ["customer_key"], ["debit_transaction_value"])
 
 
 def spend_quartiles(tables: Tables) -> DataFrame:
@@ -95,7 +95,7 @@ def category_share(tables: Tables) -> DataFrame:
 
 
 def _by_customer_band(tables: Tables, band: Column, name: str, needed: Sequence[str]) -> DataFrame:
-    totals = per_key(tables["fact_transaction"], ["customer_key"], [COUNT, VALUE])
+    totals = totals_by_key(tables, ["customer_key"], [COUNT, VALUE])
     described = with_attributes(totals, tables, {"dim_customer": needed})
     return described.groupBy(band.alias(name)).agg(
         F.count("customer_key").alias("active_customers"), F.sum(COUNT).alias(COUNT), F.sum(VALUE).alias(VALUE)
@@ -127,7 +127,7 @@ def preferred_channel_activity(tables: Tables) -> DataFrame:
 
 
 def busiest_customers(tables: Tables, count: int = 20) -> DataFrame:
-    totals = per_key(tables["fact_transaction"], ["customer_key"], [COUNT, VALUE])
+    totals = totals_by_key(tables, ["customer_key"], [COUNT, VALUE])
     columns = ["customer_id", "customer_display_name", "customer_segment"]
     described = with_attributes(totals, tables, {"dim_customer": columns})
     return described.select(*columns, COUNT, VALUE).orderBy(F.desc(COUNT), "customer_id").limit(count)

@@ -16,7 +16,7 @@ from ledgerflow.operators.numbering import kept_words, number_kept_rows
 from ledgerflow.operators.reconciliation import build_reconciliation_report
 from ledgerflow.plans.kpis import calculate_kpis
 from ledgerflow.plans.reports import REPORTS, build_reports
-from ledgerflow.plans.rollup import Tables, one_row
+from ledgerflow.plans.rollup import Tables, fact_rollups, one_row
 from ledgerflow.plans.views import VIEWS, executive_kpis
 from ledgerflow.session import apply_settings
 from ledgerflow.settings import Settings
@@ -88,7 +88,11 @@ class Warehouse(Mapping[str, DataFrame]):
                 self.seconds[name] = round(time.perf_counter() - began, 3)
         return self._ready[name]
 
-    def prepare(self, names: Iterable[str] = EXPORTED_TABLES, at_once: int = 4) -> None:
+    def rollups(self) -> DataFrame:
+        """The stored totals that views, reports and measures are added up from."""
+        return self["fact_rollups"]
+
+    def prepare(self, names: Iterable[str] = (*EXPORTED_TABLES, "fact_rollups"), at_once: int = 4) -> None:
         """Builds tables that do not need each other at the same time; shared inputs are built by whoever is first."""
         order = [*(name for name in self.raw if name != "transactions"), *names]
         with ThreadPoolExecutor(at_once) as threads:
@@ -144,6 +148,9 @@ class Warehouse(Mapping[str, DataFrame]):
     def _fact_account_daily_balance(self) -> DataFrame:
         return facts.build_account_daily_balance(self["fact_transaction"], self["daily_balances"])
 
+    def _fact_rollups(self) -> DataFrame:
+        return fact_rollups(self["fact_transaction"])
+
     def _daily_balances(self) -> DataFrame:
         return facts.daily_balances(self["fact_transaction"])
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.numbers import blank_divide
 from ledgerflow.plans.kpis import calculate_kpis
-from ledgerflow.plans.rollup import Tables, per_attribute, per_key, with_attributes
+from ledgerflow.plans.rollup import Tables, per_attribute, totals_by_key, with_attributes
 
 TOP_MERCHANTS = 100
 TOP_ANOMALIES = 1000
@@ -60,7 +60,7 @@ def category_analysis(tables: Tables) -> DataFrame:
 def segment_analysis(tables: Tables) -> DataFrame:
     """A customer key has one row of totals, so counting those rows counts distinct customers."""
     names = ["transaction_count", VALUE, "debit_transaction_value", "credit_transaction_value", "rows"]
-    totals = per_key(tables["fact_transaction"], ["customer_key"], names)
+    totals = totals_by_key(tables, ["customer_key"], names)
     described = with_attributes(totals, tables, {"dim_customer": ["customer_segment"]}, "left")
     segments = (
         described.where("customer_segment is not null")

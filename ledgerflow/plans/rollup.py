@@ -24,9 +24,20 @@ DIMENSION_KEYS = {
 }
 
 
-def additive(*names: str) -> dict[str, Column]:
-    """Aggregates over fact columns, by measure name: totals per key add up to totals per attribute."""
-    known = {
+#: Key sets whose totals are stored in one pass over the fact; coarser ones are added up from these. The first is bounded
+#: by the calendar and the vocabularies, the others by one dimension (and the categories).
+ROLLUPS = (
+    ("date_key", "transaction_category_key", "channel_key", "transaction_status_key", "is_recurring"),
+    ("customer_key", "transaction_category_key"),
+    ("merchant_key",),
+    ("account_key",),
+    ("location_key",),
+)
+ROLLUP_KEYS = tuple(dict.fromkeys(key for keys in ROLLUPS for key in keys))
+
+
+def _measures() -> dict[str, Column]:
+    return {
         "rows": F.count("*"),
         "transaction_count": F.count("transaction_id"),
         "total_transaction_value": F.sum("transaction_amount"),
@@ -40,10 +51,28 @@ def additive(*names: str) -> dict[str, Column]:
         "pending_count": F.count_if("is_pending"),
         "international_transaction_count": F.count_if("is_international"),
         "recurring_transaction_count": F.count_if("is_recurring"),
+        "largest_transaction_amount": F.max("transaction_amount"),
     }
+
+
+def additive(*names: str) -> dict[str, Column]:
+    """Aggregates over fact columns, by measure name: totals per key add up to totals per attribute."""
+    known = _measures()
     return {name: known[name] for name in names}
 
 
+def _rollup_id(keys: Sequence[str]) -> int:
+    """The grouping id of a key set: one bit per key, set where the key is not in the set."""
+    return sum(1 << at for at, key in enumerate(reversed(ROLLUP_KEYS)) if key not in keys)
+
+
+def fact_rollups(fact: DataFrame) -> DataFrame:
+    """All additive measures by each of the ``ROLLUPS``, with the grouping id in ``rollup_set``; the fact is read once."""
+    sets = [[F.col(key) for key in keys] for keys in ROLLUPS]
+    totals = [total.alias(name) for name, total in _measures().items()]
+    return fact.groupingSets(sets, *[F.col(key) for key in ROLLUP_KEYS]).agg(F.grouping_id().alias("rollup_set"), *totals)
+
+
 def with_attributes(
     frame: DataFrame, tables: Tables, attributes: Mapping[str, Sequence[str]], how: str = "inner"
 ) -> DataFrame:
@@ -59,6 +88,29 @@ def per_key(fact: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataF
     return fact.groupBy(*keys).agg(*[total.alias(name) for name, total in additive(*names).items()])
 
 
+def rolled_up(tables: Tables, keys: Sequence[str]) -> DataFrame | None:
+    """The smallest stored rollup that has the keys (``tables.rollups()``, where the tables offer it)."""
+    held = [kept for kept in ROLLUPS if set(keys) <= set(kept)]
+    if not held or not hasattr(tables, "rollups"):
+        return None
+    return tables.rollups().where(F.col("rollup_set") == _rollup_id(min(held, key=len)))
+
+
+def _added_up(name: str) -> Column:
+    if name == "largest_transaction_amount":
+        return F.max(name)
+    counted = name == "rows" or name.endswith("count")
+    return F.coalesce(F.sum(name), F.lit(0)) if counted else F.sum(name)
+
+
+def totals_by_key(tables: Tables, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Measures by fact columns, added up from a stored rollup that has them, else from the fact."""
+    rows = rolled_up(tables, keys)
+    if rows is None:
+        return per_key(tables["fact_transaction"], keys, names)
+    return rows.groupBy(*keys).agg(*[_added_up(name).alias(name) for name in names])
+
+
 def per_attribute(
     tables: Tables,
     attributes: Mapping[str, Sequence[str]],
@@ -71,9 +123,9 @@ def per_attribute(
 
     The fact is summed per surrogate key first. Summing combines rows inside each task, so a heavy
     key costs one row per task, and the joins see totals instead of transactions."""
-    source = tables["fact_transaction"] if fact is None else fact
-    keys = [DIMENSION_KEYS[dimension] for dimension in attributes]
-    totals = with_attributes(per_key(source, [*keys, *extra], names), tables, attributes, how)
+    keys = [*[DIMENSION_KEYS[dimension] for dimension in attributes], *extra]
+    summed = totals_by_key(tables, keys, names) if fact is None else per_key(fact, keys, names)
+    totals = with_attributes(summed, tables, attributes, how)
     groups = [*[name for columns in attributes.values() for name in columns], *extra]
     return totals.groupBy(*groups).agg(*[F.sum(name).alias(name) for name in names])
 
@@ -83,7 +135,9 @@ def distinct_per_attribute(
 ) -> DataFrame:
     """Distinct fact keys by dimension attributes; pairs are made distinct before the joins."""
     keys = [DIMENSION_KEYS[dimension] for dimension in attributes]
-    pairs = tables["fact_transaction"].select(*dict.fromkeys([*keys, counted])).distinct()
+    columns = [*dict.fromkeys([*keys, counted])]
+    rows = rolled_up(tables, columns)
+    pairs = (tables["fact_transaction"] if rows is None else rows).select(*columns).distinct()
     pairs = pairs.withColumn("counted", F.col(counted))
     groups = [column for columns in attributes.values() for column in columns]
     joined = with_attributes(pairs, tables, attributes)

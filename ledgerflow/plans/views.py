@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.numbers import blank_divide, rounded_ratio
-from ledgerflow.plans.rollup import Tables, additive, one_row, per_attribute, per_key, with_attributes
+from ledgerflow.plans.rollup import Tables, additive, one_row, per_attribute, totals_by_key, with_attributes
 
 COUNT, VALUE, APPROVED = "rows", "total_transaction_value", "approved_transaction_value"
 
@@ -97,14 +97,14 @@ def customer_spending_summary(tables: Tables) -> DataFrame:
     """Totals per customer key are the result: a customer id has one key."""
     columns = ["customer_id", "customer_display_name", "customer_segment", "age_group"]
     flows = ["debit_transaction_value", "credit_transaction_value", "net_transaction_flow"]
-    totals = per_key(tables["fact_transaction"], ["customer_key"], [COUNT, "transaction_count", VALUE, *flows])
+    totals = totals_by_key(tables, ["customer_key"], [COUNT, "transaction_count", VALUE, *flows])
     described = with_attributes(totals, tables, {"dim_customer": columns})
     return described.select(*columns, "transaction_count", *flows, _mean())
 
 
 def merchant_performance(tables: Tables) -> DataFrame:
     columns = ["merchant_id", "merchant_name", "merchant_category"]
-    totals = per_key(tables["fact_transaction"], ["merchant_key"], [COUNT, VALUE])
+    totals = totals_by_key(tables, ["merchant_key"], [COUNT, VALUE])
     return with_attributes(totals, tables, {"dim_merchant": columns}).select(*columns, _count(), VALUE, _mean())
 
 
@@ -122,7 +122,7 @@ def channel_performance(tables: Tables) -> DataFrame:
 
 def transaction_status_summary(tables: Tables) -> DataFrame:
     """Shares are of the whole fact, also of rows whose status key has no dimension row."""
-    totals = per_key(tables["fact_transaction"], ["transaction_status_key"], [COUNT, VALUE])
+    totals = totals_by_key(tables, ["transaction_status_key"], [COUNT, VALUE])
     totals = totals.withColumn("all_rows", F.sum(COUNT).over(Window.partitionBy()))
     status = {"dim_transaction_status": ["transaction_status"]}
     described = with_attributes(totals, tables, status).groupBy("transaction_status", "all_rows")
@@ -150,7 +150,7 @@ def account_activity(tables: Tables) -> DataFrame:
 
 def customer_segment_analysis(tables: Tables) -> DataFrame:
     names = [COUNT, "transaction_count", "debit_transaction_value", VALUE]
-    totals = per_key(tables["fact_transaction"], ["customer_key"], names)
+    totals = totals_by_key(tables, ["customer_key"], names)
     described = with_attributes(totals, tables, {"dim_customer": ["customer_id", "customer_segment"]})
     segments = described.groupBy("customer_segment").agg(
         F.count("customer_id").alias("active_customer_count"), *[F.sum(name).alias(name) for name in names]
@@ -222,7 +222,6 @@ def data_quality_summary(tables: Tables) -> DataFrame:
 
 
 def executive_kpis(tables: Tables) -> DataFrame:
-    fact = tables["fact_transaction"]
     flows = ["debit_transaction_value", "credit_transaction_value", "net_transaction_flow"]
     flags = [
         "approved_count",
@@ -233,18 +232,11 @@ def executive_kpis(tables: Tables) -> DataFrame:
         "recurring_transaction_count",
     ]
     names = [COUNT, VALUE, APPROVED, *flows, *flags]
-    sums = fact.agg(
-        *[total.alias(name) for name, total in additive(*names).items()],
-        F.max("transaction_amount").alias("largest_transaction_amount"),
-    )
-    # Distinct pairs first: two distinct counts over the fact would multiply its rows.
-    actors = fact.select("customer_key", "account_key").distinct()
-    active = actors.agg(
-        F.count_distinct("customer_key").alias("active_customer_count"),
-        F.count_distinct("account_key").alias("active_account_count"),
-    )
+    sums = totals_by_key(tables, [], [*names, "largest_transaction_amount"])
+    customers = totals_by_key(tables, ["customer_key"], [COUNT]).agg(F.count("customer_key").alias("active_customer_count"))
+    accounts = totals_by_key(tables, ["account_key"], [COUNT]).agg(F.count("account_key").alias("active_account_count"))
     anomalies = tables["fact_anomaly_flag"].agg(F.count("*").alias("potential_anomaly_count"))
-    return one_row([sums, active, anomalies]).select(
+    return one_row([sums, customers, accounts, anomalies]).select(
         F.col(COUNT).alias("total_transaction_count"),
         VALUE,
         APPROVED,

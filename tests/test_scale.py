@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.operators import anomaly, dimensions, facts, numbering, quality
 from ledgerflow.operators.neighbours import Before, previous_in_groups, previous_in_ranges
-from ledgerflow.plans import views
+from ledgerflow.plans import rollup, views
 from ledgerflow.session import apply_settings
 from ledgerflow.settings import Settings
 from ledgerflow.sources.staging import Staging
@@ -152,3 +152,38 @@ def test_groups_of_a_ranged_number_are_bounded(spark):
     assert outside.count() == 0
     largest = frame.groupBy(F.shiftright("id", 12)).count().agg(F.max("count")).first()[0]
     assert largest <= 4096
+
+
+def test_views_are_added_up_from_one_pass_over_the_fact(spark):
+    """Totals from the stored rollups equal those of the fact, for every key set and coarser ones; the fact is not read."""
+    key = lambda size, step: (F.col("id") * step % size).cast("bigint")
+    flag = lambda size: F.col("id") % size == 0
+    money = lambda step: (F.col("id") * step % 1000 / 100).cast("decimal(28,2)")
+    fact = spark.range(3000).select(
+        F.col("id").cast("string").alias("transaction_id"), (20240101 + F.col("id") % 5).cast("int").alias("date_key"), key(4, 7).alias("transaction_category_key"),
+        key(3, 5).alias("channel_key"), key(2, 3).alias("transaction_status_key"), key(40, 11).alias("customer_key"), key(9, 13).alias("merchant_key"),
+        key(50, 17).alias("account_key"), key(6, 19).alias("location_key"), flag(4).alias("is_recurring"), flag(7).alias("is_international"), flag(2).alias("is_approved"),
+        flag(3).alias("is_declined"), flag(5).alias("is_reversed"), flag(11).alias("is_pending"),
+        *[money(at).alias(name) for at, name in enumerate(("transaction_amount", "approved_amount", "debit_amount", "credit_amount", "signed_transaction_amount"), 3)],
+    )
+    staging = Staging(spark)
+    stored = staging.save(fact, "fact")
+
+    class Stored(dict):
+        def rollups(self):
+            return held
+
+    held = staging.save(rollup.fact_rollups(stored), "rollups")
+    assert held.count() < 800
+    tables, plain = Stored(fact_transaction=stored), {"fact_transaction": stored}
+    names = list(rollup._measures())
+    cuts = [*rollup.ROLLUPS, (), ("date_key",), ("is_recurring",), ("customer_key",), ("channel_key", "date_key"), ("customer_key", "merchant_key")]
+    for keys in cuts:
+        found, expected = rollup.totals_by_key(tables, list(keys), names), rollup.totals_by_key(plain, list(keys), names)
+        assert found.schema == expected.schema or found.dtypes == expected.dtypes
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect())), keys
+        reads_rollups = "rollup_set" in final_plan(found)
+        assert reads_rollups == (keys != ("customer_key", "merchant_key"))
+    empty = Stored(fact_transaction=stored.limit(0))
+    held = staging.save(rollup.fact_rollups(stored.limit(0)), "no_rollups")
+    assert tuple(rollup.totals_by_key(empty, [], ["rows", "approved_count", "total_transaction_value"]).first()) == (0, 0, None)
