@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.parsing import parse_plain_amount
-from ledgerflow.plans.rollup import one_row
+from ledgerflow.plans.rollup import one_row, per_key, totals_by_key
 from ledgerflow.settings import Settings
 
 TOLERANCE = 0.01
@@ -63,9 +63,13 @@ def check_row(name: str, notes: str, check: Check) -> Column:
 
 def calculate_reconciliation_totals(fact: DataFrame, monthly: DataFrame) -> DataFrame:
     """Row count and debit value of the fact and of the monthly summary, in one row."""
-    of_fact = fact.agg(
-        F.count("*").cast("double").alias("fact_transaction_count"),
-        F.coalesce(F.sum("debit_amount").cast("double"), F.lit(0.0)).alias("fact_debit_value"),
+    return _totals(per_key(fact, [], ["rows", "debit_transaction_value"]), monthly)
+
+
+def _totals(of_rows: DataFrame, monthly: DataFrame) -> DataFrame:
+    of_fact = of_rows.select(
+        F.col("rows").cast("double").alias("fact_transaction_count"),
+        F.coalesce(F.col("debit_transaction_value").cast("double"), F.lit(0.0)).alias("fact_debit_value"),
     )
     of_months = monthly.agg(
         F.coalesce(F.sum("transaction_count").cast("double"), F.lit(0.0)).alias("monthly_summary_transaction_count"),
@@ -91,7 +95,8 @@ def _amount_where(condition: Column) -> Column:
 def reconciliation_inputs(
     raw_transactions: DataFrame, validated: Mapping[str, DataFrame], model: Mapping[str, DataFrame]
 ) -> DataFrame:
-    """Every compared total in one row: one aggregate per table, each a single pass."""
+    """Every compared total in one row: one aggregate per table, each a single pass. The fact's totals come from the stored
+    rollups where the model has them."""
     raw = raw_transactions.agg(
         F.count("*").alias("raw_rows"),
         _zero_if_none(F.sum(parse_plain_amount(F.col("transaction_amount")))).alias("raw_amount"),
@@ -106,11 +111,13 @@ def reconciliation_inputs(
         F.count_if(F.col("transaction_date").isNotNull() & F.col("transaction_id").isNotNull()).alias("daily_rows"),
     )
     rejected = validated["rejected_transactions"].agg(F.count("*").alias("rejected_rows"))
-    fact = model["fact_transaction"].agg(
-        _zero_if_none(F.sum("approved_amount")).alias("fact_approved"),
-        _zero_if_none(F.sum(amount)).alias("fact_amount"),
-        F.count_if(F.col("date_key").isNotNull() & F.col("transaction_id").isNotNull()).alias("fact_daily_rows"),
+    of_rows = totals_by_key(model, [], ["rows", "debit_transaction_value", "approved_transaction_value", "total_transaction_value"])
+    fact = of_rows.select(
+        _zero_if_none(F.col("approved_transaction_value")).alias("fact_approved"),
+        _zero_if_none(F.col("total_transaction_value")).alias("fact_amount"),
     )
+    days = totals_by_key(model, ["date_key"], ["transaction_count"]).where("date_key is not null")
+    daily = days.agg(_zero_if_none(F.sum("transaction_count")).alias("fact_daily_rows"))
     rule = F.col("rule_name")
     issues = validated["data_quality_issues"].agg(
         *[
@@ -127,8 +134,8 @@ def reconciliation_inputs(
         .join(holders, "customer_id", "left_anti")
         .agg(F.count("*").alias("customers_without_accounts"))
     )
-    totals = calculate_reconciliation_totals(model["fact_transaction"], model["fact_customer_monthly_summary"])
-    return one_row([raw, valid, rejected, fact, issues, idle, totals])
+    totals = _totals(of_rows, model["fact_customer_monthly_summary"])
+    return one_row([raw, valid, rejected, fact, daily, issues, idle, totals])
 
 
 def checks(settings: Settings) -> list[Check]:
