@@ -16,6 +16,7 @@ from ledgerflow.functions.text import standardize_column_names
 from ledgerflow.operators import quality
 from ledgerflow.operators.cleaning import clean_accounts, clean_customers, clean_transactions
 from ledgerflow.plans import dashboard, kpis, measures, pipeline, reports, views
+from ledgerflow.plans.reports import REPORTS
 from ledgerflow.plans.views import VIEWS
 from ledgerflow.sources import csv
 from ledgerflow.sources.staging import Staging
@@ -892,6 +893,49 @@ for _view, _same in sorted((name, key) for name in VIEWS for key in ORACLE if re
     )
 
 
+def _stored_cells(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """The cells of a stored table; the time of detection is that of the run, and blank fields are read as null."""
+    found = _written(spark, folder, table, warehouse(spark, folder)[table].drop("detected_timestamp"))
+    return found.fillna("", ["original_value"]) if "original_value" in found.columns else found
+
+
+# The stored tables that have a query with all their columns.
+_TABLE_CELLS = {
+    **{name: next(key for key in ORACLE if re.fullmatch(rf"d\d\d_{name}", key)) for name in pipeline.DIMENSIONS},
+    "fact_account_daily_balance": "f5_account_daily_balance",
+    "fact_customer_monthly_summary": "f4_customer_monthly_summary",
+    "fact_anomaly_flag": "f7_fact_anomaly_flag",
+    "fact_data_quality_issue": "f6_fact_data_quality_issue",
+    "reconciliation_report": "x9_reconciliation",
+}
+for _table, _same in _TABLE_CELLS.items():
+    add(
+        f"io07_cells_of_{_table}",
+        lambda spark, folder, table=_table: _stored_cells(spark, folder, table),
+        over_model("SELECT * FROM dim_date") if _table == "dim_date" else ORACLE[_same],
+    )
+
+_REPORT_CELLS = {
+    "Executive Summary": "x9_executive_summary",
+    "Monthly Trends": "x1_monthly_trends",
+    "Category Analysis": "x2_category_analysis",
+    "Customer Segments": "x3_segment_analysis",
+    "Channel Analysis": "x4_channel_analysis",
+    "Merchant Analysis": "x5_merchant_analysis",
+    "Transaction Status": "x6_status_analysis",
+    "Anomaly Review": "x7_anomaly_review_top",
+    "Data Quality": "x8_quality_summary",
+    "Reconciliation": "x9_reconciliation",
+}
+for _title, _same in _REPORT_CELLS.items():
+    _name = _title.lower().replace(" ", "_")
+    add(
+        f"io09_cells_of_{_name}",
+        lambda spark, folder, title=_title, name=_name: _written(spark, folder, name, REPORTS[title](warehouse(spark, folder)).drop("transaction_key")),
+        ORACLE[_same],
+    )
+
+
 def _amount_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Exported amounts as the text in the file; the large ones keep all their digits."""
     large = warehouse(spark, folder)["fact_transaction"].select(
