@@ -1,17 +1,19 @@
 """Secrets by corpus-wide ownership frequency, in DataFrame functions only.
 
 Three fixed patterns give the base spans. Their values, and every other run of six or more characters of an assigned
-value's class, are candidates; they are compared by their hashes. A hash is counted over distinct owners (source) and distinct repositories
+value's class, with the parts of it between dots, equals signs and slashes, are candidates; they are compared by their
+hashes. A hash is counted over distinct owners (source) and distinct repositories
 (source and language), whether it stands as a base value or bare; equal pairs are put together before the shuffle. A base
 value that many owners or many repositories hold is a copied example, any other is a live-looking credential. Tokens elsewhere that equal a live-looking credential are added as spans of kind ``reuse``.
 
 Edge cases: a null text counts as empty; a null source or language is an owner of its own. Repeated rows get the same
-result each and count as one owner. Values of any length are kept whole. An empty table gives an empty result. Input
+result each and count as one owner. Values of any length are kept whole; a text takes time in proportion to its length and
+its matches. An empty table gives an empty result. Input
 columns other than doc_id, text, source and lang are not read."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import ROW, numbered, span_text, store
@@ -26,13 +28,22 @@ HEX = r"[0-9a-f]{24,}"
 ASSIGN_LENGTH = 6
 
 #: Tokens that may be a credential used without a name before it: runs of the assign value's class without dots at their
-#: edges, and the parts between dots.
-BARE = (r"[A-Za-z0-9+/_=-][A-Za-z0-9+/_.=-]{4,}[A-Za-z0-9+/_=-]", r"[A-Za-z0-9+/_=-]{6,}")
+#: edges, and the parts between dots, between equals signs (but for those that end a value), between slashes, or between more than one of these.
+BARE = (
+    r"[A-Za-z0-9+/_=-][A-Za-z0-9+/_.=-]{4,}[A-Za-z0-9+/_=-]",
+    r"[A-Za-z0-9+/_=-]{6,}",
+    r"[A-Za-z0-9+/_-](?:[A-Za-z0-9+/_.-]*[A-Za-z0-9+/_-])?={0,2}",
+    r"[A-Za-z0-9+_=-][A-Za-z0-9+_.=-]{4,}[A-Za-z0-9+_=-]",
+    r"[A-Za-z0-9+_-][A-Za-z0-9+_.-]{4,}[A-Za-z0-9+_-]",
+    r"[A-Za-z0-9+_-]{6,}",
+)
 #: A value that so many owners, or so many repositories of fewer owners, hold is an example.
 EXAMPLE_OWNERS = 3
 EXAMPLE_REPOSITORIES = 4
 
 # Two private code points mark match boundaries; in the text the first is read as the second, which no pattern matches.
+# Matches are put together in lists of this length, as appending to a list copies it.
+_TOGETHER = 512
 _MARK, _OTHER = "\ue000", "\ue001"
 
 
@@ -44,7 +55,6 @@ def _pieces(text: Column, pattern: str) -> Column:
 def _matches(text: Column, pattern: str, kind: int, hashes: Column | None = None) -> Column:
     """Matches with code point positions: array of struct (start, kind, end, value); only those of given hashes, if any."""
     none = "array<struct<start:bigint,kind:int,end:bigint,value:string>>"
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit(False).alias("hit"), F.array().cast(none).alias("found"))
 
     def step(state: Column, piece: Column) -> Column:
         end = state["at"] + F.char_length(piece)
@@ -53,7 +63,16 @@ def _matches(text: Column, pattern: str, kind: int, hashes: Column | None = None
         found = F.when(wanted, F.concat(state["found"], F.array(match))).otherwise(state["found"])
         return F.struct(end.alias("at"), (~state["hit"]).alias("hit"), found.alias("found"))
 
-    hits = F.aggregate(_pieces(text, pattern), start, step, lambda state: state["found"])
+    def in_lists(pieces: Column) -> Column:
+        """Positions at which the lists of pieces start, then the matches of each list."""
+        lists = F.transform(F.sequence(F.lit(1), F.size(pieces), F.lit(_TOGETHER)), lambda at: F.slice(pieces, at, _TOGETHER))
+        size = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda total, piece: total + F.char_length(piece))
+        first = F.array(F.lit(0).cast("long"))
+        starts = F.aggregate(F.transform(lists, size), first, lambda ends, more: F.concat(ends, F.array(F.element_at(ends, -1) + more)))
+        start = lambda at: F.struct(at.alias("at"), F.lit(False).alias("hit"), F.array().cast(none).alias("found"))
+        return F.flatten(F.zip_with(lists, F.slice(starts, 1, F.size(lists)), lambda part, at: F.aggregate(part, start(at), step, lambda state: state["found"])))
+
+    hits = F.element_at(F.transform(F.array(_pieces(text, pattern)), in_lists), 1)
     return F.when(F.regexp_like(text, F.lit(pattern)), hits).otherwise(F.array().cast(none))
 
 
@@ -88,12 +107,24 @@ def find_base(docs: DataFrame) -> DataFrame:
     return hits.select("doc_id", "t", "owner", "repository", F.transform(base, hashed).alias("base"))
 
 
+#: A run that holds every match of ``BARE`` that has a character of it, and the marks that make it hold others than itself.
+_RUN, _CUT = r"[A-Za-z0-9+/_.=-]{6,}", "[./=]"
+
+
+def _tokens(text: Column) -> Column:
+    """The distinct matches of all ``BARE`` patterns: the text is searched once, and only runs with cuts again."""
+    runs = F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_RUN), F.lit(0)), _trimmed))
+    inside = lambda run: F.flatten(F.array(*[F.regexp_extract_all(run, F.lit(pattern), F.lit(0)) for pattern in BARE[1:]]))
+    parts = lambda runs: F.array_distinct(F.concat(runs, F.flatten(F.transform(F.filter(runs, lambda run: run.rlike(_CUT)), inside))))
+    return F.element_at(F.transform(F.array(runs), parts), 1)
+
+
 def _bare(found: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
-    """(columns, hash) of each row's distinct bare candidates with one of the keys: there are far more candidates than values,
-    so a short key sorts most of them out before anything is hashed or shuffled."""
-    tokens = [F.regexp_extract_all("t", F.lit(pattern), F.lit(0)) for pattern in BARE]
-    token = F.explode(F.array_distinct(F.concat(*tokens))).alias("token")
-    candidates = found.select(*columns, token).withColumn("key", F.xxhash64("token"))
+    """(columns, hash) of each row's distinct bare candidates, outside of base matches, with one of the keys: there are far more
+    candidates than values, so a short key sorts most of them out before anything is hashed or shuffled."""
+    outside = F.regexp_replace("t", f"{ASSIGN}|{ACCESS}|{HEX}", " ")
+    token = F.explode(_tokens(F.when(F.size("base") > 0, outside).otherwise(F.col("t")))).alias("token")
+    candidates = found.select(*columns, token).filter(F.length("token") >= ASSIGN_LENGTH).withColumn("key", F.xxhash64("token"))
     return candidates.join(keys, "key").select(*columns, _digest(F.col("token")).alias("hash"))
 
 
@@ -117,10 +148,17 @@ def _reused(found: DataFrame, live: DataFrame) -> DataFrame:
     keys = found.select(F.explode("base").alias("b")).select("b.hash", "b.key").distinct().join(live, "hash").select("key").distinct()
     rows = _bare(found, store(keys, "secret_live_keys"), ROW).join(live, "hash").groupBy(ROW).agg(F.collect_set("hash").alias("reused"))
     texts = found.join(store(rows, "secret_reuse_rows"), ROW).select(ROW, "t", "reused", "base.span")
+    texts = store(texts, "secret_reuse_texts")
     matches = [_matches(F.col("t"), pattern, REUSE, F.col("reused")) for pattern in BARE]
-    clear = lambda m: ~F.exists("span", lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"]))
-    plain = lambda m: F.struct(m["start"].alias("start"), m["kind"].alias("kind"), m["end"].alias("end"))
-    return texts.select(ROW, F.array_distinct(F.transform(F.filter(F.concat(*matches), clear), plain)).alias("added"))
+    found = texts.select(ROW, F.explode(F.concat(*matches)).alias("m")).select(ROW, "m.start", "m.end").distinct()
+    # A match is covered if a base span that starts before the match's end ends after its start.
+    ends = found.select(ROW, F.col("end").alias("at"), F.lit(0).alias("is_base"), "start", "end")
+    bases = texts.select(ROW, F.explode("span").alias("s")).select(ROW, F.col("s.start").alias("at"), F.lit(1).alias("is_base"), "s.start", "s.end")
+    before = Window.partitionBy(ROW).orderBy("at", "is_base").rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.max(F.when(F.col("is_base") == 1, F.col("end"))).over(before)
+    clear = ends.unionByName(bases).withColumn("reach", F.coalesce(reach, F.lit(0))).filter("is_base = 0 and reach <= start")
+    span = F.struct("start", F.lit(REUSE).alias("kind"), "end")
+    return clear.groupBy(ROW).agg(F.collect_set(span).alias("added"))
 
 
 def secrets(docs: DataFrame) -> DataFrame:

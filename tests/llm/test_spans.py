@@ -246,3 +246,62 @@ def test_long_runs_take_time_in_proportion(text):
     began = time.perf_counter()
     pii.instances(text, pii.base_spans(text))
     assert time.perf_counter() - began < 6
+
+
+def test_values_between_equals_signs_and_slashes(make):
+    value, padded = "Zx81kQp0Lm77", "QmFzZTY0LXRleHQ/dGVzdA=="
+    rows = [(0, f"password: {value}", "en", "a"), (1, f"export KEY={value}", "en", "b"), (2, f"see https://h/{value}/x", "en", "b")]
+    rows += [(3, f"get ?k={value}&l=1", "en", "b"), (4, f"plain {value} end", "en", "a"), (5, f"at /a.b/{value}.txt", "en", "a")]
+    rows += [(6, f"token = {padded}", "en", "a"), (7, f"run X={padded}", "en", "b"), (8, f"v={value}x or a{value}", "en", "c")]
+    found = {row.doc_id: row for row in secrets.secrets(make(rows)).collect()}
+    for at in (1, 2, 3, 4, 5):
+        start = rows[at][1].index(value)
+        assert f"reuse:{start}:{start + len(value)}" in found[at].spans.split(","), rows[at]
+    assert f"reuse:6:{6 + len(padded)}" in found[7].spans.split(",")
+    assert found[8].spans == ""
+    assert (found[0].n_live, found[6].n_live) == (1, 1)
+
+
+def owned(rows):
+    """Live or example for each assigned value, by plain loops."""
+    classes = [m.group(2).strip(".") for _, text, _, _ in rows for m in re.finditer(SECRET["assign"], text, re.I) if len(m.group(2)) >= 6]
+    verdict = {}
+    for value in set(classes):
+        holders = set()
+        for _, text, lang, source in rows:
+            parts = {part.strip(".") for run in re.findall(r"[A-Za-z0-9+/_.=-]+", text) for cut in ("[ ]", "[.]", "=", "/", "[=/]", "[.=/]") for part in re.split(cut, run)}
+            if value in parts:
+                holders.add((source, lang))
+        verdict[value] = len({source for source, _ in holders}) < 3 and len(holders) < 4
+    return verdict
+
+
+def test_ownership_against_plain_loops(make):
+    pick = random.Random(10)
+    values = [f"val{'abcdefghij'[at % 10]}{at:03d}Key" for at in range(40)]
+    forms = ["password = {}", "token: {}", "bare {} here", "X={}", "http://h/{}/y", "dot.{}.dot", "nothing"]
+    rows = [(at, pick.choice(forms).format(pick.choice(values[: pick.choice([5, 40])])), pick.choice(["en", "fr"]), f"s{pick.randrange(6)}") for at in range(250)]
+    verdict = owned(rows)
+    assert len(set(verdict.values())) == 2
+    for row in secrets.secrets(make(rows)).collect():
+        match = re.search(SECRET["assign"], rows[row.doc_id][1], re.I)
+        live = verdict[match.group(2)] if match else None
+        assert (row.n_live, row.n_example) == ((0, 0) if match is None else (int(live), int(not live))), rows[row.doc_id]
+
+
+def test_very_many_matches_in_one_text(make):
+    began = time.perf_counter()
+    text = "token=abcdef1 " * 50_000
+    row = secrets.secrets(make([(1, text, "en", "a")])).first()
+    assert row.n_assign == 50_000
+    assert row.spans.startswith("assign:0:13,assign:14:27,") and row.spans.endswith(f"assign:{14 * 49_999}:{14 * 50_000 - 1}")
+    assert time.perf_counter() - began < 60
+
+
+def test_tokens_are_those_of_every_pattern(spark):
+    pick = random.Random(5)
+    texts = ["".join(pick.choices("abcDEF019+/_.=- ,\n", k=pick.randrange(120))) for _ in range(300)] + ["", "..a.b..", "=" * 30, "." * 30, "/abc/def=ghi.jkl=="]
+    frame = spark.createDataFrame([(at, text) for at, text in enumerate(texts)], "at int, t string")
+    long = lambda found: {token for token in found if len(token) >= 6}
+    for row in frame.select("t", secrets._tokens(frame.t).alias("tokens")).collect():
+        assert long(row.tokens) == long(token for pattern in secrets.BARE for token in re.findall(pattern, row.t)), row.t
