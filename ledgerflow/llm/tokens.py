@@ -5,6 +5,7 @@ batch is split into words in Arrow, each distinct word is looked up once, and wo
 
 from __future__ import annotations
 
+import itertools
 import re
 from array import array
 from collections.abc import Iterator, Sequence
@@ -60,12 +61,15 @@ class Encoder:
         self.held = 0
         self.ids, self.starts, self.lengths = array("I"), array("q"), array("q")
 
-    def _hold(self, word: str, ids: Sequence[int]) -> None:
-        self.number[word] = len(self.starts)
-        self.starts.append(len(self.ids))
-        self.lengths.append(len(ids))
+    def _hold(self, words: list[str], ids: Sequence[int], ends: np.ndarray) -> None:
+        """Holds words whose ids stand one after another and end at ``ends``."""
+        first = len(self.starts)
+        self.number.update(zip(words, range(first, first + len(words)), strict=True))
+        sizes = np.diff(ends, prepend=0).astype(np.int64)
+        self.starts.frombytes((ends - sizes + len(self.ids)).astype(np.int64).tobytes())
+        self.lengths.frombytes(sizes.tobytes())
         self.ids.extend(ids)
-        self.held += _WORD_BYTES + len(word) + 4 * len(ids)
+        self.held += _WORD_BYTES * len(words) + sum(map(len, words)) + 4 * len(ids)
 
     def _encode_plain(self, texts: list[str]) -> Iterator[list[int]]:
         """Ids of each text; the tokenizer's own results take many bytes a token, so few of them are made at once."""
@@ -80,28 +84,29 @@ class Encoder:
     def _learn(self, words: list[str], together: int = 200) -> None:
         """Encodes letters-only words many at a time, as a token that ends a word shows where each one ends, and other
         words one by one."""
-        plain = [word for word in words if _LETTERS.fullmatch(word)]
+        plain, alone = [], []
+        letters = _LETTERS.fullmatch
+        for word in words:
+            (plain if letters(word) else alone).append(word)
         groups = [plain[at : at + together] for at in range(0, len(plain), together)]
-        alone = [word for word in words if not _LETTERS.fullmatch(word)]
         for group, ids in zip(groups, self._encode_plain([" ".join(group) for group in groups]), strict=True):
             ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) != len(group):
+            if len(ends) == len(group):
+                self._hold(group, ids, ends)
+            else:
                 alone += group
-                continue
-            begin = 0
-            for word, end in zip(group, ends.tolist(), strict=True):
-                self._hold(word, ids[begin:end])
-                begin = end
         for word, ids in zip(alone, self._encode_plain(alone), strict=True):
-            self._hold(word, ids)
+            self._hold([word], ids, np.array([len(ids)]))
 
     def _numbers(self, words: pa.Array) -> np.ndarray:
         """The number of each word."""
         coded = words.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if missing := [word for word in distinct if word not in self.number]:
-            self._learn(missing)
-        numbers = np.fromiter((self.number[word] for word in distinct), dtype=np.int64, count=len(distinct))
+        numbers = np.fromiter(map(self.number.get, distinct, itertools.repeat(-1)), dtype=np.int64, count=len(distinct))
+        if len(new := np.flatnonzero(numbers < 0)):
+            words_met = [distinct[at] for at in new.tolist()]
+            self._learn(words_met)
+            numbers[new] = np.fromiter(map(self.number.__getitem__, words_met), dtype=np.int64, count=len(new))
         return numbers[coded.indices.to_numpy(zero_copy_only=False)]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
