@@ -1,8 +1,9 @@
 """Token ids in files compressed by a grammar (Re-Pair), with random access.
 
 Documents in ascending order of doc_id are cut into shards of whole documents. In a shard, the most frequent pairs of
-neighbouring ids are replaced by new symbols, again and again, until no pair is frequent. A round takes many pairs at
-once; where two occurrences overlap, the more frequent pair wins. No pair reaches over a document's end, so a document is
+neighbouring ids are replaced by new symbols, again and again, until no pair is frequent or a round shortens the sequence
+by less than 1 %. A round takes many pairs at once; where two occurrences overlap, the more frequent pair wins, and of
+those that are left over in a row (a run of one pair, say) every second one is taken. No pair reaches over a document's end, so a document is
 a slice of the compressed sequence. The shard stores rules, the length each rule expands to and the slices; a reader
 finds any token range from the lengths without expanding the rest.
 
@@ -28,7 +29,6 @@ from ledgerflow.llm.common import store
 from ledgerflow.llm.tokens import encoded, gather, in_order, public_vocabulary
 
 SHARD_TOKENS = 1 << 20
-ROUNDS = 5
 RULES_PER_ROUND = 2048
 MINIMUM_COUNT = 16
 #: A round that shortens the sequence by less ends the work.
@@ -68,13 +68,15 @@ def _ranks(keys: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """(rules, sequence, ends of the documents in it, first rule's symbol) of a shard."""
     base = int(ids.max()) + 1
-    small = base + ROUNDS * RULES_PER_ROUND <= 1 << 16
-    kind, shift = (np.uint32, 16) if small else (np.uint64, 32)
+    kind, shift = (np.uint32, 16) if base + RULES_PER_ROUND <= 1 << 16 else (np.uint64, 32)
     sequence, rules = ids.astype(kind), []
     last = np.zeros(len(ids), dtype=bool)
     last[ends - 1] = True
     made = 0
-    for _ in range(ROUNDS):
+    while len(sequence) > 1:
+        if shift == 16 and base + made + RULES_PER_ROUND > 1 << 16:
+            kind, shift = np.uint64, 32
+            sequence = sequence.astype(kind)
         keys = (sequence[:-1] << kind(shift)) | sequence[1:]
         open_ = ~last[:-1]
         chosen = _frequent(keys[open_])
@@ -84,19 +86,29 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         none = rank.dtype.type(len(chosen))
         rank[last[:-1]] = none
         before, after = np.append(none, rank[:-1]), np.append(rank[1:], none)
-        hit = np.flatnonzero((rank < none) & (rank < before) & (rank <= after))
+        wanted = rank < none
+        taken = wanted & (rank < before) & (rank <= after)
+        near = taken.copy()
+        near[1:] |= taken[:-1]
+        near[:-1] |= taken[1:]
+        if len(free := np.flatnonzero(wanted & ~near)):
+            # Occurrences that lost to one that lost itself, such as those in a run of one pair: every second one.
+            stretch = np.concatenate(([True], np.diff(free) > 1))
+            begin = free[stretch][np.cumsum(stretch) - 1]
+            taken[free[(free - begin) % 2 == 0]] = True
+        hit = np.flatnonzero(taken)
         size = len(sequence)
         keep = np.ones(size, dtype=bool)
         keep[hit + 1] = False
         sequence[hit] = rank[hit].astype(kind) + kind(base + made)
         last[hit] = last[hit + 1]
         sequence, last = sequence[keep], last[keep]
-        rules.append(np.stack((chosen >> kind(shift), chosen & kind((1 << shift) - 1)), axis=1))
+        rules.append(np.stack((chosen >> kind(shift), chosen & kind((1 << shift) - 1)), axis=1).astype(np.uint32))
         made += len(chosen)
         if size - len(sequence) < MINIMUM_GAIN * size:
             break
-    pairs = np.concatenate(rules) if rules else np.zeros((0, 2), dtype=kind)
-    return pairs.astype(np.uint32), sequence.astype(np.uint32), np.flatnonzero(last) + 1, base
+    pairs = np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.uint32)
+    return pairs, sequence.astype(np.uint32), np.flatnonzero(last) + 1, base
 
 
 def expanded_lengths(pairs: np.ndarray, base: int) -> np.ndarray:

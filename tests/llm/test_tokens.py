@@ -114,6 +114,25 @@ def test_cuts_are_the_best_ones():
         assert total(packing.best_cuts(places, costs, 100).tolist()) == best[-1]
 
 
+@pytest.mark.parametrize("ids", [[7] * 100_000, [1, 2, 1, 1, 2] * 5_000, list(range(60_000)) * 20, [0, 1, 2, 2, 1] * 9 + [3]])
+def test_rounds_go_on_and_runs_are_halved(ids):
+    flat = np.array(ids, dtype=np.uint32)
+    ends = np.array(sorted({len(flat) // 3, len(flat) // 2, len(flat)}))
+    payload = grammar.pack(flat, ends)
+    shard = grammar.Shard(payload)
+    assert np.array_equal(shard.all_ids(), flat)
+    begins = [0, *ends[:-1].tolist()]
+    for at, (begin, end) in enumerate(zip(begins, ends.tolist(), strict=True)):
+        assert np.array_equal(shard.document(at), flat[begin:end])
+        assert np.array_equal(shard.document(at, 5, 9), flat[begin + 5 : min(begin + 9, end)])
+    if len(set(ids)) < 10 and len(ids) > 100:
+        assert len(payload) < 500
+        assert shard.lengths.max() > 1000
+    if len(ids) == 1_200_000:  # more symbols than 16 bits hold
+        assert len(shard.pairs) + shard.base > 1 << 16
+        assert 3 * len(payload) < 4 * len(ids)  # of four bytes an id
+
+
 def test_word_memory_is_bounded(monkeypatch):
     monkeypatch.setattr(tokens, "HELD_BYTES", 2000)
     monkeypatch.setattr(tokens, "PART_BYTES", 20)
