@@ -53,7 +53,7 @@ ROUNDS = 3
 MINIMUM_SEEDS = 5
 CONFIDENCE = 0.6
 #: One word in so many is counted beside the one-word patterns that are left, step by step.
-SHARES = (64, 8, 1)
+SHARES = (64, 1)
 #: Bits of the filter of patterns that tasks get; more patterns pass more pairs, never too few.
 _FILTER_BITS = 1 << 24
 _SAME_DIGIT = str.maketrans("123456789", "0" * 9)
