@@ -8,7 +8,7 @@ fingerprint stands in twenty tables, one for each choice of three blocks, and a
 blocks. A pair counts in the first table where it agrees. Equal fingerprints stand in the tables once, with their number.
 
 Edge cases: a null text counts as empty; without words the fingerprint is zero. With fewer than three words the whole
-text is one term. Repeated rows (equal doc_id and text) give one result row. In the order of doc_id, null comes last and
+text is one term. Repeated rows (equal doc_id and text) stand once in the order of documents and get one result row each. In that order null comes last and
 equal ids are ordered by their text's hash; the document after the last is the first, which may be itself. An empty table
 gives an empty result. Other columns are not read."""
 
@@ -91,8 +91,9 @@ def edited_texts(base: DataFrame, order: DataFrame) -> DataFrame:
 def document_fingerprints(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    base = docs.select("doc_id", text.alias("text"), F.md5(F.concat_ws("|", name, text)).alias("key")).dropDuplicates(["key"])
-    counts = docs.select("doc_id", F.md5(F.concat_ws("|", name, text)).alias("key"), F.char_length(text).cast("long").alias("n_chars"))
+    key = F.md5(F.concat_ws("|", name, text)).alias("key")
+    base = docs.select("doc_id", text.alias("text"), key).dropDuplicates(["key"])
+    counts = store(docs.select("doc_id", key, F.char_length(text).cast("long").alias("n_chars")), "fingerprint_rows")
     order = store(follow(counts.distinct()), "following")
     both = edited_texts(base, order)
     pair = F.explode(F.array(F.struct(F.lit(0).alias("version"), F.col("text").alias("t")), F.struct(F.lit(1).alias("version"), F.col("edited").alias("t"))))
@@ -102,7 +103,9 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     of = lambda version: F.max(F.when(F.col("version") == version, F.col("fingerprint")))
     rows = store(found.groupBy(*keys).agg(of(0).alias("own"), of(1).alias("edited")), "document_fingerprints")
     after = rows.select(F.col("key").alias("next_key"), F.col("own").alias("next"))
-    near = rows.join(after, "next_key").join(neighbours(rows), "own", "left")
+    copies = counts.groupBy("key").agg(F.count("*").alias("copies"))
+    near = rows.join(after, "next_key").join(neighbours(rows.join(copies, "key")), "own", "left")
+    near = near.drop("doc_id", "n_chars").join(counts, "key")  # one result for each row of the input
     asked = (F.col("doc_id") % QUERY_STEP) == 0
     return near.select(
         "doc_id",
@@ -119,6 +122,6 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
 
 def neighbours(rows: DataFrame) -> DataFrame:
     """(own, n_near): for the fingerprints of the query rows (doc_id divisible by 100), documents within the radius."""
-    held = rows.groupBy(F.col("own").alias("fingerprint")).agg(F.count("*").alias("rows"))
+    held = rows.groupBy(F.col("own").alias("fingerprint")).agg(F.sum("copies").alias("rows"))
     asked = rows.filter(F.col("doc_id") % QUERY_STEP == 0).select(F.col("own").alias("query")).distinct()
     return within_radius(asked, held).groupBy(F.col("query").alias("own")).agg(F.sum("rows").alias("n_near"))

@@ -97,6 +97,7 @@ def test_document_fingerprints(given):
     rows = sorted({(r.doc_id, r.text or "") for r in given.collect()}, reverse=True)
     found = {r.doc_id: r for r in fingerprint.document_fingerprints(given).collect()}
     assert len(found) == len(rows)
+    assert fingerprint.document_fingerprints(given).count() == given.count()
     prints = [brute(text, 3, str.lower) for _, text in rows]
     for at, (name, text) in enumerate(rows):
         after, half = rows[(at + 1) % len(rows)][1], len(text) // 2
@@ -113,6 +114,14 @@ def test_document_fingerprints(given):
             assert row.n_near is None
 
 
+def test_repeated_rows_get_a_fingerprint_each(make):
+    docs = make([(100, "some words in a text", "en", "a")] * 3 + [(7, "some words in a text", "en", "a"), (8, "quite another one here", "en", "a")])
+    rows = sorted(map(tuple, fingerprint.document_fingerprints(docs).collect()))
+    assert [row[0] for row in rows] == [7, 8, 100, 100, 100]
+    assert len({row[1:] for row in rows[2:]}) == 1
+    assert [row[7] for row in rows] == [None, None, 4, 4, 4]
+
+
 def test_block_tables_miss_no_neighbour():
     masks = fingerprint.block_masks()
     assert len(masks) == 20
