@@ -121,3 +121,28 @@ def test_kept_rows_are_numbered_without_a_shuffle(spark):
     assert "BroadcastHashJoin" in plan
     assert "Exchange hashpartitioning" not in plan
     assert "Exchange rangepartitioning" not in plan
+
+
+def test_rows_of_groups_are_numbered_in_total_order(spark):
+    pick = random.Random(3)
+    rows = [(pick.choice([None, -70_000, -1, 0, 5, 6, 65_535, 65_536, 10**12]), at % 4, at) for at in range(400)]
+    frame = spark.createDataFrame(rows, "lead bigint, second int, third int").repartition(5)
+    numbered = numbering.number_in_groups(frame, "lead", ["second", "third"], "key")
+    assert numbered.columns == ["key", "lead", "second", "third"]
+    ordered = sorted(rows, key=lambda row: (row[0] is not None, row[0] or 0, row[1:]))
+    expected = [(at, *row) for at, row in enumerate(ordered, 1) if row[0] is not None]
+    assert [tuple(row) for row in numbered.orderBy("key").collect()] == expected
+
+
+def test_words_beyond_the_broadcast_limit_of_the_session_do_not_shuffle_the_rows(spark):
+    frame = spark.range(1, 100_001).select(F.col("id").alias("place"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    frame = Staging(spark).save(frame, "rows")
+    words = Staging(spark).save(numbering.kept_words(frame, "place"), "words")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        plan = numbering.number_kept_rows(frame, "number", "place", words)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning" not in plan

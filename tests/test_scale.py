@@ -12,6 +12,7 @@ from ledgerflow.operators.neighbours import Before, previous_in_groups, previous
 from ledgerflow.plans import rollup, views
 from ledgerflow.session import apply_settings
 from ledgerflow.settings import Settings
+from ledgerflow.sources import csv
 from ledgerflow.sources.staging import Staging
 
 
@@ -187,3 +188,31 @@ def test_views_are_added_up_from_one_pass_over_the_fact(spark):
     empty = Stored(fact_transaction=stored.limit(0))
     held = staging.save(rollup.fact_rollups(stored.limit(0)), "no_rollups")
     assert tuple(rollup.totals_by_key(empty, [], ["rows", "approved_count", "total_transaction_value"]).first()) == (0, 0, None)
+
+
+def test_transactions_are_shuffled_once_for_accounts_customers_and_devices(small_limits):
+    """The stored combinations of ids give the same check in one join; ids that are null or unknown keep their rows."""
+    changes = [
+        dict(transaction_id=f"T{at}", account_id=account, customer_id=customer, device_id=device)
+        for at, (account, customer, device) in enumerate(
+            [("ACC000001", "CUST000001", "DEV00001"), ("ACC000001", "CUST000001", None), ("ACC9", "CUST000001", "DEV9"), (None, None, None), (None, "CUST9", None), (None, None, None)]
+        )
+    ]
+    cleaned = {name: table(small_limits, name) for name in SCHEMAS} | {"transactions": table(small_limits, "transactions", *changes)}
+    staging = Staging(small_limits)
+    known = {name: staging.save(build(cleaned), name) for name, build in dimensions.BUILDERS.items() if name in {row[4] for row in quality.LOOKUPS}}
+    repeated = staging.save(quality.repeated_values(cleaned["transactions"], "transaction_id"), "repeated_ids")
+    parties = staging.save(quality.known_parties(cleaned, known), "known_parties")
+    assert parties.count() == 5
+    plain = quality.check_transactions(cleaned, Settings(), repeated, known)
+    checked = quality.check_transactions(cleaned, Settings(), repeated, known, parties)
+    assert final_plan(checked).count("SortMergeJoin") == final_plan(plain).count("SortMergeJoin") - 2
+    assert checked.schema == plain.schema
+    assert sorted(map(str, checked.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_exports_are_compressed(spark, tmp_path):
+    frame = spark.range(20_000).select("id", F.lit("a description, with a comma").alias("text"))
+    (path,) = csv.export_tables({"rows": frame}, str(tmp_path))
+    assert sum(file.stat().st_size for file in (tmp_path / "rows").glob("part-*")) < 200_000
+    assert csv.read_csv(spark, path).select(F.col("id").cast("bigint"), "text").orderBy("id").collect() == frame.collect()
