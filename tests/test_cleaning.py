@@ -125,3 +125,19 @@ def test_reference_table_rules_go_by_column_name(spark):
 def test_missing_column_is_an_error(spark):
     with pytest.raises(KeyError, match="customer_segment"):
         cleaning.clean_customers(spark.createDataFrame([("C1",)], ["customer_id"]))
+
+
+def test_single_spaces_are_left_alone_and_all_others_are_found(spark):
+    """Every white-space character, alone, at an end or in a run, gives one space or none."""
+    values = [f"{lead}ab{gap}c{tail}" for gap in (" ", *text.WHITESPACE, "  ", " \t") for lead, tail in (("", ""), (" ", "\t"), ("\u3000", " "))]
+    assert apply(spark, text.clean_text, values) == ["ab c"] * len(values)
+    assert apply(spark, text.strip, values) == [value.strip() for value in values]
+
+
+def test_short_date_spellings_are_read_by_place(spark):
+    """The two frequent spellings do not go through the patterns, and other texts of their shape stay what they were."""
+    values = ["02/10/2024", "31/12/2024", "13/13/2024", "Sep 05, 2024", "sep 31, 2024", "xyz 05, 2024", "Mon 05, 2024", "Mar 05, 2024\u2028"]
+    expected = [date(2024, 2, 10), date(2024, 12, 31), None, date(2024, 9, 5), None, None, None, date(2024, 3, 5)]
+    assert apply(spark, parsing.parse_date, values) == expected
+    short = spark.createDataFrame([(value,) for value in values], "value string").select(parsing._short_spelling(F.col("value"), "date"))
+    assert [row[0] for row in short.collect()] == [*expected[:7], None]
