@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerflow.operators import anomaly, dimensions, facts, numbering, quality
 from ledgerflow.operators.neighbours import Before, previous_in_groups, previous_in_ranges
 from ledgerflow.plans import rollup, views
+from ledgerflow.plans.pipeline import Warehouse
 from ledgerflow.session import apply_settings
 from ledgerflow.settings import Settings
 from ledgerflow.sources import csv
@@ -216,3 +217,26 @@ def test_exports_are_compressed(spark, tmp_path):
     (path,) = csv.export_tables({"rows": frame}, str(tmp_path))
     assert sum(file.stat().st_size for file in (tmp_path / "rows").glob("part-*")) < 200_000
     assert csv.read_csv(spark, path).select(F.col("id").cast("bigint"), "text").orderBy("id").collect() == frame.collect()
+
+
+def test_a_query_makes_only_the_totals_it_reads(spark):
+    """One key set by itself has the rows that the pass over all sets gives it, and the warehouse stores no other set."""
+    keys = [f"cast(id * {step} % {size} AS bigint) AS {key}" for key, step, size in (
+        ("transaction_category_key", 7, 4), ("channel_key", 5, 3), ("transaction_status_key", 3, 2), ("customer_key", 11, 40), ("merchant_key", 13, 9),
+        ("account_key", 17, 50), ("location_key", 19, 6))]
+    flags = [f"id % {at} = 0 AS {name}" for at, name in enumerate(("is_recurring", "is_international", "is_approved", "is_declined", "is_reversed", "is_pending"), 2)]
+    names = ("transaction_amount", "approved_amount", "debit_amount", "credit_amount", "signed_transaction_amount")
+    money = [f"cast(id * {at} % 1000 / 100 AS decimal(28,2)) AS {name}" for at, name in enumerate(names, 3)]
+    calendar = ["cast(id AS string) AS transaction_id", "cast(20240101 + id % 5 AS int) AS date_key"]
+    fact = spark.range(500).selectExpr(*calendar, *keys, *flags, *money)
+    together = rollup.fact_rollups(fact)
+    for at, key_set in enumerate(rollup.ROLLUPS):
+        alone = rollup.fact_rollup(fact, key_set)
+        assert alone.dtypes == together.dtypes
+        expected = together.where(F.col("rollup_set") == rollup._rollup_id(key_set))
+        assert alone.count() > 0 and alone.exceptAll(expected).isEmpty() and expected.exceptAll(alone).isEmpty(), at
+    warehouse = Warehouse({}, Settings(), Staging(spark))
+    warehouse._ready["fact_transaction"] = fact
+    found = rollup.totals_by_key(warehouse, ["date_key"], ["rows"])
+    assert sorted(map(tuple, found.collect())) == [(20240101 + day, 100) for day in range(5)]
+    assert set(warehouse._ready) == {"fact_transaction", "fact_rollup_0"}
